@@ -152,7 +152,7 @@ def write_token_files(
                 shard = batch.column("shard")[0].as_py()
                 path = f"{base}/shard-{shard:06d}-{uuid.uuid4().hex}.ids.zst"
                 system.create_dir(base, recursive=True)
-                out = system.open_output_stream(path)
+                out = system.open_output_stream(path, compression=None)
                 writer = ShardWriter(out)
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
                 writer.add(doc_id, ids + end)
