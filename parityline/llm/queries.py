@@ -6,18 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from parityline.llm import exact_dedup
 from parityline.llm.bpe import op6_bpe
+from parityline.llm.quality import op5_quality_rules
 from parityline.llm.token_counts import op4_token_counts
 from parityline.llm.token_files import op3_token_files
+from parityline.llm.toxicity import op7_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_token_files": op3_token_files,
         "op4_token_counts": op4_token_counts,
+        "op5_quality_rules": op5_quality_rules,
         "op6_bpe": op6_bpe,
+        "op7_toxicity": op7_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_exact_dedup": exact_dedup.ORACLE}
