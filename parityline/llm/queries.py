@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parityline.llm import exact_dedup
+from parityline.llm import chat_tools, exact_dedup, mixing
 from parityline.llm.bpe import op6_bpe
 from parityline.llm.quality import op5_quality_rules
 from parityline.llm.token_counts import op4_token_counts
@@ -16,14 +16,20 @@ from parityline.llm.toxicity import op7_toxicity
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mixing": mixing.op1_mixing,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_token_files": op3_token_files,
         "op4_token_counts": op4_token_counts,
         "op5_quality_rules": op5_quality_rules,
         "op6_bpe": op6_bpe,
         "op7_toxicity": op7_toxicity,
+        "op8_chat_tools": chat_tools.op8_chat_tools,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE}
+    return {
+        "op1_mixing": mixing.oracle(),
+        "op2_exact_dedup": exact_dedup.ORACLE,
+        "op8_chat_tools": chat_tools.ORACLE,
+    }
