@@ -168,7 +168,8 @@ def write_token_files(
 def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
     """Every document back from the files of the manifest: doc_id, start, n_tokens, ids_crc32, ids (binary)."""
     first = F.sum("n_ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    files = manifest.withColumn("start", F.coalesce(first, F.lit(0)).cast("long")).repartition("shard").select("path", "start")
+    files = manifest.withColumn("start", F.coalesce(first, F.lit(0)).cast("long"))
+    files = files.repartition(max(1, manifest.count()), "shard").select("path", "start")  # a task for each shard
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = open_folder(folder)
