@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parityline.llm import chat_tools, exact_dedup, mixing
 from parityline.llm.bpe import op6_bpe
+from parityline.llm.ngram_join import op10_ngram_join
 from parityline.llm.quality import op5_quality_rules
 from parityline.llm.token_counts import op4_token_counts
 from parityline.llm.token_files import op3_token_files
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_bpe": op6_bpe,
         "op7_toxicity": op7_toxicity,
         "op8_chat_tools": chat_tools.op8_chat_tools,
+        "op10_ngram_join": op10_ngram_join,
     }
 
 
