@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parityline.llm import chat_tools, exact_dedup, mixing
+import corpus_pipeline
+from parityline.llm import chat_tools, exact_dedup, line_dedup, mixing
 from parityline.llm.bpe import op6_bpe
 from parityline.llm.ngram_join import op10_ngram_join
 from parityline.llm.quality import op5_quality_rules
@@ -25,7 +26,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_bpe": op6_bpe,
         "op7_toxicity": op7_toxicity,
         "op8_chat_tools": chat_tools.op8_chat_tools,
+        "op9_line_dedup": line_dedup.op9_line_dedup,
         "op10_ngram_join": op10_ngram_join,
+        "pipeline": corpus_pipeline.run,
     }
 
 
@@ -34,4 +37,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_mixing": mixing.oracle(),
         "op2_exact_dedup": exact_dedup.ORACLE,
         "op8_chat_tools": chat_tools.ORACLE,
+        "op9_line_dedup": line_dedup.ORACLE,
     }
