@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,6 +85,13 @@ def _accepts(kind: str, value: T.DataType) -> bool:
     return True
 
 
+def _element_errors(positions: Column, name: str) -> Column:
+    def one(i: Column) -> Column:
+        return F.struct(F.lit(name).alias("field"), F.concat(F.lit("element "), i.cast("string"), F.lit(": wrong type")).alias("error"))
+
+    return F.transform(positions, one)
+
+
 def validate(rows: DataFrame, schema: Mapping[str, TargetField], id_col: str = "id") -> DataFrame:
     """id, field, error: a field that is unknown, a type that does not fit, a list on a scalar, bad elements by index.
 
@@ -107,8 +114,7 @@ def validate(rows: DataFrame, schema: Mapping[str, TargetField], id_col: str = "
                 errors.append(error("list on a scalar", x.isNotNull()))
             elif not _accepts(target.type, f.dataType.elementType):
                 bad = F.filter(F.transform(x, lambda v, i: F.when(v.isNotNull(), i)), lambda i: i.isNotNull())
-                made = F.transform(bad, lambda i, name=f.name: F.struct(F.lit(name).alias("field"), F.concat(F.lit("element "), i.cast("string"), F.lit(": wrong type")).alias("error")))
-                errors.append(made)
+                errors.append(_element_errors(bad, f.name))
         elif not _accepts(target.type, f.dataType):
             errors.append(error("boolean on " + target.type if isinstance(f.dataType, T.BooleanType) else "wrong type", x.isNotNull()))
         elif target.type in DATE and isinstance(f.dataType, T.StringType):
