@@ -75,6 +75,14 @@ def steps(batches: Iterable[pa.RecordBatch], column: str, most: int = STEP_BYTES
             yield batch.slice(start, len(sizes) - start)
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """name, or name with underscores where df has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 

@@ -13,7 +13,8 @@ join is a shuffle whose hot cells the adaptive planner splits.
 
 Edge cases: a null source, language or topic is the value "(none)"; null, empty and blank texts have no tokens, take part
 with the p of their cell, and p = 0 where a whole cell has none; values without a target get none of the weight; tables
-that are empty give empty results; other columns are carried along untouched by `mix`.
+that are empty give empty results; other columns are carried along untouched by `mix`, but for columns named mix_*, which it
+replaces.
 """
 
 from __future__ import annotations
@@ -99,11 +100,12 @@ def probabilities(cells: DataFrame, targets: Mapping[str, DataFrame], budget: fl
 
 def mix(docs: DataFrame, topic: Column, targets: Mapping[str, DataFrame] | None = None, budget: float = BUDGET, cycles: int = CYCLES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with mix_source, mix_lang, mix_topic, mix_p and mix_kept; filter on mix_kept for the sample."""
+    docs = docs.drop(*[f"mix_{d}" for d in DIMS], "mix_p", "mix_ppm", "mix_kept")  # of an earlier mixing
     cells = cells_of(docs, topic, text_col)
     targets = targets or {"source": tempered(cells, "source", 0.7), "lang": tempered(cells, "lang", 0.8), "topic": tempered(cells, "topic", 0.9)}
-    p = probabilities(cells, targets, budget, cycles).select(*[F.col(d).alias(f"mix_{d}") for d in DIMS], "ppm")
+    p = probabilities(cells, targets, budget, cycles).select(*[F.col(d).alias(f"mix_{d}") for d in DIMS], F.col("ppm").alias("mix_ppm"))
     keyed = docs.select("*", *_keyed(docs, topic)).join(p, [f"mix_{d}" for d in DIMS], "left")
-    ppm = F.coalesce("ppm", F.lit(0))
+    ppm = F.coalesce("mix_ppm", F.lit(0))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary")), 1, 8), 16, 10).cast("long") % SCALE
     return keyed.select(
         *docs.columns, *[f"mix_{d}" for d in DIMS], (ppm / SCALE).alias("mix_p"), (draw < ppm).alias("mix_kept")

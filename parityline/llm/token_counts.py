@@ -42,11 +42,8 @@ def count_tokens(
     """
     spark, version = docs.sparkSession, file_digest(tokenizer)
     text = text_of(text_col)
-    named = docs.select(
-        F.col(id_col),
-        F.octet_length(text).cast("long").alias("n_bytes"),
-        F.unhex(F.sha2(normalised(text, tokenizer), 256)).alias("digest"),
-    )
+    digest = F.unhex(F.sha2(normalised(text, tokenizer), 256)).alias("digest")
+    named = docs.select(F.col(id_col), F.octet_length(text).cast("long").alias("n_bytes"), digest)
     named = staged(named, "token-digests")
 
     def stored() -> DataFrame:
@@ -60,10 +57,11 @@ def count_tokens(
         before = spark.createDataFrame([], "digest binary, n_tokens long")
     # One document for each digest that has no count. Copies meet as partial minima, not as rows.
     chosen = (
-        named.groupBy("digest").agg(F.min(id_col).alias(id_col)).join(before, "digest", "left_anti").select(id_col, "digest")
+        named.groupBy("digest").agg(F.min(id_col).alias("_id")).join(before, "digest", "left_anti").select("_id", F.col("digest").alias("_digest"))
     )
-    texts = docs.select(id_col, text_bytes(text_col).alias("text"))
-    misses = texts.join(chosen.hint("merge"), id_col).select("digest", "text")
+    texts = docs.select(F.col(id_col).alias("_own"), digest, text_bytes(text_col).alias("text"))
+    same = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+    misses = texts.join(chosen.hint("merge"), same).select("digest", "text")
 
     def encode(batches):
         encoder = Encoder(tokenizer)
@@ -73,6 +71,8 @@ def count_tokens(
 
     (
         misses.mapInArrow(encode, "digest binary, n_tokens long")
+        .groupBy("digest")  # rows that repeat id and text
+        .agg(F.max("n_tokens").alias("n_tokens"))
         .select(F.lit(version).alias("tokenizer"), "digest", "n_tokens")
         .write.mode("append")
         .parquet(cache)
