@@ -75,6 +75,9 @@ def equal_values(a: Column, b: Column, ta: T.DataType, tb: T.DataType) -> Column
         x, y = to_number(a, ta), to_number(b, tb)
         texts = norm_datetime(as_text(a, ta)) == norm_datetime(as_text(b, tb))
         present = F.when(x.isNotNull() & y.isNotNull(), (x == y) & ~F.isnan(x)).otherwise(texts)
+        if isinstance(ta, T.StringType) and isinstance(tb, T.StringType):
+            # Equal texts need no parsing, but a text that spells "not a number" equals nothing.
+            present = F.when(a == b, ~F.lower(F.trim(a)).isin("nan", "+nan", "-nan")).otherwise(present)
     return (
         F.when(ma & mb, F.lit(True))
         .when(ma, is_zero(b, tb))

@@ -7,6 +7,8 @@ aggregate on the same key, and the differing fields of a pair come out of one ar
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,7 +73,7 @@ def compare_tables(
     def row(field: str, a: Column, b: Column, status: str) -> Column:
         return F.struct(F.lit(field).alias("field"), a.alias("source_value"), b.alias("target_value"), F.lit(status).alias("status"))
 
-    found = []
+    found, unlike = [], []
     for f in names:
         a = F.col(f"s.`{f}`") if f in kinds_s else absent
         b = F.col(f"t.`{f}`") if f in kinds_t else absent
@@ -80,14 +82,17 @@ def compare_tables(
             a = F.lit(None).cast(ta)
         if f not in kinds_t:
             b = F.lit(None).cast(tb)
-        found.append(F.when(~equal_values(a, b, ta, tb), row(f, as_text(a, ta), as_text(b, tb), DIFF)))
+        unlike.append(~equal_values(a, b, ta, tb))
+        found.append(F.when(unlike[-1], row(f, as_text(a, ta), as_text(b, tb), DIFF)))
     pair = F.filter(F.array(*found), lambda x: x.isNotNull()) if found else F.array().cast("array<struct<field:string,source_value:string,target_value:string,status:string>>")
     diffs = (
         F.when(F.col("t").isNull(), F.array(row("*", F.lit(WHOLE_ROW), absent, MISSING_IN_TARGET)))
         .when(F.col("s").isNull(), F.array(row("*", absent, F.lit(WHOLE_ROW), MISSING_IN_SOURCE)))
         .otherwise(pair)
     )
-    return both.select(*by, F.col(pk).alias("pk"), F.inline(diffs))
+    # Pairs without a difference, normally nearly all, leave before any text is made of their values.
+    some = reduce(or_, [F.col("s").isNull(), F.col("t").isNull(), *unlike])
+    return both.filter(some).select(*by, F.col(pk).alias("pk"), F.inline(diffs))
 
 
 def _windows_of_both(s: DataFrame, t: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:

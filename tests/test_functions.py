@@ -29,7 +29,8 @@ EQUAL = [
     (None, "a", "string", "string", False),
     (NAN, None, "double", "double", True),
     (NAN, 0.0, "double", "double", True),
-    ("nan", "nan", "string", "string", True),
+    ("nan", "nan", "string", "string", False),
+    ("x", "x", "string", "string", True),
     ("nan", NAN, "string", "double", False),
     ("01", 1, "string", "int", True),
     ("1d", 1, "string", "int", False),
