@@ -28,7 +28,11 @@ from parityline.llm.common import scratch, staged, text_of, without_blanks
 
 #: Bytes of files that a micro-batch takes.
 BATCH_BYTES = 64 << 30
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; no space is set aside ahead of need, as every state partition has a store of its own.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -52,9 +56,9 @@ def rows_of(docs: DataFrame, digest: Callable[[Column], Column], id_col: str, te
 
 def stream_state(spark: SparkSession, path: str, schema: StructType, checkpoint: str, digest: Callable[[Column], Column] = sha256, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Run the stream over all files below path that the checkpoint has not seen; the state: digest, group_size, keep."""
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         path = path.rstrip("/")
         either = f"{path[:-1]}[{path[-1]}]"  # a pattern may name a file as well as a folder; a plain path a folder only
@@ -71,7 +75,8 @@ def stream_state(spark: SparkSession, path: str, schema: StructType, checkpoint:
         if query.exception():
             raise query.exception()
     finally:
-        spark.conf.unset(provider) if before is None else spark.conf.set(provider, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     found = spark.read.format("statestore").load(checkpoint)
     count, keep = [f"value.`{f.name}`" for f in found.schema["value"].dataType]
     return found.select(F.col("key.digest").alias("digest"), F.col(count).alias("group_size"), F.col(keep).alias("keep"))
