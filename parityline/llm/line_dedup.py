@@ -12,8 +12,8 @@ more. Words are what stands between ASCII white space; lines without words are n
    to a self-join with the length filter, the positional filter and a parity filter (the XOR of one bit for each
    word differs in no more bits than the sets differ in words).
 4. Candidates are verified on the words themselves, which are read again for the candidate lines only; a fixed-size bit
-   filter keeps the other documents out of that shuffle, and false hits of it fall to the join.
-5. Of each verified pair the class whose first line comes later loses that line too.
+   filter keeps the other lines out of that shuffle, and false hits of it fall to the join.
+5. A class that an earlier one matches loses its first line too. One match is enough, so candidates are tried in rounds.
 
 Edge cases: null and empty texts have no lines to remove; blank lines stay; documents that share an id share its kept
 lines, so repeated rows keep theirs alike; null ids are carried through unchanged and take part in nothing; a very long
@@ -28,11 +28,11 @@ import itertools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityline.llm.common import staged, text_of
+from parityline.llm.common import free_name, staged, text_of
 
 THRESHOLD = 0.8
 SKETCH_BITS, SIDE_BITS = 20, 10
-#: Bits of the filter over candidate documents: 256 bitmaps of 32,768.
+#: Bits of the filter over candidate lines: 256 bitmaps of 32,768.
 FILTER_BITMAPS, BITMAP_BITS = 256, 32768
 #: Sizes and positions travel in 12 bits; the largest value means "or more".
 FULL = 4095
@@ -67,14 +67,13 @@ def lines_of(docs: DataFrame, levels: bytes, id_col: str, text_col: str) -> Data
     """doc_id, line_no, words: the ordered set of word codes (5 bits of level, 58 of hash) of each line with words."""
     line, table = F.posexplode(F.split(spaced(text_of(text_col)), "\n")), F.lit(bytearray(levels))
 
-    def code(w: Column) -> Column:
-        h = F.xxhash64(w)
+    def code(h: Column) -> Column:
         bucket = h.bitwiseAND((1 << SKETCH_BITS) - 1).cast("int")
         level = F.ascii(F.substring(table, bucket + 1, F.lit(1)).cast("string"))
         return F.shiftleft(level.cast("long"), 58).bitwiseOR(F.shiftrightunsigned(h, 6))
 
     lines = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), line.alias("line_no", "line")).filter(F.trim("line") != "")
-    words = F.sort_array(F.array_distinct(F.transform(F.filter(F.split("line", " "), lambda w: w != ""), code)))
+    words = F.sort_array(F.array_distinct(F.transform(F.transform(F.array_remove(F.split("line", " "), ""), lambda w: F.xxhash64(w)), code)))
     return lines.select("doc_id", "line_no", words.alias("words"))
 
 
@@ -82,12 +81,16 @@ def classes_of(lines: DataFrame, threshold: float) -> DataFrame:
     """One row for each word set: key, first (doc_id, line_no), n (its size), parity, prefix."""
     n = F.size("words")
     parity = F.aggregate("words", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(63).cast("int"))))
+    # 31 bits of each prefix word are enough to find candidates.
+    prefix = F.transform(F.slice("words", F.lit(1), (n - ceil_share(n, threshold) + 1).cast("int")), lambda w: F.shiftrightunsigned(w, 20).bitwiseAND(0x7FFFFFFF).cast("int"))
+    # Two hashes of 64 bits name a set.
     named = lines.select(
-        F.unhex(F.md5(F.array_join(F.transform("words", lambda w: F.hex(w)), "").cast("binary"))).alias("set"),
-        F.struct("doc_id", "line_no", n.alias("n"), parity.alias("parity"), F.slice("words", F.lit(1), (n - ceil_share(n, threshold) + 1).cast("int")).alias("prefix")).alias("first"),
+        F.xxhash64("words").alias("key"),
+        F.xxhash64(F.lit("line set"), "words").alias("set"),
+        F.struct("doc_id", "line_no", n.alias("n"), parity.alias("parity"), prefix.alias("prefix")).alias("first"),
     )
-    rows = named.groupBy("set").agg(F.min("first").alias("first"))
-    return staged(rows.select(F.xxhash64("set").alias("key"), F.struct("first.doc_id", "first.line_no").alias("first"), "first.n", "first.parity", "first.prefix"), "line-classes")
+    rows = named.groupBy("key", "set").agg(F.min("first").alias("first"))
+    return staged(rows.select("key", F.struct("first.doc_id", "first.line_no").alias("first"), "first.n", "first.parity", "first.prefix"), "line-classes")
 
 
 def candidates(classes: DataFrame, threshold: float) -> DataFrame:
@@ -95,10 +98,10 @@ def candidates(classes: DataFrame, threshold: float) -> DataFrame:
     # Sets of fewer than four words reach 0.8 only when they are equal: the bound is n / (n + 1) for n against n + 1.
     least = next(n for n in range(1, 1000) if n / (n + 1) >= threshold) if threshold < 1 else 1 << 30
     rows = classes.filter(F.col("n") >= least).select("key", "parity", "n", F.posexplode("prefix").alias("pos", "word"))
-    # One long carries the word (39 bits), the size and the position: fewer bytes in the only large shuffle.
+    # One long carries the word, the size and the position: fewer bytes in the only large shuffle.
     packed = rows.select(
         "key", "parity",
-        F.shiftleft(F.shiftrightunsigned(F.xxhash64("word"), 25), 24).bitwiseOR(F.shiftleft(F.least("n", F.lit(FULL)).cast("long"), 12)).bitwiseOR(F.least("pos", F.lit(FULL)).cast("long")).alias("packed"),
+        F.shiftleft(F.col("word").cast("long"), 24).bitwiseOR(F.shiftleft(F.least("n", F.lit(FULL)).cast("long"), 12)).bitwiseOR(F.least("pos", F.lit(FULL)).cast("long")).alias("packed"),
     )
     a, b = (packed.select(*[F.col(c).alias(f"{c}_{x}") for c in packed.columns]) for x in "ab")
 
@@ -120,36 +123,59 @@ def candidates(classes: DataFrame, threshold: float) -> DataFrame:
     return staged(found.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct(), "line-candidates")
 
 
-def only_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """Rows of docs whose id may be among ids (doc_id): a fixed-size bit filter, exact but for false hits."""
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITMAPS * BITMAP_BITS)) + 1
-    maps = ids.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
-    every = docs.sparkSession.range(1, FILTER_BITMAPS + 1).withColumnRenamed("id", "bucket").join(maps, "bucket", "left")
+def only_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of lines (doc_id, line_no, ...) that may be among wanted: a fixed-size bit filter, exact but for false hits."""
+
+    def spot() -> Column:
+        return F.pmod(F.xxhash64("doc_id", "line_no"), F.lit(FILTER_BITMAPS * BITMAP_BITS)) + 1
+
+    maps = wanted.select(spot().alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
+    every = lines.sparkSession.range(1, FILTER_BITMAPS + 1).withColumnRenamed("id", "bucket").join(maps, "bucket", "left")
     none = F.unhex(F.lit("00" * (BITMAP_BITS // 8)))
     row = every.select(F.struct("bucket", F.coalesce("bits", none).alias("bits")).alias("x")).agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["bits"]).alias("maps"))
     maps = staged(row, "line-filter").select("maps").scalar()
-    own = F.pmod(F.xxhash64(F.col(id_col)), F.lit(FILTER_BITMAPS * BITMAP_BITS)) + 1
-    at = F.bitmap_bit_position(own)
-    byte = F.conv(F.hex(F.substring(F.get(maps, (F.bitmap_bucket_number(own) - 1).cast("int")), (at / 8).cast("int") + F.lit(1), F.lit(1))), 16, 10).cast("int")
-    return docs.filter(F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(1) == 1)
+    at = F.bitmap_bit_position(spot())
+    byte = F.conv(F.hex(F.substring(F.get(maps, (F.bitmap_bucket_number(spot()) - 1).cast("int")), (at / 8).cast("int") + F.lit(1), F.lit(1))), 16, 10).cast("int")
+    return lines.filter(F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(1) == 1)
 
 
-def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
-    """first_a, first_b of the candidate pairs whose word sets reach the threshold."""
+def later_lines(docs: DataFrame, classes: DataFrame, pairs: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
+    """first (doc_id, line_no) of every class that an earlier class matches.
+
+    One match is enough to remove a line, so each class is first compared with its earliest candidate and only what is
+    left with all its candidates: a group of k near-equal lines costs about k comparisons, not k * k, and the result is
+    that of all of them. Words travel as 64-bit hashes.
+    """
     firsts = classes.select("key", "first")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(firsts, "key")
-    wanted = staged(wanted.select("key", "first.doc_id", "first.line_no"), "line-wanted")
-    near = only_ids(docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), wanted, "doc_id")
-    per_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("key", "line_no")).alias("lines"))
-    found = near.join(per_doc, "doc_id").select(F.split(spaced(text_of("text")), "\n").alias("all"), F.explode("lines").alias("x"))
-    sets = found.select(F.col("x.key").alias("key"), F.array_distinct(F.filter(F.split(F.get("all", F.col("x.line_no")), " "), lambda w: w != "")).alias("words"))
-    # Documents that share an id may give several sets for a key; a key's smallest is taken.
-    sets = staged(sets.groupBy("key").agg(F.min("words").alias("words")).join(firsts, "key"), "line-sets")
-    a, b = (sets.select(F.col("key").alias(x), F.col("first").alias(f"first_{x}"), F.col("words").alias(f"words_{x}")) for x in "ab")
-    both = pairs.join(a, "a").join(b, "b")
-    common = F.size(F.array_intersect("words_a", "words_b"))
-    union = F.size("words_a") + F.size("words_b") - common
-    return both.filter(common >= threshold * union - 1e-9).select("first_a", "first_b")
+    a, b = (firsts.select(F.col("key").alias(x), F.col("first").alias(f"first_{x}")) for x in "ab")
+    named = pairs.join(a, "a").join(b, "b")
+    swap = F.col("first_a") > F.col("first_b")
+    ordered = staged(
+        named.select(F.when(swap, F.col("first_b")).otherwise(F.col("first_a")).alias("early"), F.when(swap, F.col("first_a")).otherwise(F.col("first_b")).alias("late")).filter("early <> late"),
+        "line-ordered",
+    )
+    wanted = staged(ordered.select(F.explode(F.array("early", "late")).alias("first")).distinct().select("first", "first.doc_id", "first.line_no"), "line-wanted")
+    split = F.posexplode(F.split(spaced(text_of(text_col)), "\n")).alias("line_no", "line")
+    lines = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), split)
+    found = only_lines(lines, wanted).join(wanted, ["doc_id", "line_no"])
+    sets = found.select("first", F.array_distinct(F.transform(F.array_remove(F.split("line", " "), ""), lambda w: F.xxhash64(w))).alias("words"))
+    # Documents that share an id may give several sets for a line; the smallest is taken.
+    sets = staged(sets.groupBy("first").agg(F.min("words").alias("words")), "line-sets")
+    x, y = (sets.select(F.col("first").alias(c), F.col("words").alias(f"words_{c}")) for c in ("early", "late"))
+
+    def matched(some: DataFrame) -> DataFrame:
+        common = F.size(F.array_intersect("words_early", "words_late"))
+        union = F.size("words_early") + F.size("words_late") - common
+        hits = some.join(x, "early").join(y, "late").filter(common >= threshold * union - 1e-9)
+        return staged(hits.select("late").distinct(), "line-later")
+
+    gone, left = None, ordered
+    for pick in (F.min, None):
+        some = left if pick is None else left.groupBy("late").agg(pick("early").alias("early"))
+        hit = matched(some)
+        gone = hit if gone is None else gone.unionByName(hit)
+        left = left.join(hit, "late", "left_anti")
+    return gone.withColumnRenamed("late", "first")
 
 
 def kept_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -157,18 +183,18 @@ def kept_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc
     levels = sketch_of(docs, text_col)
     classes = classes_of(lines_of(docs, levels, id_col, text_col), threshold)
     pairs = candidates(classes, threshold)
-    later = verified(docs, classes, pairs, threshold, id_col, text_col).select(F.greatest("first_a", "first_b").alias("first"))
-    gone = staged(later.distinct(), "line-later")
+    gone = later_lines(docs, classes, pairs, threshold, id_col, text_col)
     stay = classes.select("first").join(gone, "first", "left_anti")
     return stay.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.sort_array(F.collect_set("first.line_no")).alias("kept"))
 
 
 def drop_repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with the repeated lines taken out of the text; all rows and columns stay."""
-    kept = kept_lines(docs, threshold, id_col, text_col).withColumnsRenamed({"doc_id": "line_doc_id", "kept": "line_kept"})
-    joined = docs.join(kept, docs[id_col] == kept["line_doc_id"], "left")
+    own_id, own = free_name("line_doc_id", docs), free_name("line_kept", docs)
+    kept = kept_lines(docs, threshold, id_col, text_col).withColumnsRenamed({"doc_id": own_id, "kept": own})
+    joined = docs.join(kept, docs[id_col] == kept[own_id], "left")
     split = F.split(F.col(text_col), "\n")
-    keep = F.filter(split, lambda line, i: (F.trim(spaced(line)) == "") | F.coalesce(F.array_contains("line_kept", i), F.lit(False)))
+    keep = F.filter(split, lambda line, i: (F.trim(spaced(line)) == "") | F.coalesce(F.array_contains(own, i), F.lit(False)))
     cleaned = F.when(F.col(id_col).isNull(), F.col(text_col)).otherwise(F.array_join(keep, "\n"))
     return joined.select(*[cleaned.alias(c) if c == text_col else F.col(c) for c in docs.columns])
 
