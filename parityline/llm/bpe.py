@@ -110,7 +110,7 @@ class PairIndexBpe:
         return out
 
     def _one_by_one(self, piece: str) -> list[int]:
-        """Reference order: the lowest rank first, the leftmost of it first, one merge at a time."""
+        """The defining order: the lowest rank first, the leftmost of it first, one merge at a time."""
         s, ranks = self._symbols(piece), self.ranks
         while len(s) > 1:
             best = min(((ranks.get((s[i], s[i + 1]), (1 << 60,))[0], i) for i in range(len(s) - 1)))

@@ -101,7 +101,8 @@ def dedup(spark: SparkSession, path: str, checkpoint: str, digest: Callable[[Col
     )
     grouped = joined.filter("group_size > 1")
     kept = grouped.filter(F.col("this") == F.col("keep")).select("digest", F.col("norm").alias("kept_norm"))
-    clash = staged(grouped.join(kept, "digest").filter(F.col("norm") != F.col("kept_norm")).select("digest").distinct(), "dedup-clashes")
+    # Staged before distinct, so that the planner may split a hot group in the join.
+    clash = staged(grouped.join(kept, "digest").filter(F.col("norm") != F.col("kept_norm")).select("digest"), "dedup-clashes").distinct()
     # Normally empty: groups of a digest that two texts share are made again from the bytes.
     apart = (
         grouped.join(clash, "digest", "left_semi")
