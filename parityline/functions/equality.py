@@ -72,15 +72,12 @@ def equal_values(a: Column, b: Column, ta: T.DataType, tb: T.DataType) -> Column
     elif isinstance(ta, T.ArrayType) and isinstance(tb, T.ArrayType):
         present = a.cast("array<string>") == b.cast("array<string>")
     else:
-        x, y = to_number(a, ta), to_number(b, tb)
-        texts = norm_datetime(as_text(a, ta)) == norm_datetime(as_text(b, tb))
-        present = F.when(x.isNotNull() & y.isNotNull(), (x == y) & ~F.isnan(x)).otherwise(texts)
+        number = isinstance(ta, T.NumericType), isinstance(tb, T.NumericType)
+        present = to_number(a, ta) == to_number(b, tb)  # null where a text spells no number
+        if not any(number):
+            present = F.coalesce(present, norm_datetime(as_text(a, ta)) == norm_datetime(as_text(b, tb)))
         if isinstance(ta, T.StringType) and isinstance(tb, T.StringType):
             # Equal texts need no parsing, but a text that spells "not a number" equals nothing.
             present = F.when(a == b, ~F.lower(F.trim(a)).isin("nan", "+nan", "-nan")).otherwise(present)
-    return (
-        F.when(ma & mb, F.lit(True))
-        .when(ma, is_zero(b, tb))
-        .when(mb, is_zero(a, ta))
-        .otherwise(F.coalesce(present, F.lit(False)))
-    )
+    # Short expressions matter here: the virtual machine does not compile a generated method that is too long.
+    return F.when(ma, mb | is_zero(b, tb)).when(mb, is_zero(a, ta)).otherwise(F.coalesce(present, F.lit(False)))
