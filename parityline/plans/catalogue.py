@@ -247,6 +247,12 @@ def scan_id_window(t):
     return X.scan_id_window(t("orders"), "o_orderkey", 1000, 6000)
 
 
+@query("SELECT * FROM {orders} WHERE o_orderkey >= (SELECT min(o_orderkey) FROM {orders}) AND o_orderkey < (SELECT max(o_orderkey) + 1 FROM {orders})")
+def scan_id_window_all(t):
+    ids = W.id_range(t("orders"), "o_orderkey")
+    return X.scan_id_window(t("orders"), "o_orderkey", ids.select("min_id").scalar(), ids.select(F.col("max_id") + 1).scalar())
+
+
 @query("SELECT count(*) AS n, 1 AS all_in_range FROM {orders}")
 def scan_hash_shards(t):
     shards = X.scan_hash_shards(t("orders"), "o_orderkey", 8)
@@ -310,6 +316,12 @@ def assign_id_window(t):
     return W.assign_id_window(t("orders"), "o_orderkey", 700, first=5, last=12000, limit=12).select("o_orderkey", "id_from", "id_to")
 
 
+@query("""SELECT o_orderkey, lo + (o_orderkey - lo) // 700 * 700 AS id_from, lo + (o_orderkey - lo) // 700 * 700 + 700 AS id_to
+FROM {orders} CROSS JOIN (SELECT min(o_orderkey) AS lo FROM {orders}) AS ids WHERE o_orderkey IS NOT NULL""")
+def assign_id_window_all(t):
+    return W.assign_id_window(t("orders"), "o_orderkey", 700).select("o_orderkey", "id_from", "id_to")
+
+
 @query("""WITH g AS (SELECT unnest(range(TIMESTAMP '1996-01-01', TIMESTAMP '1998-07-01', INTERVAL 30 DAY)) AS window_from),
 s AS (SELECT TIMESTAMP '1996-01-01' + (date_diff('day', TIMESTAMP '1996-01-01', o_orderdate) // 30 * 30) * INTERVAL 1 DAY AS window_from, o_orderkey AS k FROM {orders}
       WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1998-07-01')

@@ -14,7 +14,8 @@ def scan_time_window(df: DataFrame, ts: str, start: datetime, end: datetime) ->
     return df.filter((F.col(ts) >= F.lit(start).cast(kind)) & (F.col(ts) < F.lit(end).cast(kind)))
 
 
-def scan_id_window(df: DataFrame, id_col: str, start: int, end: int) -> DataFrame:
+def scan_id_window(df: DataFrame, id_col: str, start: int | Column, end: int | Column) -> DataFrame:
+    """start <= id < end; a bound may be a scalar subquery."""
     return df.filter((F.col(id_col) >= start) & (F.col(id_col) < end))
 
 

@@ -46,3 +46,13 @@ def test_partitioning_does_not_matter(spark):
         assert sorted(map(tuple, df.collect()), key=str) == sorted(map(tuple, again.collect()), key=str)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_id_windows_cover_the_table(spark, sf):
+    path = f"/root/testdata/{sf}"
+    keys = sorted(r[0] for r in spark.read.parquet(f"{path}/orders.parquet").select("o_orderkey").collect())
+    rows = catalogue.queries()["assign_id_window_all"](spark, path).collect()
+    assert sorted(r["o_orderkey"] for r in rows) == keys
+    assert all(r["id_from"] <= r["o_orderkey"] < r["id_to"] == r["id_from"] + 700 and (r["id_from"] - keys[0]) % 700 == 0 for r in rows)
+    assert sorted(r["o_orderkey"] for r in catalogue.queries()["scan_id_window_all"](spark, path).collect()) == keys
