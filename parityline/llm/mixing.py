@@ -4,7 +4,9 @@ Documents are summed to cells (one for each source, language and topic that occu
 by one factor for each of its three values, so that token weights meet the target share of every source, then of every
 language, then of every topic, again and again; each factor table is staged before the next is computed. The fitted
 share of a cell and its tokens give the probability with which its documents are sampled: p = min(1, budget * share /
-tokens), the budget being a fraction of all tokens. A document is kept when the hash of its id falls below p, so the
+tokens), the budget being a fraction of all tokens. Calibration, the default, sets every factor with that cut in view, so that
+what cells at p = 1 lack is sampled from other cells and the targets and the budget are met; `reached` tells those that
+cannot be. A document is kept when the hash of its id falls below p, so the
 choice is the same on every run and in every partitioning.
 
 A value's cells meet as partial sums, so a source that holds a third of all documents is one row from each task. The
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parityline.llm.common import staged, text_of
@@ -30,6 +32,8 @@ NONE = "(none)"
 DIMS = ("source", "lang", "topic")
 #: Share of all tokens to sample, and rounds of raking, of the query and the pipeline.
 BUDGET, CYCLES = 0.7, 6
+#: Rounds of calibration.
+ROUNDS = 12
 SCALE = 1_000_000
 
 
@@ -91,19 +95,83 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], cycles: int = CYCLE
     return weighted(list(DIMS)).select(*DIMS, "tokens", "share")
 
 
-def probabilities(cells: DataFrame, targets: Mapping[str, DataFrame], budget: float = BUDGET, cycles: int = CYCLES) -> DataFrame:
-    """source, lang, topic, ppm: the sampling probability of each cell in millionths."""
+def _solutions(part: list[str], tokens: Column, pull: Column, goal: Column) -> Column:
+    """f: the solution of goal = tokens of larger pulls + f * (sum of tokens * pull of the others); full: where f * pull is 1."""
+    order = Window.partitionBy(*part).orderBy(pull.desc(), *[d for d in DIMS if d not in part])
+    fixed = F.coalesce(F.sum(tokens).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    free = F.sum(tokens * pull).over(order.rowsBetween(0, Window.unboundedFollowing))
+    return F.struct(F.try_divide(goal - fixed, free).alias("f"), F.try_divide(F.lit(1.0), pull).alias("full"))
+
+
+def _factor(df: DataFrame, name: str, part: list[str], pull: Column, goal: Column) -> DataFrame:
+    """df with column `name`: the factor f of the row's part for which the sum of tokens * min(1, f * pull) is goal.
+
+    The sum is the least of the lines that fix the k largest pulls at 1, so f is the largest of their solutions; where the
+    goal is out of reach, f is just large enough that all are 1.
+    """
+    every = Window.partitionBy(*part)
+    df = df.withColumn("_at", _solutions(part, F.col("tokens"), pull, goal))
+    return df.withColumn(name, F.least(F.max("_at.f").over(every), F.max("_at.full").over(every))).drop("_at")
+
+
+def calibrated(cells: DataFrame, targets: Mapping[str, DataFrame], budget: float = BUDGET, cycles: int = ROUNDS) -> DataFrame:
+    """source, lang, topic, tokens, p, goal_source, goal_lang, goal_topic (tokens to sample of the cell's three values).
+
+    p = min(1, product of the cell's three factors); each factor is set so that what is sampled of its value is the goal,
+    with the cells that are cut at 1 counted whole. A goal is the value's share of the budget, at most all its tokens, and
+    what it lacks goes to the other values of its kind in proportion to their weights.
+    """
+    total = cells.agg((F.sum("tokens").cast("double") * F.lit(float(budget))).alias("total")).scalar()
+    fit = cells.filter("tokens > 0").select(*DIMS, F.col("tokens").cast("double").alias("tokens"))
+    for d in DIMS:
+        fit = fit.join(targets[d].filter("weight > 0").select(F.col("value").alias(d), F.col("weight").cast("double").alias(f"w_{d}")), d)
+    fit = staged(fit.withColumn("budget", total), "mix-fit")
+    for d in DIMS:
+        values = fit.groupBy(d).agg(F.sum("tokens").alias("tokens"), F.first(f"w_{d}").alias("w"), F.first("budget").alias("budget"))
+        values = values.select(d, *[F.lit("").alias(o) for o in DIMS if o != d], "tokens", "w", "budget", F.lit(0).alias("all"))
+        goals = _factor(values, "f", ["all"], F.col("w") / F.col("tokens"), F.col("budget"))
+        goals = goals.select(d, F.least("tokens", F.col("f") * F.col("w")).alias(f"goal_{d}"))
+        fit = staged(fit.join(goals, d).withColumn(f"f_{d}", F.lit(1.0)), "mix-fit")
+    for _ in range(cycles):
+        for d in DIMS:
+            a, b = (F.col(f"f_{o}") for o in DIMS if o != d)
+            fit = _factor(fit, f"f_{d}", [d], a * b, F.col(f"goal_{d}"))
+        fit = staged(fit, "mix-fit")
+    p = F.least(F.lit(1.0), F.col("f_source") * F.col("f_lang") * F.col("f_topic"))
+    return fit.select(*DIMS, "tokens", F.coalesce(p, F.lit(0.0)).alias("p"), *[f"goal_{d}" for d in DIMS], *[f"w_{d}" for d in DIMS], "budget")
+
+
+def reached(fit: DataFrame, tolerance: float = 0.001) -> DataFrame:
+    """dim, value, wanted and expected tokens of the sample, met: what `calibrated` makes of every target."""
+    out = []
+    for d in DIMS:
+        per = fit.groupBy(F.lit(d).alias("dim"), F.col(d).alias("value")).agg(
+            F.first(f"w_{d}").alias("weight"), F.first("budget").alias("budget"), F.sum(F.col("p") * F.col("tokens")).alias("expected")
+        )
+        wanted = F.col("budget") * F.col("weight") / F.sum("weight").over(Window.partitionBy("dim"))
+        out.append(per.withColumn("wanted", wanted).select("dim", "value", "wanted", "expected", (F.abs(F.col("expected") - F.col("wanted")) <= tolerance * F.col("wanted")).alias("met")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def probabilities(cells: DataFrame, targets: Mapping[str, DataFrame], budget: float = BUDGET, cycles: int = ROUNDS) -> DataFrame:
+    """source, lang, topic, ppm: the sampling probability of each cell in millionths, calibrated."""
+    return calibrated(cells, targets, budget, cycles).select(*DIMS, F.round(F.col("p") * SCALE).cast("long").alias("ppm"))
+
+
+def cut_probabilities(cells: DataFrame, targets: Mapping[str, DataFrame], budget: float = BUDGET, cycles: int = CYCLES) -> DataFrame:
+    """The same from plain raking: what a cell loses where p is cut at 1 goes to no other cell."""
     total = cells.agg(F.sum("tokens").cast("double").alias("total")).scalar()
     p = F.least(F.lit(1.0), F.lit(budget) * total * F.col("share") / F.col("tokens"))
     return staged(rake(cells, targets, cycles).select(*DIMS, F.round(p * SCALE).cast("long").alias("ppm")), "mix-p")
 
 
-def mix(docs: DataFrame, topic: Column, targets: Mapping[str, DataFrame] | None = None, budget: float = BUDGET, cycles: int = CYCLES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mix(docs: DataFrame, topic: Column, targets: Mapping[str, DataFrame] | None = None, budget: float = BUDGET, cycles: int | None = None, id_col: str = "doc_id", text_col: str = "text", calibrate: bool = True) -> DataFrame:
     """docs with mix_source, mix_lang, mix_topic, mix_p and mix_kept; filter on mix_kept for the sample."""
     docs = docs.drop(*[f"mix_{d}" for d in DIMS], "mix_p", "mix_ppm", "mix_kept")  # of an earlier mixing
     cells = cells_of(docs, topic, text_col)
     targets = targets or {"source": tempered(cells, "source", 0.7), "lang": tempered(cells, "lang", 0.8), "topic": tempered(cells, "topic", 0.9)}
-    p = probabilities(cells, targets, budget, cycles).select(*[F.col(d).alias(f"mix_{d}") for d in DIMS], F.col("ppm").alias("mix_ppm"))
+    p = probabilities(cells, targets, budget, cycles or ROUNDS) if calibrate else cut_probabilities(cells, targets, budget, cycles or CYCLES)
+    p = p.select(*[F.col(d).alias(f"mix_{d}") for d in DIMS], F.col("ppm").alias("mix_ppm"))
     keyed = docs.select("*", *_keyed(docs, topic)).join(p, [f"mix_{d}" for d in DIMS], "left")
     ppm = F.coalesce("mix_ppm", F.lit(0))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary")), 1, 8), 16, 10).cast("long") % SCALE
@@ -114,7 +182,16 @@ def mix(docs: DataFrame, topic: Column, targets: Mapping[str, DataFrame] | None
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix(docs, form(text_of("text"))).select(
+    # Its SQL rakes without calibration.
+    return _sampled(mix(docs, form(text_of("text")), calibrate=False))
+
+
+def op1_mixing_calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sampled(mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), form(text_of("text"))))
+
+
+def _sampled(mixed: DataFrame) -> DataFrame:
+    return mixed.select(
         "doc_id", *[F.col(f"mix_{d}").alias(d) for d in DIMS], words(text_of("text")).alias("n_tokens"), F.col("mix_p").alias("p"), F.col("mix_kept").alias("kept")
     )
 

@@ -43,6 +43,27 @@ def test_rake_meets_targets(spark):
         assert got == pytest.approx({f"{d[0]}{k}": w / sum(ws) for k, w in enumerate(ws)}, abs=1e-6)
 
 
+def test_sample_meets_targets_where_cells_are_cut(spark):
+    tokens = {("s0", "l0", "t0"): 9000, ("s0", "l0", "t1"): 8000, ("s0", "l1", "t0"): 7000, ("s0", "l1", "t1"): 9000, ("s1", "l0", "t0"): 900,
+              ("s1", "l0", "t1"): 50, ("s1", "l1", "t0"): 800, ("s1", "l1", "t1"): 900, ("s2", "l1", "t1"): 100}
+    cells = spark.createDataFrame([(*k, n) for k, n in tokens.items()], "source string, lang string, topic string, tokens long")
+    goal = {"source": [0.89, 0.108, 0.002], "lang": [0.5, 0.5], "topic": [0.45, 0.55]}
+    targets = {d: spark.createDataFrame([(f"{d[0]}{k}", w) for k, w in enumerate(ws)], "value string, weight double") for d, ws in goal.items()}
+    rows = mixing.probabilities(cells, targets, 0.6).collect()
+    assert max(r["ppm"] for r in rows) == mixing.SCALE
+    budget = 0.6 * sum(tokens.values())
+    for d, ws in goal.items():
+        for k, w in enumerate(ws):
+            got = sum(tokens[r["source"], r["lang"], r["topic"]] * r["ppm"] / mixing.SCALE for r in rows if r[d] == f"{d[0]}{k}")
+            assert got == pytest.approx(w * budget, rel=1e-3)
+    # A source that is asked for more than it holds is taken whole, its lack goes to the others, and it is told.
+    more = targets | {"source": spark.createDataFrame([("s0", 0.8), ("s1", 0.1), ("s2", 0.1)], "value string, weight double")}
+    fit = mixing.calibrated(cells, more, 0.6)
+    assert sum(r["p"] * r["tokens"] for r in fit.collect()) == pytest.approx(budget, rel=1e-3)
+    told = {r["value"]: r["met"] for r in mixing.reached(fit).filter("dim = 'source'").collect()}
+    assert told["s2"] is False
+
+
 def test_mix_edges(spark, edge_docs, no_docs):
     clash = edge_docs.withColumn("mix_p", F.lit(5))
     out = mixing.mix(clash, mixing.form(text_of("text")))
