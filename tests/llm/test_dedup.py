@@ -147,6 +147,30 @@ def test_keep_one(spark, edge_docs, no_docs):
     assert ngram_join.keep_one(no_docs).count() == 0
 
 
+def test_one_id_with_several_texts_and_texts_without_id(spark):
+    def near(text, k):
+        w = text.split()
+        w[k] = "changed"
+        return " ".join(w)
+
+    def prose(seed, n):
+        return " ".join(f"w{seed}x{k}" for k in range(n))
+
+    a, b, c = prose(11, 60), prose(12, 60), prose(13, 60)
+    rows = [(7, a), (7, b), (7, near(b, 30)), (3, c), (9, near(c, 30)), (9, prose(14, 60)), (None, near(a, 30)), (None, prose(15, 60)), (None, near(prose(15, 60), 20))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.near_duplicates(docs).collect()
+    want = [(7, 7, 1, 1)] * 3 + [(3, 3, 1, 1), (9, 3, 1, 1), (9, 9, 0, 1), (None, 7, 1, 1), (None, None, 1, 1), (None, None, 1, 1)]
+    assert Counter((r["doc_id"], r["class_id"], r["n_links"], r["n_copies"]) for r in got) == Counter(want)
+    for n in (1, 5):
+        kept = [(r["doc_id"], r["text"]) for r in ngram_join.keep_one(docs.repartition(n)).collect()]
+        assert sorted(t for d, t in kept if d is None) == sorted(t for d, t in rows if d is None)
+        assert len([1 for d, t in kept if d == 7 and t == a]) == 1
+        assert len([1 for d, t in kept if d == 7 and t in (b, near(b, 30))]) == 1
+        assert sorted(x for x in kept if x[0] in (3, 9)) == sorted([(3, c), (9, prose(14, 60))])
+        assert len(kept) == 7
+
+
 def test_posterior_bounds():
     bounds = dict(ngram_join.fewest_matches())
     assert all(0 < m < n for n, m in bounds.items() if n > 16)
