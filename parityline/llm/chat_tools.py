@@ -11,6 +11,10 @@ Edge cases: a dependency on a call that does not exist is listed as unresolved a
 results for one call count (n_results) and the smallest text is used; a call without result has none; repeated calls give
 repeated rows with the same level; arguments that are null or no JSON object are the error "json"; a tool without
 schema is the error "tool"; null identifiers link to nothing and depend on nothing; empty tables give empty results.
+`link_calls` gives rows for calls only; results that name no call are the rows of `lost_results`, with the error "orphan".
+
+Of plain conversations, a user turn with null text is a call with an empty query, and system turns are neither calls nor
+results, so they give no row. Rows come in no order: (level, call_id) sorts a conversation.
 """
 
 from __future__ import annotations
@@ -115,6 +119,21 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     )
 
 
+def lost_results(calls: DataFrame, results: DataFrame) -> DataFrame:
+    """One row, in the columns of link_calls, for each result whose call_id is null or names no call.
+
+    results: conv_id, call_id, content. name, level are null, n_results is 1, the error is "orphan".
+    """
+    known = calls.select("call_id").distinct()
+    message = F.concat(
+        F.lit('{"arguments":null,"call_id":'), quoted(F.col("call_id")), F.lit(',"errors":["orphan"],"level":null,"name":null,"result":'), quoted(F.col("content")), F.lit("}")
+    )
+    return results.join(known, "call_id", "left_anti").select(
+        "conv_id", "call_id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("int").alias("level"), F.lit(1).cast("long").alias("n_results"),
+        F.lit(0).cast("long").alias("unresolved"), F.lit("orphan").alias("errors"), F.lit(False).alias("valid"), message.alias("message"),
+    )
+
+
 #: The four tools of the query: name, then parameter, kind, required.
 TOOLS = [
     (name, param, kind, required)
@@ -129,7 +148,8 @@ def turns_to_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     The tool and the flaws of its arguments (a limit that is missing or text, an unknown key, cut JSON) follow from the
     length of the turn; a call depends on the call two turns before, and every third one on that four turns before too.
     """
-    n = F.length("text")
+    conversations = conversations.withColumn("query", F.coalesce("text", F.lit("")))
+    n = F.length("query")
 
     def call_id(back: int) -> Column:
         return F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("_"), (F.col("turn") - back).cast("string"))
@@ -140,12 +160,12 @@ def turns_to_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         .otherwise(F.concat(F.lit('"limit" : '), (n % 10).cast("string"), F.lit(", ")))
     )
     arguments = F.concat(
-        F.lit('{"query" : '), quoted(F.col("text")), F.lit(", "), limit,
+        F.lit('{"query" : '), quoted(F.col("query")), F.lit(", "), limit,
         F.when(n % 11 == 0, F.lit('"debug" : true, ')).otherwise(F.lit("")),
         F.lit('"filter" : {"turn" : '), F.col("turn").cast("string"),
         F.lit(', "conv" : '), F.col("conv_id").cast("string"), F.when(n % 13 == 0, F.lit("}")).otherwise(F.lit("}}")),
     )
-    users = conversations.filter((F.col("role") == "user") & F.col("text").isNotNull())
+    users = conversations.filter(F.col("role") == "user")
     calls = users.select(
         "conv_id", call_id(0).alias("call_id"),
         F.element_at(F.array(*[F.lit(x) for x in ("search", "lookup", "summarise", "translate")]), n % 4 + 1).alias("name"),
@@ -155,13 +175,14 @@ def turns_to_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.when((F.col("turn") >= 4) & (n % 3 == 0), F.array(call_id(4))).otherwise(F.array().cast("array<string>")),
         ).alias("depends_on"),
     )
-    results = conversations.filter(F.col("role") == "assistant").select(call_id(1).alias("call_id"), F.col("text").alias("content"))
+    results = conversations.filter(F.col("role") == "assistant").select("conv_id", call_id(1).alias("call_id"), F.col("text").alias("content"))
     return calls, results
 
 
 def op8_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = turns_to_calls(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    return link_calls(calls, results, spark.createDataFrame(TOOLS, "name string, param string, kind string, required boolean"))
+    linked = link_calls(calls, results, spark.createDataFrame(TOOLS, "name string, param string, kind string, required boolean"))
+    return linked.unionByName(lost_results(calls, results))
 
 
 ORACLE = """

@@ -101,6 +101,15 @@ def test_links_and_order(spark):
     assert chat_tools.link_calls(calls.limit(0), results, schemas).count() == 0
 
 
+def test_no_turn_of_user_or_assistant_is_lost(spark, tmp_path):
+    turns = [(1, 0, "system", "be brief"), (1, 1, "user", None), (1, 2, "assistant", "yes"), (1, 3, "assistant", "again"), (2, 0, "assistant", "first"), (2, 1, "user", "abc")]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r["conv_id"], r["call_id"]): r for r in chat_tools.op8_chat_tools(spark, str(tmp_path)).collect()}
+    assert {k: (r["n_results"], "orphan" in r["errors"]) for k, r in got.items()} == {(1, "c1_1"): (1, False), (1, "c1_2"): (1, True), (2, "c2_-1"): (1, True), (2, "c2_1"): (0, False)}
+    assert json.loads(got[1, "c1_2"]["message"]) == {"arguments": None, "call_id": "c1_2", "errors": ["orphan"], "level": None, "name": None, "result": "again"}
+    assert got[1, "c1_1"]["message"].endswith('"result":"yes"}')
+
+
 def test_pipeline_runs(spark):
     import corpus_pipeline
 
