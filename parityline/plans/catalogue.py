@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -310,6 +310,16 @@ def window_grid(t):
     return W.window_grid(t("region").sparkSession, datetime(2024, 1, 3), datetime(2024, 1, 9, 12), "7h")
 
 
+@query("""SELECT g AS window_from, least(g + INTERVAL 7 HOUR, hi) AS window_to
+FROM (SELECT unnest(range(lo, hi, INTERVAL 7 HOUR)) AS g, hi FROM (SELECT min(ts) AS lo, max(ts) + INTERVAL 1 SECOND AS hi FROM {events} HAVING count(ts) > 0))""")
+def window_grid_all(t):
+    at = F.col("ts").cast("timestamp_ntz")
+    lo, hi = t("events").agg(F.min(at), F.max(at)).first()
+    if lo is None:  # no events, no windows
+        return W.window_grid(t("events").sparkSession, START, START, "7h")
+    return W.window_grid(t("events").sparkSession, lo, hi + timedelta(seconds=1), "7h")
+
+
 @query("""SELECT o_orderkey, 5 + (o_orderkey - 5) // 700 * 700 AS id_from, 5 + (o_orderkey - 5) // 700 * 700 + 700 AS id_to
 FROM {orders} WHERE o_orderkey >= 5 AND o_orderkey <= 12000 AND (o_orderkey - 5) // 700 < 12""")
 def assign_id_window(t):

@@ -56,3 +56,36 @@ def test_id_windows_cover_the_table(spark, sf):
     assert sorted(r["o_orderkey"] for r in rows) == keys
     assert all(r["id_from"] <= r["o_orderkey"] < r["id_to"] == r["id_from"] + 700 and (r["id_from"] - keys[0]) % 700 == 0 for r in rows)
     assert sorted(r["o_orderkey"] for r in catalogue.queries()["scan_id_window_all"](spark, path).collect()) == keys
+
+
+def test_window_grid_covers_the_events(spark):
+    rows = catalogue.queries()["window_grid_all"](spark, SF).orderBy("window_from").collect()
+    events = spark.read.parquet(f"{SF}/events.parquet").selectExpr("min(CAST(ts AS timestamp_ntz)) lo", "max(CAST(ts AS timestamp_ntz)) hi").first()
+    assert rows[0]["window_from"] == events["lo"] and rows[-1]["window_from"] <= events["hi"] < rows[-1]["window_to"]
+    assert all(a["window_to"] == b["window_from"] for a, b in zip(rows, rows[1:], strict=False))
+
+
+def xxhash64_of_long(x, seed=42):
+    """Spark's xxhash64 of one long, in plain Python."""
+    p1, p2, p3, p4, p5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+    top = (1 << 64) - 1
+
+    def turned(v, n):
+        return ((v << n) | (v >> (64 - n))) & top
+
+    h = (seed + p5 + 8) & top
+    h ^= turned((x & top) * p2 & top, 31) * p1 & top
+    h = (turned(h, 27) * p1 + p4) & top
+    h = (h ^ (h >> 33)) * p2 & top
+    h = (h ^ (h >> 29)) * p3 & top
+    h ^= h >> 32
+    return h - (1 << 64) if h >> 63 else h
+
+
+def test_shard_of_every_row(spark):
+    from parityline.sources.scans import scan_hash_shards
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet").selectExpr("CAST(o_orderkey AS bigint) AS k")
+    rows = scan_hash_shards(orders, "k", 8).collect()
+    assert len(rows) == orders.count()
+    assert all(r["shard"] == xxhash64_of_long(r["k"]) % 8 for r in rows)
