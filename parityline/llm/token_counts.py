@@ -1,6 +1,6 @@
 """Token counts through a digest cache.
 
-Each text is normalised (runs of ASCII white space become one space, ends are trimmed, where the tokenizer drops
+Each text is normalised (runs of ASCII white space become one space, also at the ends, where the tokenizer drops
 white space anyway; otherwise it is left as it is) and named by its SHA-256. The cache is a Parquet table of
 (tokenizer, digest, n_tokens), tokenizer being the digest of the vocabulary file. Documents are joined to it by both
 digests; of those without an entry one row for each digest is encoded, and the new counts are appended.
@@ -36,7 +36,7 @@ def count_tokens(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit), cached (the count was stored before this call).
+    """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit).
 
     cache: path of the cache table; it need not exist. Only this call's distinct misses are encoded and appended.
     """
