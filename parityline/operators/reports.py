@@ -250,3 +250,17 @@ def summary_with_logs(summary: DataFrame, queries: DataFrame) -> DataFrame:
     a = summary.groupBy("run_id").agg(F.sum("rows_count").alias("rows_reported"), F.count("*").alias("targets"))
     b = queries.groupBy("run_id").agg(F.count("*").alias("queries"), F.count_if(F.col("status") == "error").alias("failed_queries"))
     return a.join(b, "run_id", "left").na.fill(0, ["queries", "failed_queries"])
+
+
+def source_diagnostics(changes: DataFrame, missing: DataFrame) -> DataFrame:
+    """view, event, env, n: what each view holds for every event and environment."""
+    parts = [df.groupBy(F.lit(view).alias("view"), "event", "env").agg(F.count("*").alias("n")) for view, df in (("changes", changes), ("missing", missing))]
+    return parts[0].unionByName(parts[1])
+
+
+def count_windows_with_changes(changes: DataFrame, missing: DataFrame) -> DataFrame:
+    """event, env, changes_files, missing_files: the output files that were written."""
+    files = changes.select("event", "env", F.col("source_file").alias("c"), F.lit(None).cast("string").alias("m")).unionByName(
+        missing.select("event", "env", F.lit(None).cast("string").alias("c"), F.col("source_file").alias("m"))
+    )
+    return files.groupBy("event", "env").agg(F.count_distinct("c").alias("changes_files"), F.count_distinct("m").alias("missing_files"))

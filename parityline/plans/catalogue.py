@@ -775,3 +775,15 @@ def errors_from_queries(t):
 @query("SELECT 'changes' AS view, count(*) AS n FROM {changes} UNION ALL SELECT 'missing', count(*) FROM {missing}")
 def table_counts(t):
     return FI.table_counts({"changes": t("changes"), "missing": t("missing")})
+
+
+@query("""SELECT 'changes' AS view, event, env, count(*) AS n FROM {changes} GROUP BY event, env
+UNION ALL SELECT 'missing', event, env, count(*) FROM {missing} GROUP BY event, env""")
+def source_diagnostics(t):
+    return R.source_diagnostics(t("changes"), t("missing"))
+
+
+@query("""SELECT event, env, count(DISTINCT c) AS changes_files, count(DISTINCT m) AS missing_files FROM (
+    SELECT event, env, source_file AS c, NULL AS m FROM {changes} UNION ALL SELECT event, env, NULL, source_file FROM {missing}) GROUP BY event, env""")
+def count_windows_with_changes(t):
+    return R.count_windows_with_changes(t("changes"), t("missing"))
