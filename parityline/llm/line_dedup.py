@@ -1,41 +1,46 @@
 """Line deduplication by an exact set-similarity join, with DataFrame functions only.
 
 A line is removed when an earlier line (by document id, then position) has a word set of Jaccard similarity `threshold` or
-more. Words are what stands between ASCII white space; lines without words are never removed.
+more, whether or not that earlier line stays. Words are what stands between ASCII white space; lines without words stay.
 
-1. A sketch of 2**20 counters, summed over all words of all documents, gives each word a rarity level. Level, then
-   hash, is one global order of words; any order is exact, this one keeps the posting lists short. The sketch has a fixed
-   size (one byte a counter) whatever the corpus.
+1. A sketch of 2**16 counters over all words of all documents gives each word a rarity level. Level, then hash, is one global
+   order of words; any order is exact, this one keeps posting lists short. The sketch is one byte a counter, whatever the corpus.
 2. Lines with equal word sets form one class, named by its first line; all others of it are removed. Copies meet as
    partial minima, so a line that half of all documents repeat is one row from each task.
-3. Prefix filter: sets of n words that reach the threshold share a word among the first n - ceil(t n) + 1. Those words go
-   to a self-join with the length filter, the positional filter and a parity filter (the XOR of one bit for each
-   word differs in no more bits than the sets differ in words).
-4. Candidates are verified on the words themselves, which are read again for the candidate lines only; a fixed-size bit
-   filter keeps the other lines out of that shuffle, and false hits of it fall to the join.
-5. A class that an earlier one matches loses its first line too. One match is enough, so candidates are tried in rounds.
-
-Edge cases: null and empty texts have no lines to remove; blank lines stay; documents that share an id share its kept
-lines, so repeated rows keep theirs alike; null ids are carried through unchanged and take part in nothing; a very long
-line (4095 words and more) skips the length and positional filters and is verified like any other; an empty table gives
-an empty result; other columns are carried along by `drop_repeated_lines`.
+3. Leaders: classes that agree in the least or the largest hash of their words try the earliest class of their group, those that
+   fail try the earliest of what failed, and so on for LEADERS rounds. One match is enough, so a group of k near-equal lines
+   costs about k comparisons here, and what is matched needs no further partner.
+4. Prefix filter, for every class that no leader matched, against all classes: sets of n words that reach the threshold share
+   a word among the first n - ceil(t n) + 1. Those words go to a self-join with the length filter, the positional filter and a
+   parity filter (the XOR of one bit for each word differs in no more bits than the sets differ in words).
+5. Pairs of both steps are verified on the words, which are read again for their lines only; fixed-size bit filters keep
+   most other lines out of that shuffle, and what they let through falls to the join.
+
+Words are compared as 64-bit hashes and equal sets as two of them, so a verdict is wrong only where different words of
+two compared lines share a hash: a chance of about n * n / 2**64 for lines of n words (5e-16 for 100 words).
+
+Edge cases: null and empty texts have no lines to remove; blank lines stay; rows that repeat an id and a text share their
+lines and keep them alike; an id with several texts is several documents, in the order of their hashes; null ids are carried
+through unchanged and take part in nothing; a very long line is one line like others (of 65,535 words and more, lines skip
+the positional and parity filters); an empty table gives an empty result; other columns are carried along by
+`drop_repeated_lines`, whatever their names.
 """
 
 from __future__ import annotations
 
-import itertools
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parityline.llm.common import free_name, staged, text_of
 
-THRESHOLD = 0.8
-SKETCH_BITS, SIDE_BITS = 20, 10
-#: Bits of the filter over candidate lines: 256 bitmaps of 32,768.
+THRESHOLD, LEADERS = 0.8, 3
+SKETCH_BITS = 16
+#: Bits of the filters over documents and lines to read again: 256 bitmaps of 32,768.
 FILTER_BITMAPS, BITMAP_BITS = 256, 32768
-#: Sizes and positions travel in 12 bits; the largest value means "or more".
-FULL = 4095
+#: Sizes travel in 16 bits, positions in 14; the largest size means "or more".
+FULL, LAST = (1 << 16) - 1, (1 << 14) - 1
+#: What names a line: its document, and the number of the text under that id (normally 0) with the line number.
+NAME = ("doc_id", "place")
 
 
 def spaced(text: Column) -> Column:
@@ -50,149 +55,183 @@ def ceil_share(n: Column, share: float) -> Column:
     return F.ceil(n * share - 1e-9)
 
 
+def hashes(line: Column) -> Column:
+    """The hashes of the distinct words of a line."""
+    return F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w)))
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str, number: str) -> DataFrame:
+    """docs with the number of each row's text among the texts of its id: 0 where an id has one text."""
+    repeated = staged(docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).count().filter("count > 1").select("_id"), "line-repeated")
+    if repeated.isEmpty():
+        return docs.withColumn(number, F.lit(0).cast("long"))
+    text = F.xxhash64(text_of(text_col))
+    texts = docs.select(F.col(id_col).alias("_id"), text.alias("_text")).join(repeated, "_id", "left_semi").distinct()
+    texts = staged(texts.withColumn(number, F.row_number().over(Window.partitionBy("_id").orderBy("_text")).cast("long") - 1), "line-texts")
+    joined = docs.join(texts, (F.col(id_col) == F.col("_id")) & (text == F.col("_text")), "left")
+    return joined.select(*docs.columns, F.coalesce(number, F.lit(0)).alias(number))
+
+
 def sketch_of(docs: DataFrame, text_col: str) -> bytes:
     """The rarity level (0 to 31) of each of the 2**SKETCH_BITS buckets of words: one byte each, whatever the corpus."""
     word = F.explode(F.split(F.replace(spaced(text_of(text_col)), F.lit("\n"), F.lit(" ")), " "))
-    side = 1 << SIDE_BITS
-    counts = docs.select(word.alias("w")).filter("w <> ''").groupBy((F.xxhash64("w").bitwiseAND((1 << SKETCH_BITS) - 1)).alias("bucket")).agg(F.count("*").alias("n"))
-    level = F.least(F.lit(31), F.floor(F.log2(F.coalesce("n", F.lit(1)).cast("double")) * 1.5)).cast("tinyint")
-    every = docs.sparkSession.range(1 << SKETCH_BITS).withColumnRenamed("id", "bucket").join(counts, "bucket", "left")
-    rows = every.groupBy((F.col("bucket") / side).cast("int").alias("high")).agg(F.array_sort(F.collect_list(F.struct((F.col("bucket") % side).cast("int").alias("low"), level.alias("level")))).alias("row"))
-    rows = rows.select(F.struct("high", F.transform("row", lambda x: x["level"]).alias("row")).alias("x"))
-    found = rows.agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["row"]).alias("levels")).first()
-    return bytes(itertools.chain.from_iterable(found["levels"]))
+    bucket = F.xxhash64("w").bitwiseAND((1 << SKETCH_BITS) - 1).cast("int")
+    counts = docs.select(word.alias("w")).filter("w <> ''").groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    level = F.least(F.lit(31), F.floor(F.log2(F.col("n").cast("double")))).cast("int")
+    levels = bytearray(1 << SKETCH_BITS)
+    for x in counts.agg(F.collect_list(F.shiftleft("bucket", 5).bitwiseOR(level)).alias("all")).first()["all"]:
+        levels[x >> 5] = x & 31
+    return bytes(levels)
 
 
-def lines_of(docs: DataFrame, levels: bytes, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, line_no, words: the ordered set of word codes (5 bits of level, 58 of hash) of each line with words."""
-    line, table = F.posexplode(F.split(spaced(text_of(text_col)), "\n")), F.lit(bytearray(levels))
+def lines_of(docs: DataFrame, id_col: str, text_col: str, number: str) -> DataFrame:
+    """doc_id, place, line of each line; docs without an id have none."""
+    line = F.posexplode(F.split(spaced(text_of(text_col)), "\n")).alias("line_no", "line")
+    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(number).alias("_number"), line)
+    return rows.select("doc_id", F.shiftleft("_number", 32).bitwiseOR(F.col("line_no").cast("long")).alias("place"), "line")
 
-    def code(h: Column) -> Column:
-        bucket = h.bitwiseAND((1 << SKETCH_BITS) - 1).cast("int")
-        level = F.ascii(F.substring(table, bucket + 1, F.lit(1)).cast("string"))
-        return F.shiftleft(level.cast("long"), 58).bitwiseOR(F.shiftrightunsigned(h, 6))
 
-    lines = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), line.alias("line_no", "line")).filter(F.trim("line") != "")
-    words = F.sort_array(F.array_distinct(F.transform(F.transform(F.array_remove(F.split("line", " "), ""), lambda w: F.xxhash64(w)), code)))
-    return lines.select("doc_id", "line_no", words.alias("words"))
+def classes_of(lines: DataFrame, levels: bytes, threshold: float) -> DataFrame:
+    """One row for each word set: doc_id and place of its first line, n (its size), low and high (hashes), parity, prefix."""
+    table = F.from_json(F.lit(str(list(levels))), "array<tinyint>")  # folded to one constant
 
+    def code(h: Column) -> Column:
+        level = F.get(table, h.bitwiseAND((1 << SKETCH_BITS) - 1).cast("int"))
+        return F.shiftleft(level.cast("long"), 58).bitwiseOR(F.shiftrightunsigned(h, 6))
 
-def classes_of(lines: DataFrame, threshold: float) -> DataFrame:
-    """One row for each word set: key, first (doc_id, line_no), n (its size), parity, prefix."""
     n = F.size("words")
     parity = F.aggregate("words", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(63).cast("int"))))
     # 31 bits of each prefix word are enough to find candidates.
     prefix = F.transform(F.slice("words", F.lit(1), (n - ceil_share(n, threshold) + 1).cast("int")), lambda w: F.shiftrightunsigned(w, 20).bitwiseAND(0x7FFFFFFF).cast("int"))
+    hashed = lines.filter(F.trim("line") != "").select(*NAME, hashes(F.col("line")).alias("hashes"))
+    coded = hashed.select(*NAME, F.array_min("hashes").alias("low"), F.array_max("hashes").alias("high"), F.sort_array(F.transform("hashes", code)).alias("words"))
     # Two hashes of 64 bits name a set.
-    named = lines.select(
+    named = coded.select(
         F.xxhash64("words").alias("key"),
         F.xxhash64(F.lit("line set"), "words").alias("set"),
-        F.struct("doc_id", "line_no", n.alias("n"), parity.alias("parity"), prefix.alias("prefix")).alias("first"),
+        F.struct(*NAME, n.alias("n"), "low", "high", parity.alias("parity"), prefix.alias("prefix")).alias("first"),
     )
-    rows = named.groupBy("key", "set").agg(F.min("first").alias("first"))
-    return staged(rows.select("key", F.struct("first.doc_id", "first.line_no").alias("first"), "first.n", "first.parity", "first.prefix"), "line-classes")
+    return staged(named.groupBy("key", "set").agg(F.min("first").alias("first")).select("first.*"), "line-classes")
 
 
-def candidates(classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of keys (a < b) that pass the filters."""
-    # Sets of fewer than four words reach 0.8 only when they are equal: the bound is n / (n + 1) for n against n + 1.
-    least = next(n for n in range(1, 1000) if n / (n + 1) >= threshold) if threshold < 1 else 1 << 30
-    rows = classes.filter(F.col("n") >= least).select("key", "parity", "n", F.posexplode("prefix").alias("pos", "word"))
-    # One long carries the word, the size and the position: fewer bytes in the only large shuffle.
-    packed = rows.select(
-        "key", "parity",
-        F.shiftleft(F.col("word").cast("long"), 24).bitwiseOR(F.shiftleft(F.least("n", F.lit(FULL)).cast("long"), 12)).bitwiseOR(F.least("pos", F.lit(FULL)).cast("long")).alias("packed"),
-    )
-    a, b = (packed.select(*[F.col(c).alias(f"{c}_{x}") for c in packed.columns]) for x in "ab")
-
-    def size(x: str) -> Column:
-        return F.shiftright(f"packed_{x}", 12).bitwiseAND(FULL)
-
-    def pos(x: str) -> Column:
-        return F.col(f"packed_{x}").bitwiseAND(FULL)
-
-    n_a, n_b = size("a"), size("b")
-    need = ceil_share(n_a + n_b, threshold / (1 + threshold))
-    fits = (
-        (n_a >= threshold * n_b - 1e-9) & (n_b >= threshold * n_a - 1e-9)
-        & (F.least(n_a - pos("a"), n_b - pos("b")) >= need)
-        & (F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= n_a + n_b - 2 * need)
-    )
-    same_word = F.shiftright("packed_a", 24) == F.shiftright("packed_b", 24)
-    found = a.join(b, same_word & (F.col("key_a") < F.col("key_b")) & ((n_a == FULL) | (n_b == FULL) | fits))
-    return staged(found.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct(), "line-candidates")
-
-
-def only_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of lines (doc_id, line_no, ...) that may be among wanted: a fixed-size bit filter, exact but for false hits."""
+def only(rows: DataFrame, wanted: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Rows that may be among wanted by the columns names: a fixed-size bit filter, exact but for what it lets through."""
 
     def spot() -> Column:
-        return F.pmod(F.xxhash64("doc_id", "line_no"), F.lit(FILTER_BITMAPS * BITMAP_BITS)) + 1
+        return F.pmod(F.xxhash64(*names), F.lit(FILTER_BITMAPS * BITMAP_BITS)) + 1
 
     maps = wanted.select(spot().alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
-    every = lines.sparkSession.range(1, FILTER_BITMAPS + 1).withColumnRenamed("id", "bucket").join(maps, "bucket", "left")
+    every = rows.sparkSession.range(1, FILTER_BITMAPS + 1).withColumnRenamed("id", "bucket").join(maps, "bucket", "left")
     none = F.unhex(F.lit("00" * (BITMAP_BITS // 8)))
     row = every.select(F.struct("bucket", F.coalesce("bits", none).alias("bits")).alias("x")).agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["bits"]).alias("maps"))
     maps = staged(row, "line-filter").select("maps").scalar()
     at = F.bitmap_bit_position(spot())
     byte = F.conv(F.hex(F.substring(F.get(maps, (F.bitmap_bucket_number(spot()) - 1).cast("int")), (at / 8).cast("int") + F.lit(1), F.lit(1))), 16, 10).cast("int")
-    return lines.filter(F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(1) == 1)
+    return rows.filter(F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(1) == 1)
+
+
+def word_sets(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, number: str) -> DataFrame:
+    """line (doc_id, place), words of the lines of pairs (late, early), read from the texts."""
+    wanted = staged(pairs.select(F.explode(F.array("late", "early")).alias("line")).distinct().select("line.*"), "line-wanted")
+    own = docs.withColumnRenamed(id_col, "doc_id") if id_col != "doc_id" else docs
+    some = only(own, wanted.select("doc_id").distinct(), NAME[:1])
+    lines = only(lines_of(some, "doc_id", text_col, number), wanted, NAME).join(wanted, list(NAME))
+    # Rows that repeat an id and a text give a line several times.
+    once = lines.groupBy(*NAME).agg(F.min("line").alias("line"))
+    return staged(once.select(F.struct(*NAME).alias("line"), hashes(F.col("line")).alias("words")), "line-sets")
+
+
+def matched(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """late: lines that one of their pairs matches."""
+    x, y = (sets.select(F.col("line").alias(c), F.col("words").alias(f"words_{c}")) for c in ("early", "late"))
+    common = F.size(F.array_intersect("words_early", "words_late"))
+    union = F.size("words_early") + F.size("words_late") - common
+    return staged(pairs.join(x, "early").join(y, "late").filter(common >= threshold * union - 1e-9).select("late").distinct(), "line-later")
+
+
+def led(docs: DataFrame, classes: DataFrame, threshold: float, read: tuple[str, str, str]) -> DataFrame:
+    """late: lines of classes that a leader of their group matches."""
+    rows = classes.select(F.explode(F.array("low", "high")).alias("group"), F.struct(*NAME).alias("late"))
+    gone = sets = None
+    for k in range(LEADERS):
+        leaders = rows.groupBy("group").agg(F.min("late").alias("early"))
+        # In the first round most groups are one class, which has no pair and leaves.
+        tried = staged(rows.join(leaders, "group").filter(F.col("early") < F.col("late")), "line-tried")
+        if sets is None:
+            sets = word_sets(docs, tried, *read)
+        hit = matched(tried.select("late", "early").distinct(), sets, threshold)
+        gone = hit if gone is None else gone.unionByName(hit)
+        rows = tried.select("group", "late").join(hit, "late", "left_anti")
+    return gone
 
 
-def later_lines(docs: DataFrame, classes: DataFrame, pairs: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
-    """first (doc_id, line_no) of every class that an earlier class matches.
+def candidates(classes: DataFrame, gone: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of lines (late, early) that pass the filters; late lines that are gone need none."""
+    # Sets of fewer than four words reach 0.8 only when they are equal: the bound is n / (n + 1) for n against n + 1.
+    least = next(n for n in range(1, 1000) if n / (n + 1) >= threshold) if threshold < 1 else 1 << 30
+    done = gone.select("late.*", F.lit(1).alias("done"))
+    open_ = classes.filter(F.col("n") >= least).join(done, list(NAME), "left")
+    rows = open_.select(*NAME, "parity", "n", F.coalesce("done", F.lit(0)).alias("done"), F.posexplode("prefix").alias("pos", "word"))
+    # One long carries the word, the mark, the size and the position: fewer bytes in the only large shuffle.
+    fields = (("word", 31), ("done", 30), ("n", 14), ("pos", 0))
+    limits = {"n": FULL, "pos": LAST}
+    packed = F.lit(0).cast("long")
+    for name, shift in fields:
+        value = F.least(name, F.lit(limits[name])) if name in limits else F.col(name)
+        packed = packed.bitwiseOR(F.shiftleft(value.cast("long"), shift))
+    rows = rows.select(*NAME, "parity", packed.alias("packed"))
+    a, b = (rows.select(*[F.col(c).alias(f"{c}_{x}") for c in rows.columns]) for x in "ab")
+
+    def n(x: str) -> Column:
+        return F.shiftright(f"packed_{x}", 14).bitwiseAND(FULL)
+
+    def pos(x: str) -> Column:
+        return F.col(f"packed_{x}").bitwiseAND(LAST)
+
+    n_a, n_b = n("a"), n("b")
+    need = ceil_share(n_a + n_b, threshold / (1 + threshold))
+    near = (
+        (F.least(n_a - pos("a"), n_b - pos("b")) >= need)
+        & (F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= n_a + n_b - 2 * need)
+    )
+    earlier = (F.col("doc_id_a") < F.col("doc_id_b")) | ((F.col("doc_id_a") == F.col("doc_id_b")) & (F.col("place_a") < F.col("place_b")))
+    fits = earlier & (n_a >= threshold * n_b - 1e-9) & (n_b >= threshold * n_a - 1e-9) & ((n_a == FULL) | (n_b == FULL) | near)
+    # In one expression with both sides, so that the mark is not filtered below the exchange, which both sides share.
+    wanted = F.when(F.shiftright("packed_b", 30).bitwiseAND(1) == 1, False).otherwise(fits)
+    found = a.join(b, (F.shiftright("packed_a", 31) == F.shiftright("packed_b", 31)) & wanted)
+    late, early = (F.struct(*[F.col(f"{c}_{x}").alias(c) for c in NAME]).alias(name) for x, name in (("b", "late"), ("a", "early")))
+    return staged(found.select(late, early).distinct(), "line-candidates")
 
-    One match is enough to remove a line, so each class is first compared with its earliest candidate and only what is
-    left with all its candidates: a group of k near-equal lines costs about k comparisons, not k * k, and the result is
-    that of all of them. Words travel as 64-bit hashes.
-    """
-    firsts = classes.select("key", "first")
-    a, b = (firsts.select(F.col("key").alias(x), F.col("first").alias(f"first_{x}")) for x in "ab")
-    named = pairs.join(a, "a").join(b, "b")
-    swap = F.col("first_a") > F.col("first_b")
-    ordered = staged(
-        named.select(F.when(swap, F.col("first_b")).otherwise(F.col("first_a")).alias("early"), F.when(swap, F.col("first_a")).otherwise(F.col("first_b")).alias("late")).filter("early <> late"),
-        "line-ordered",
-    )
-    wanted = staged(ordered.select(F.explode(F.array("early", "late")).alias("first")).distinct().select("first", "first.doc_id", "first.line_no"), "line-wanted")
-    split = F.posexplode(F.split(spaced(text_of(text_col)), "\n")).alias("line_no", "line")
-    lines = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), split)
-    found = only_lines(lines, wanted).join(wanted, ["doc_id", "line_no"])
-    sets = found.select("first", F.array_distinct(F.transform(F.array_remove(F.split("line", " "), ""), lambda w: F.xxhash64(w))).alias("words"))
-    # Documents that share an id may give several sets for a line; the smallest is taken.
-    sets = staged(sets.groupBy("first").agg(F.min("words").alias("words")), "line-sets")
-    x, y = (sets.select(F.col("first").alias(c), F.col("words").alias(f"words_{c}")) for c in ("early", "late"))
-
-    def matched(some: DataFrame) -> DataFrame:
-        common = F.size(F.array_intersect("words_early", "words_late"))
-        union = F.size("words_early") + F.size("words_late") - common
-        hits = some.join(x, "early").join(y, "late").filter(common >= threshold * union - 1e-9)
-        return staged(hits.select("late").distinct(), "line-later")
-
-    gone, left = None, ordered
-    for pick in (F.min, None):
-        some = left if pick is None else left.groupBy("late").agg(pick("early").alias("early"))
-        hit = matched(some)
-        gone = hit if gone is None else gone.unionByName(hit)
-        left = left.join(hit, "late", "left_anti")
-    return gone.withColumnRenamed("late", "first")
 
+def kept_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", number: str | None = None) -> DataFrame:
+    """doc_id, number, kept: the positions of the lines with words that stay, for each document that keeps any.
 
-def kept_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, kept: the positions of the lines with words that stay, for each document that keeps any."""
-    levels = sketch_of(docs, text_col)
-    classes = classes_of(lines_of(docs, levels, id_col, text_col), threshold)
-    pairs = candidates(classes, threshold)
-    gone = later_lines(docs, classes, pairs, threshold, id_col, text_col)
-    stay = classes.select("first").join(gone, "first", "left_anti")
-    return stay.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.sort_array(F.collect_set("first.line_no")).alias("kept"))
+    number tells the texts of an id apart, as `numbered` does; it is the name of that column where docs has it already.
+    """
+    if number is None:
+        number = free_name("line_number", docs)
+        docs = numbered(docs.select(id_col, text_col), id_col, text_col, number)
+    read = (id_col, text_col, number)
+    classes = classes_of(lines_of(docs, *read), sketch_of(docs, text_col), threshold)
+    gone = led(docs, classes, threshold, read)
+    pairs = candidates(classes, gone, threshold)
+    gone = gone.unionByName(matched(pairs, word_sets(docs, pairs, *read), threshold))
+    stay = classes.select(*NAME).join(gone.select("late.*"), list(NAME), "left_anti")
+    line_no = F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
+    return stay.groupBy("doc_id", F.shiftright("place", 32).alias("number")).agg(F.sort_array(F.collect_set(line_no)).alias("kept"))
+
+
+def _with_kept(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """docs with the positions of the kept lines in a column of that name."""
+    number, own_id, own_number, own = (free_name(c, docs) for c in ("line_number", "line_doc_id", "line_own_number", "line_kept"))
+    docs = numbered(docs, id_col, text_col, number)
+    kept = kept_lines(docs, threshold, id_col, text_col, number).withColumnsRenamed({"doc_id": own_id, "number": own_number, "kept": own})
+    return docs.join(kept, (F.col(id_col) == F.col(own_id)) & (F.col(number) == F.col(own_number)), "left"), own
 
 
 def drop_repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with the repeated lines taken out of the text; all rows and columns stay."""
-    own_id, own = free_name("line_doc_id", docs), free_name("line_kept", docs)
-    kept = kept_lines(docs, threshold, id_col, text_col).withColumnsRenamed({"doc_id": own_id, "kept": own})
-    joined = docs.join(kept, docs[id_col] == kept[own_id], "left")
+    joined, own = _with_kept(docs, threshold, id_col, text_col)
     split = F.split(F.col(text_col), "\n")
     keep = F.filter(split, lambda line, i: (F.trim(spaced(line)) == "") | F.coalesce(F.array_contains(own, i), F.lit(False)))
     cleaned = F.when(F.col(id_col).isNull(), F.col(text_col)).otherwise(F.array_join(keep, "\n"))
@@ -201,12 +240,10 @@ def drop_repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: s
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines (with words), n_kept, kept_lines (positions, comma-separated) of every document."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    kept = kept_lines(docs)
-    counts = docs.select("doc_id", F.size(F.filter(F.split(spaced(text_of("text")), "\n"), lambda x: F.trim(x) != "")).alias("n_lines"))
-    return counts.join(kept, "doc_id", "left").select(
-        "doc_id", "n_lines", F.coalesce(F.size("kept"), F.lit(0)).alias("n_kept"), F.coalesce(F.array_join("kept", ","), F.lit("")).alias("kept_lines")
-    )
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    n_lines = F.regexp_count(text_of("text"), F.lit(r"[^\x20\x09-\x0D][^\n]*"))
+    joined, own = _with_kept(docs.withColumn("n_lines", n_lines), THRESHOLD, "doc_id", "text")
+    return joined.select("doc_id", "n_lines", F.coalesce(F.size(own), F.lit(0)).alias("n_kept"), F.coalesce(F.array_join(own, ","), F.lit("")).alias("kept_lines"))
 
 
 ORACLE = r"""
