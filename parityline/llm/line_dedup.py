@@ -7,12 +7,11 @@ more, whether or not that earlier line stays. Words are what stands between ASCI
    order of words; any order is exact, this one keeps posting lists short. The sketch is one byte a counter, whatever the corpus.
 2. Lines with equal word sets form one class, named by its first line; all others of it are removed. Copies meet as
    partial minima, so a line that half of all documents repeat is one row from each task.
-3. Leaders: classes that agree in the least or the largest hash of their words try the earliest class of their group, those that
-   fail try the earliest of what failed, and so on for LEADERS rounds. One match is enough, so a group of k near-equal lines
-   costs about k comparisons here, and what is matched needs no further partner.
-4. Prefix filter, for every class that no leader matched, against all classes: sets of n words that reach the threshold share
-   a word among the first n - ceil(t n) + 1. Those words go to a self-join with the length filter, the positional filter and a
-   parity filter (the XOR of one bit for each word differs in no more bits than the sets differ in words).
+3. Prefix filter: sets of n words that reach the threshold share a word among the first n - ceil(t n) + 1, their prefix. Leaders
+   come first: classes that agree in the least or the largest hash of their prefix try the earliest class of their group. One
+   match is enough, so a group of k near-equal lines costs about k comparisons here, and what is matched needs no other partner.
+4. Every class that no leader matched meets all classes that share a word of its prefix, in a self-join with the length filter,
+   the positional filter and a parity filter (the XOR of one of 128 bits for each word differs in no more bits than the sets in words).
 5. Pairs of both steps are verified on the words, which are read again for their lines only; fixed-size bit filters keep
    most other lines out of that shuffle, and what they let through falls to the join.
 
@@ -28,17 +27,21 @@ the positional and parity filters); an empty table gives an empty result; other
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parityline.llm.common import free_name, staged, text_of
 
-THRESHOLD, LEADERS = 0.8, 3
+THRESHOLD = 0.8
 SKETCH_BITS = 16
 #: Bits of the filters over documents and lines to read again: 256 bitmaps of 32,768.
 FILTER_BITMAPS, BITMAP_BITS = 256, 32768
 #: Sizes travel in 16 bits, positions in 14; the largest size means "or more".
 FULL, LAST = (1 << 16) - 1, (1 << 14) - 1
+#: Longs of parity bits.
+PARITY = ("parity", "odd_parity")
 #: What names a line: its document, and the number of the text under that id (normally 0) with the line number.
 NAME = ("doc_id", "place")
 
@@ -57,7 +60,24 @@ def ceil_share(n: Column, share: float) -> Column:
 
 def hashes(line: Column) -> Column:
     """The hashes of the distinct words of a line."""
-    return F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w)))
+    return F.array_remove(F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+
+
+def parities(words: Column) -> list[Column]:
+    """Bits of 64 places, the words of a place XORed: of all words, and of those with an odd seventh bit.
+
+    Together they tell 128 places apart, and sets that differ in d words differ in d of them at most.
+    """
+
+    def part(one: Callable[[Column], Column]) -> Column:
+        return F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(F.call_function("shiftleft", one(w), w.bitwiseAND(63).cast("int"))))
+
+    return [part(lambda w: F.lit(1).cast("long")), part(lambda w: F.shiftright(w, 6).bitwiseAND(1))]
+
+
+def bits_apart(a: list[Column], b: list[Column]) -> Column:
+    every, odd = (x.bitwiseXOR(y) for x, y in zip(a, b, strict=True))
+    return F.bit_count(odd) + F.bit_count(every.bitwiseXOR(odd))
 
 
 def numbered(docs: DataFrame, id_col: str, text_col: str, number: str) -> DataFrame:
@@ -92,7 +112,7 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, number: str) -> DataFr
 
 
 def classes_of(lines: DataFrame, levels: bytes, threshold: float) -> DataFrame:
-    """One row for each word set: doc_id and place of its first line, n (its size), low and high (hashes), parity, prefix."""
+    """One row for each word set: doc_id and place of its first line, n (its size), two parities, prefix."""
     table = F.from_json(F.lit(str(list(levels))), "array<tinyint>")  # folded to one constant
 
     def code(h: Column) -> Column:
@@ -100,16 +120,15 @@ def classes_of(lines: DataFrame, levels: bytes, threshold: float) -> DataFrame:
         return F.shiftleft(level.cast("long"), 58).bitwiseOR(F.shiftrightunsigned(h, 6))
 
     n = F.size("words")
-    parity = F.aggregate("words", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(63).cast("int"))))
+    parity = [c.alias(name) for c, name in zip(parities(F.col("words")), PARITY, strict=True)]
     # 31 bits of each prefix word are enough to find candidates.
     prefix = F.transform(F.slice("words", F.lit(1), (n - ceil_share(n, threshold) + 1).cast("int")), lambda w: F.shiftrightunsigned(w, 20).bitwiseAND(0x7FFFFFFF).cast("int"))
-    hashed = lines.filter(F.trim("line") != "").select(*NAME, hashes(F.col("line")).alias("hashes"))
-    coded = hashed.select(*NAME, F.array_min("hashes").alias("low"), F.array_max("hashes").alias("high"), F.sort_array(F.transform("hashes", code)).alias("words"))
+    coded = lines.filter(F.trim("line") != "").select(*NAME, F.sort_array(F.transform(hashes(F.col("line")), code)).alias("words"))
     # Two hashes of 64 bits name a set.
     named = coded.select(
         F.xxhash64("words").alias("key"),
         F.xxhash64(F.lit("line set"), "words").alias("set"),
-        F.struct(*NAME, n.alias("n"), "low", "high", parity.alias("parity"), prefix.alias("prefix")).alias("first"),
+        F.struct(*NAME, n.alias("n"), *parity, prefix.alias("prefix")).alias("first"),
     )
     return staged(named.groupBy("key", "set").agg(F.min("first").alias("first")).select("first.*"), "line-classes")
 
@@ -132,7 +151,8 @@ def only(rows: DataFrame, wanted: DataFrame, names: tuple[str, ...]) -> DataFram
 
 def word_sets(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, number: str) -> DataFrame:
     """line (doc_id, place), words of the lines of pairs (late, early), read from the texts."""
-    wanted = staged(pairs.select(F.explode(F.array("late", "early")).alias("line")).distinct().select("line.*"), "line-wanted")
+    ends = [pairs.select(F.col(c).alias("line")).distinct() for c in ("late", "early")]
+    wanted = staged(ends[0].unionByName(ends[1]).distinct().select("line.*"), "line-wanted")
     own = docs.withColumnRenamed(id_col, "doc_id") if id_col != "doc_id" else docs
     some = only(own, wanted.select("doc_id").distinct(), NAME[:1])
     lines = only(lines_of(some, "doc_id", text_col, number), wanted, NAME).join(wanted, list(NAME))
@@ -142,36 +162,44 @@ def word_sets(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, num
 
 
 def matched(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """late: lines that one of their pairs matches."""
+    """late: lines that one of their pairs matches. Each line tries its earliest pair first, and all others only if that fails."""
     x, y = (sets.select(F.col("line").alias(c), F.col("words").alias(f"words_{c}")) for c in ("early", "late"))
     common = F.size(F.array_intersect("words_early", "words_late"))
     union = F.size("words_early") + F.size("words_late") - common
-    return staged(pairs.join(x, "early").join(y, "late").filter(common >= threshold * union - 1e-9).select("late").distinct(), "line-later")
 
+    def hits(some: DataFrame) -> DataFrame:
+        return staged(some.join(x, "early").join(y, "late").filter(common >= threshold * union - 1e-9).select("late").distinct(), "line-later")
 
-def led(docs: DataFrame, classes: DataFrame, threshold: float, read: tuple[str, str, str]) -> DataFrame:
-    """late: lines of classes that a leader of their group matches."""
-    rows = classes.select(F.explode(F.array("low", "high")).alias("group"), F.struct(*NAME).alias("late"))
-    gone = sets = None
-    for k in range(LEADERS):
-        leaders = rows.groupBy("group").agg(F.min("late").alias("early"))
-        # In the first round most groups are one class, which has no pair and leaves.
-        tried = staged(rows.join(leaders, "group").filter(F.col("early") < F.col("late")), "line-tried")
-        if sets is None:
-            sets = word_sets(docs, tried, *read)
-        hit = matched(tried.select("late", "early").distinct(), sets, threshold)
-        gone = hit if gone is None else gone.unionByName(hit)
-        rows = tried.select("group", "late").join(hit, "late", "left_anti")
-    return gone
+    first = hits(pairs.groupBy("late").agg(F.min("early").alias("early")))
+    return first.unionByName(hits(pairs.join(first, "late", "left_anti")))
+
+
+def near(n_a: Column, n_b: Column, parity_a: list[Column], parity_b: list[Column], threshold: float) -> tuple[Column, Column, Column]:
+    """The length filter, the parity filter, and how many words two sets must share."""
+    need = ceil_share(n_a + n_b, threshold / (1 + threshold))
+    lengths = (n_a >= threshold * n_b - 1e-9) & (n_b >= threshold * n_a - 1e-9)
+    return lengths, bits_apart(parity_a, parity_b) <= n_a + n_b - 2 * need, need
+
+
+def leaders(classes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of lines (late, early): early is the first line of a group by the least or the largest hash of the prefix."""
+    rows = classes.select(F.explode(F.array(F.array_min("prefix"), F.array_max("prefix"))).alias("group"), F.struct(*NAME).alias("late"), "n", *PARITY)
+    firsts = rows.groupBy("group").agg(F.min(F.struct("late", "n", *PARITY)).alias("lead"))
+    lengths, parity, _ = near(F.col("lead.n"), F.col("n"), [F.col(f"lead.{c}") for c in PARITY], [F.col(c) for c in PARITY], threshold)
+    tried = rows.join(firsts, "group").filter((F.col("lead.late") < F.col("late")) & lengths & parity)
+    return staged(tried.select("late", F.col("lead.late").alias("early")).distinct(), "line-led")
+
+
+def least_size(threshold: float) -> int:
+    """Smaller sets reach the threshold only when they are equal: the bound is n / (n + 1) for n words against n + 1."""
+    return next(n for n in range(1, 1000) if n / (n + 1) >= threshold) if threshold < 1 else 1 << 30
 
 
 def candidates(classes: DataFrame, gone: DataFrame, threshold: float) -> DataFrame:
     """Pairs of lines (late, early) that pass the filters; late lines that are gone need none."""
-    # Sets of fewer than four words reach 0.8 only when they are equal: the bound is n / (n + 1) for n against n + 1.
-    least = next(n for n in range(1, 1000) if n / (n + 1) >= threshold) if threshold < 1 else 1 << 30
     done = gone.select("late.*", F.lit(1).alias("done"))
-    open_ = classes.filter(F.col("n") >= least).join(done, list(NAME), "left")
-    rows = open_.select(*NAME, "parity", "n", F.coalesce("done", F.lit(0)).alias("done"), F.posexplode("prefix").alias("pos", "word"))
+    open_ = classes.join(done, list(NAME), "left")
+    rows = open_.select(*NAME, *PARITY, "n", F.coalesce("done", F.lit(0)).alias("done"), F.posexplode("prefix").alias("pos", "word"))
     # One long carries the word, the mark, the size and the position: fewer bytes in the only large shuffle.
     fields = (("word", 31), ("done", 30), ("n", 14), ("pos", 0))
     limits = {"n": FULL, "pos": LAST}
@@ -179,7 +207,7 @@ def candidates(classes: DataFrame, gone: DataFrame, threshold: float) -> DataFra
     for name, shift in fields:
         value = F.least(name, F.lit(limits[name])) if name in limits else F.col(name)
         packed = packed.bitwiseOR(F.shiftleft(value.cast("long"), shift))
-    rows = rows.select(*NAME, "parity", packed.alias("packed"))
+    rows = rows.select(*NAME, *PARITY, packed.alias("packed"))
     a, b = (rows.select(*[F.col(c).alias(f"{c}_{x}") for c in rows.columns]) for x in "ab")
 
     def n(x: str) -> Column:
@@ -189,13 +217,10 @@ def candidates(classes: DataFrame, gone: DataFrame, threshold: float) -> DataFra
         return F.col(f"packed_{x}").bitwiseAND(LAST)
 
     n_a, n_b = n("a"), n("b")
-    need = ceil_share(n_a + n_b, threshold / (1 + threshold))
-    near = (
-        (F.least(n_a - pos("a"), n_b - pos("b")) >= need)
-        & (F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= n_a + n_b - 2 * need)
-    )
+    lengths, parity, need = near(n_a, n_b, *[[F.col(f"{c}_{x}") for c in PARITY] for x in "ab"], threshold)
+    positions = F.least(n_a - pos("a"), n_b - pos("b")) >= need
     earlier = (F.col("doc_id_a") < F.col("doc_id_b")) | ((F.col("doc_id_a") == F.col("doc_id_b")) & (F.col("place_a") < F.col("place_b")))
-    fits = earlier & (n_a >= threshold * n_b - 1e-9) & (n_b >= threshold * n_a - 1e-9) & ((n_a == FULL) | (n_b == FULL) | near)
+    fits = earlier & lengths & ((n_a == FULL) | (n_b == FULL) | (positions & parity))
     # In one expression with both sides, so that the mark is not filtered below the exchange, which both sides share.
     wanted = F.when(F.shiftright("packed_b", 30).bitwiseAND(1) == 1, False).otherwise(fits)
     found = a.join(b, (F.shiftright("packed_a", 31) == F.shiftright("packed_b", 31)) & wanted)
@@ -213,9 +238,11 @@ def kept_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc
         docs = numbered(docs.select(id_col, text_col), id_col, text_col, number)
     read = (id_col, text_col, number)
     classes = classes_of(lines_of(docs, *read), sketch_of(docs, text_col), threshold)
-    gone = led(docs, classes, threshold, read)
-    pairs = candidates(classes, gone, threshold)
-    gone = gone.unionByName(matched(pairs, word_sets(docs, pairs, *read), threshold))
+    long = classes.filter(F.col("n") >= least_size(threshold))
+    pairs = leaders(long, threshold)
+    led = matched(pairs, word_sets(docs, pairs, *read), threshold)
+    pairs = candidates(long, led, threshold)
+    gone = led.unionByName(matched(pairs, word_sets(docs, pairs, *read), threshold))
     stay = classes.select(*NAME).join(gone.select("late.*"), list(NAME), "left_anti")
     line_no = F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
     return stay.groupBy("doc_id", F.shiftright("place", 32).alias("number")).agg(F.sort_array(F.collect_set(line_no)).alias("kept"))

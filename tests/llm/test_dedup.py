@@ -54,6 +54,7 @@ def test_exact_empty(spark, no_docs, tmp_path):
 
 
 def brute_lines(rows, t=0.8):
+    """Ids with one text each."""
     seen, kept = [], defaultdict(list)
     lines = sorted({(r["doc_id"], k, line) for r in rows if r["doc_id"] is not None for k, line in enumerate((r["text"] or "").split("\n"))})
     for doc, k, line in lines:
@@ -99,10 +100,36 @@ def test_lines_are_taken_out(spark, edge_docs, no_docs):
     assert line_dedup.drop_repeated_lines(no_docs).count() == 0
 
 
+def test_an_id_with_several_texts_is_several_documents(spark):
+    texts = [(1, "one two three four five\nsix seven eight nine ten"), (1, "one two three four five\neleven twelve thirteen fourteen"), (2, "one two three four five"), (1, "one two three four five\nsix seven eight nine ten")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    out = sorted((r["doc_id"], r["text"]) for r in line_dedup.drop_repeated_lines(docs).collect())
+    left = [t for d, t in out if d == 1]
+    assert sum("one two" in t for t in left) in (1, 2) and sum("six seven" in t for t in left) == 2 and sum("eleven" in t for t in left) == 1
+    assert [t for d, t in out if d == 2] == [""]
+    kept = line_dedup.kept_lines(docs).collect()
+    assert len([r for r in kept if r["doc_id"] == 1]) == 2
+
+
+def test_lines_of_one_group(spark):
+    """Many near-equal lines, which meet through leaders and then through the remainder."""
+    words = [f"w{k}" for k in range(30)]
+    texts = []
+    for k in range(120):
+        line = words[:]
+        for j in range(k % 6):
+            line[(k * 7 + j * 5) % 30] = f"x{k % 11}_{j}"
+        texts.append(" ".join(line))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["kept"] for r in line_dedup.kept_lines(docs).collect()}
+    assert got == brute_lines(docs.collect())
+
+
 def test_prefix_filter_needs_no_short_sets():
     assert line_dedup.ceil_share is not None
     for n in range(1, 4):  # what candidates() leaves out: different sets of fewer than four words stay below 0.8
         assert n / (n + 1) < 0.8
+    assert line_dedup.least_size(0.8) == 4
 
 
 def brute_near(rows, t=0.8):
@@ -133,11 +160,42 @@ def brute_near(rows, t=0.8):
 
 def test_near(spark, edge_docs, no_docs):
     for docs in (edge_docs, variants(spark)):
-        got = ngram_join.near_duplicates(docs).collect()
-        assert sorted((str(r["doc_id"]), r["class_id"], r["n_links"], r["n_copies"]) for r in got) == brute_near(docs.collect())
+        want = brute_near(docs.collect())
+        got = ngram_join.near_duplicates(docs, count_links=True).collect()
+        assert sorted((str(r["doc_id"]), r["class_id"], r["n_links"], r["n_copies"]) for r in got) == want
+        few = ngram_join.near_duplicates(docs).collect()
+        assert sorted((str(r["doc_id"]), r["class_id"], r["n_copies"]) for r in few) == sorted((d, c, n) for d, c, _, n in want)
+        linked = {d for d, _, n, _ in want if n}
+        assert {str(r["doc_id"]) for r in few if r["jaccard"] is not None} == linked
     assert ngram_join.near_duplicates(no_docs).count() == 0
 
 
+def test_phases_find_what_leaders_miss(spark):
+    """A chain of texts, each near the one before, whose first and last share little; and one phase after the other."""
+    words = [f"w{k}" for k in range(120)]
+    texts = []
+    for k in range(24):
+        texts.append(" ".join(words))
+        words[5 * k % 118] = f"new{k}"
+    docs = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], "doc_id string, text string")
+    rows = ngram_join.near_duplicates(docs).collect()
+    assert {r["class_id"] for r in rows} == {"0"}
+    sets = {str(k): ngram_join.shingle_set(t.encode()) for k, t in enumerate(texts)}
+    for r in rows:
+        a, b = sets[r["doc_id"]], sets[r["linked_id"]]
+        assert r["jaccard"] == pytest.approx(len(a & b) / len(a | b)) and r["jaccard"] >= 0.8
+
+
+def test_recall_of_the_candidates(spark):
+    """Of the pairs between ids divisible by 20 and all rows that reach the threshold, at least 0.9 are in one class."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r["doc_id"]: r["class_id"] for r in ngram_join.near_duplicates(docs).collect()}
+    sets = {r["doc_id"]: ngram_join.shingle_set((r["text"] or "").encode()) for r in docs.collect()}
+    true = [(a, b) for a in sets if a % 20 == 0 for b in sets if a != b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) > 0]
+    assert len(true) > 5
+    assert sum(got[a] == got[b] for a, b in true) >= 0.9 * len(true)
+
+
 def test_keep_one(spark, edge_docs, no_docs):
     out = ngram_join.keep_one(edge_docs)
     assert out.columns == edge_docs.columns
@@ -159,7 +217,7 @@ def test_one_id_with_several_texts_and_texts_without_id(spark):
     a, b, c = prose(11, 60), prose(12, 60), prose(13, 60)
     rows = [(7, a), (7, b), (7, near(b, 30)), (3, c), (9, near(c, 30)), (9, prose(14, 60)), (None, near(a, 30)), (None, prose(15, 60)), (None, near(prose(15, 60), 20))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = ngram_join.near_duplicates(docs).collect()
+    got = ngram_join.near_duplicates(docs, count_links=True).collect()
     want = [(7, 7, 1, 1)] * 3 + [(3, 3, 1, 1), (9, 3, 1, 1), (9, 9, 0, 1), (None, 7, 1, 1), (None, None, 1, 1), (None, None, 1, 1)]
     assert Counter((r["doc_id"], r["class_id"], r["n_links"], r["n_copies"]) for r in got) == Counter(want)
     for n in (1, 5):
