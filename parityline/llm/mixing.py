@@ -14,9 +14,11 @@ cells are joined to documents by a join that Spark broadcasts only while they ar
 join is a shuffle whose hot cells the adaptive planner splits.
 
 Edge cases: a null source, language or topic is the value "(none)"; null, empty and blank texts have no tokens, take part
-with the p of their cell, and p = 0 where a whole cell has none; values without a target get none of the weight; tables
-that are empty give empty results; other columns are carried along untouched by `mix`, but for columns named mix_*, which it
-replaces.
+with the p of their cell, and p = 0 where a whole cell has none; texts of any length are counted whole; values without a
+target get none of the weight; repeated rows count each, and rows that share an id share their draw, so equal draws of
+different ids are kept or dropped together with their own p; a null id draws as the empty text; tables that are empty give
+empty results; other columns are carried along untouched, and where one has the name of a column that `mix` adds, the new
+one gets an underscore behind.
 """
 
 from __future__ import annotations
@@ -26,14 +28,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parityline.llm.common import staged, text_of
+from parityline.llm.common import free_name, staged, text_of
 
 NONE = "(none)"
 DIMS = ("source", "lang", "topic")
 #: Share of all tokens to sample, and rounds of raking, of the query and the pipeline.
 BUDGET, CYCLES = 0.7, 6
-#: Rounds of calibration.
-ROUNDS = 12
+#: Rounds of calibration, and how often as many more follow while a reachable goal is missed by more than a share of it.
+ROUNDS, MORE, TOLERANCE = 12, 3, 1e-3
 SCALE = 1_000_000
 
 
@@ -132,12 +134,16 @@ def calibrated(cells: DataFrame, targets: Mapping[str, DataFrame], budget: float
         goals = _factor(values, "f", ["all"], F.col("w") / F.col("tokens"), F.col("budget"))
         goals = goals.select(d, F.least("tokens", F.col("f") * F.col("w")).alias(f"goal_{d}"))
         fit = staged(fit.join(goals, d).withColumn(f"f_{d}", F.lit(1.0)), "mix-fit")
-    for _ in range(cycles):
-        for d in DIMS:
-            a, b = (F.col(f"f_{o}") for o in DIMS if o != d)
-            fit = _factor(fit, f"f_{d}", [d], a * b, F.col(f"goal_{d}"))
-        fit = staged(fit, "mix-fit")
     p = F.least(F.lit(1.0), F.col("f_source") * F.col("f_lang") * F.col("f_topic"))
+    for _ in range(1 + MORE):
+        for _ in range(cycles):
+            for d in DIMS:
+                a, b = (F.col(f"f_{o}") for o in DIMS if o != d)
+                fit = _factor(fit, f"f_{d}", [d], a * b, F.col(f"goal_{d}"))
+            fit = staged(fit, "mix-fit")
+        sums = [fit.groupBy(d).agg(F.abs(F.sum(p * F.col("tokens")) / F.first(f"goal_{d}") - 1).alias("off")).select("off") for d in DIMS]
+        if (sums[0].unionByName(sums[1]).unionByName(sums[2]).agg(F.max("off").alias("off")).first()["off"] or 0) <= TOLERANCE:
+            break
     return fit.select(*DIMS, "tokens", F.coalesce(p, F.lit(0.0)).alias("p"), *[f"goal_{d}" for d in DIMS], *[f"w_{d}" for d in DIMS], "budget")
 
 
@@ -166,38 +172,35 @@ def cut_probabilities(cells: DataFrame, targets: Mapping[str, DataFrame], budget
 
 
 def mix(docs: DataFrame, topic: Column, targets: Mapping[str, DataFrame] | None = None, budget: float = BUDGET, cycles: int | None = None, id_col: str = "doc_id", text_col: str = "text", calibrate: bool = True) -> DataFrame:
-    """docs with mix_source, mix_lang, mix_topic, mix_p and mix_kept; filter on mix_kept for the sample."""
-    docs = docs.drop(*[f"mix_{d}" for d in DIMS], "mix_p", "mix_ppm", "mix_kept")  # of an earlier mixing
+    """docs and, as the last columns, mix_source, mix_lang, mix_topic, mix_p and mix_kept; filter on mix_kept for the sample."""
     cells = cells_of(docs, topic, text_col)
     targets = targets or {"source": tempered(cells, "source", 0.7), "lang": tempered(cells, "lang", 0.8), "topic": tempered(cells, "topic", 0.9)}
     p = probabilities(cells, targets, budget, cycles or ROUNDS) if calibrate else cut_probabilities(cells, targets, budget, cycles or CYCLES)
-    p = p.select(*[F.col(d).alias(f"mix_{d}") for d in DIMS], F.col("ppm").alias("mix_ppm"))
-    keyed = docs.select("*", *_keyed(docs, topic)).join(p, [f"mix_{d}" for d in DIMS], "left")
-    ppm = F.coalesce("mix_ppm", F.lit(0))
+    own = [free_name(f"mix_{d}", docs) for d in DIMS]
+    ppm = free_name("mix_ppm", docs)
+    p = p.select(*[F.col(d).alias(c) for d, c in zip(DIMS, own, strict=True)], F.col("ppm").alias(ppm))
+    keys = [c.alias(name) for c, name in zip(_keyed(docs, topic), own, strict=True)]
+    keyed = docs.select("*", *keys).join(p, own, "left")
+    share = F.coalesce(ppm, F.lit(0))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary")), 1, 8), 16, 10).cast("long") % SCALE
-    return keyed.select(
-        *docs.columns, *[f"mix_{d}" for d in DIMS], (ppm / SCALE).alias("mix_p"), (draw < ppm).alias("mix_kept")
-    )
-
+    return keyed.select(*docs.columns, *own, (share / SCALE).alias(free_name("mix_p", docs)), (draw < share).alias(free_name("mix_kept", docs)))
 
-def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    # Its SQL rakes without calibration.
-    return _sampled(mix(docs, form(text_of("text")), calibrate=False))
 
+def sampled(docs: DataFrame, topic: Column, **more) -> DataFrame:
+    """The documents that `mix` keeps, with their own columns."""
+    mixed = mix(docs, topic, **more)
+    return mixed.filter(F.col(mixed.columns[-1])).select(*docs.columns)
 
-def op1_mixing_calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sampled(mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), form(text_of("text"))))
 
-
-def _sampled(mixed: DataFrame) -> DataFrame:
-    return mixed.select(
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return mix(docs, form(text_of("text"))).select(
         "doc_id", *[F.col(f"mix_{d}").alias(d) for d in DIMS], words(text_of("text")).alias("n_tokens"), F.col("mix_p").alias("p"), F.col("mix_kept").alias("kept")
     )
 
 
-def oracle(budget: float = BUDGET, cycles: int = CYCLES) -> str:
-    """The same in SQL, with the rounds of raking written out."""
+def oracle(budget: float = BUDGET, cycles: int = ROUNDS) -> str:
+    """The same in SQL, with the rounds of calibration written out."""
     power = {"source": 0.7, "lang": 0.8, "topic": 0.9}
     parts = [
         r"""d AS MATERIALIZED (
@@ -208,26 +211,34 @@ def oracle(budget: float = BUDGET, cycles: int = CYCLES) -> str:
     FROM (SELECT *, coalesce(text, '') AS t FROM documents)
 )""",
         "cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM d GROUP BY ALL)",
-        "live AS MATERIALIZED (SELECT * FROM cells WHERE tokens > 0)",
+        f"total AS MATERIALIZED (SELECT {budget} * sum(tokens) AS budget FROM cells)",
     ]
+
+    def factor(src: str, keep: str, part: str, pull: str, goal: str) -> str:
+        """The factor f for which sum(tokens * least(1, f * pull)) is the goal: the largest solution over how many pulls are cut."""
+        order = f"PARTITION BY {part} ORDER BY pull DESC, source, lang, topic ROWS BETWEEN"
+        return (
+            f"SELECT {keep}, least(max(CASE WHEN free > 0 THEN (goal - fixed) / free END) OVER (PARTITION BY {part}), max(CASE WHEN pull > 0 THEN 1 / pull END) OVER (PARTITION BY {part})) AS f "
+            f"FROM (SELECT *, coalesce(sum(tokens) OVER ({order} UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS fixed, sum(tokens * pull) OVER ({order} CURRENT ROW AND UNBOUNDED FOLLOWING) AS free "
+            f"FROM (SELECT *, {pull} AS pull, {goal} AS goal FROM {src}))"
+        )
+
     for d in DIMS:
-        parts.append(f"t_{d} AS MATERIALIZED (SELECT {d}, pow(sum(tokens), {power[d]}) AS weight FROM cells GROUP BY {d})")
-        parts.append(f"g_{d} AS MATERIALIZED (SELECT {d}, weight / (SELECT sum(weight) FROM t_{d} WHERE weight > 0) AS goal FROM t_{d} WHERE weight > 0)")
-        parts.append(f"f_{d}_0 AS MATERIALIZED (SELECT {d}, 1.0::DOUBLE AS f FROM g_{d})")
-    now = dict.fromkeys(DIMS, 0)
-    for k in range(1, cycles + 1):
-        for d in DIMS:
-            a, b = (o for o in DIMS if o != d)
-            parts.append(
-                f"f_{d}_{k} AS MATERIALIZED (SELECT {d}, goal / sum(tokens * x.f * y.f) AS f FROM live "
-                f"JOIN f_{a}_{now[a]} x USING ({a}) JOIN f_{b}_{now[b]} y USING ({b}) JOIN g_{d} USING ({d}) GROUP BY {d}, goal)"
-            )
-            now[d] = k
+        others = ", ".join(f"'' AS {o}" for o in DIMS if o != d)
+        parts.append(f"v_{d} AS MATERIALIZED (SELECT {d}, {others}, 1 AS every, sum(tokens) AS tokens, pow(sum(tokens), {power[d]}) AS w, any_value(budget) AS budget FROM cells, total WHERE tokens > 0 GROUP BY {d})")
+        parts.append(f"g_{d} AS MATERIALIZED (SELECT {d}, least(tokens, f * w) AS goal FROM ({factor(f'v_{d}', f'{d}, tokens, w', 'every', 'w / tokens', 'budget')}))")
     parts.append(
-        "p AS (SELECT source, lang, topic, round(least(1.0, "
-        f"{budget} * (SELECT sum(tokens) FROM cells) * (tokens * x.f * y.f * z.f) / tokens) * {SCALE})::BIGINT AS ppm FROM live "
-        f"JOIN f_source_{cycles} x USING (source) JOIN f_lang_{cycles} y USING (lang) JOIN f_topic_{cycles} z USING (topic))"
+        "r0 AS MATERIALIZED (SELECT source, lang, topic, tokens, s.goal AS goal_source, l.goal AS goal_lang, t.goal AS goal_topic, 1.0::DOUBLE AS f_source, 1.0::DOUBLE AS f_lang, 1.0::DOUBLE AS f_topic "
+        "FROM cells JOIN g_source s USING (source) JOIN g_lang l USING (lang) JOIN g_topic t USING (topic) WHERE tokens > 0)"
     )
+    n = 0
+    for _ in range(cycles):
+        for d in DIMS:
+            a, b = (f"f_{o}" for o in DIMS if o != d)
+            made = factor(f"r{n}", "* EXCLUDE (pull, goal, fixed, free)", d, f"{a} * {b}", f"goal_{d}")
+            parts.append(f"r{n + 1} AS MATERIALIZED (SELECT * EXCLUDE (f) REPLACE (f AS f_{d}) FROM ({made}))")
+            n += 1
+    parts.append(f"p AS (SELECT source, lang, topic, round(coalesce(least(1.0, f_source * f_lang * f_topic), 0.0) * {SCALE})::BIGINT AS ppm FROM r{n})")
     return (
         "WITH " + ",\n".join(parts) + f"""
 SELECT doc_id, source, lang, topic, n_tokens, coalesce(ppm, 0) / {SCALE}.0::DOUBLE AS p,

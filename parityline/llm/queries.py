@@ -19,7 +19,6 @@ from parityline.llm.toxicity import op7_toxicity
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": mixing.op1_mixing,
-        "op1_mixing_calibrated": mixing.op1_mixing_calibrated,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_token_files": op3_token_files,
         "op4_token_counts": op4_token_counts,

@@ -64,13 +64,29 @@ def test_sample_meets_targets_where_cells_are_cut(spark):
     assert told["s2"] is False
 
 
+def test_realised_shares_of_the_query(spark):
+    """Expected tokens of every source, language and topic against the targets, and the budget."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    cells = mixing.cells_of(docs, mixing.form(text_of("text")))
+    targets = {d: mixing.tempered(cells, d, p) for d, p in (("source", 0.7), ("lang", 0.8), ("topic", 0.9))}
+    fit = mixing.calibrated(cells, targets)
+    total = cells.agg(F.sum("tokens").alias("n")).first()["n"]
+    assert sum(r["p"] * r["tokens"] for r in fit.collect()) == pytest.approx(mixing.BUDGET * total, rel=1e-3)
+    for d in mixing.DIMS:
+        for r in fit.groupBy(d).agg(F.sum(F.col("p") * F.col("tokens")).alias("got"), F.first(f"goal_{d}").alias("goal")).collect():
+            assert r["got"] == pytest.approx(r["goal"], rel=1e-3)
+
+
 def test_mix_edges(spark, edge_docs, no_docs):
     clash = edge_docs.withColumn("mix_p", F.lit(5))
     out = mixing.mix(clash, mixing.form(text_of("text")))
     rows = out.collect()
     assert len(rows) == clash.count()
-    assert all(0 <= r["mix_p"] <= 1 for r in rows)
+    assert out.columns == [*clash.columns, "mix_source", "mix_lang", "mix_topic", "mix_p_", "mix_kept"]
+    assert all(r["mix_p"] == 5 and 0 <= r["mix_p_"] <= 1 for r in rows)
     assert {r["mix_source"] for r in rows} >= {"(none)", "s0"}
+    kept = mixing.sampled(clash, mixing.form(text_of("text")))
+    assert kept.columns == clash.columns and kept.count() == sum(r["mix_kept"] for r in rows)
     again = mixing.mix(clash.repartition(5), mixing.form(text_of("text"))).collect()
     assert sorted((str(r["doc_id"]), r["mix_kept"]) for r in again) == sorted((str(r["doc_id"]), r["mix_kept"]) for r in rows)
     assert mixing.mix(no_docs, mixing.form(text_of("text"))).count() == 0
@@ -101,6 +117,50 @@ def test_links_and_order(spark):
     assert chat_tools.link_calls(calls.limit(0), results, schemas).count() == 0
 
 
+def brute_levels(deps):
+    """The longest chain behind each call; None on and behind cycles."""
+    level = {}
+    for _ in range(len(deps) + 1):
+        for c, ds in deps.items():
+            live = [d for d in ds if d in deps]
+            if c not in level and all(d in level for d in live):
+                level[c] = max((level[d] + 1 for d in live), default=0)
+    return {c: level.get(c) for c in deps}
+
+
+@pytest.mark.parametrize("kind", ["chain", "double chain", "layers", "random", "cycles", "star"])
+def test_levels_and_positions_of_graphs(spark, kind):
+    import random
+
+    rng = random.Random(kind)
+    deps = {
+        "chain": {f"c{k}": [f"c{k - 1}"] for k in range(70)},
+        "double chain": {f"c{k}": [f"c{k - 1}", f"c{k - 2}", f"c{k - 7}"] for k in range(40)},
+        "layers": {f"l{k}_{j}": [f"l{k - 1}_{i}" for i in range(3)] for k in range(6) for j in range(3)},
+        "random": {f"r{k}": [f"r{rng.randrange(k + 1)}" for _ in range(rng.randrange(4))] for k in range(60)},
+        "cycles": {f"y{k}": [f"y{(k * 7 + 3) % 30}"] for k in range(30)} | {"z": ["y1", "a"], "a": [], "b": ["a"], "c": ["c"]},
+        "star": {f"s{k}": ["hub"] for k in range(50)} | {"hub": ["root"], "root": []},
+    }[kind]
+    calls = spark.createDataFrame([(1 + len(c) % 2, c, "none", "{}", ds) for c, ds in deps.items()], CALL)
+    results, schemas = spark.createDataFrame([], "call_id string, content string"), spark.createDataFrame([], "name string, param string, kind string, required boolean")
+    rows = chat_tools.link_calls(calls, results, schemas).collect()
+    want = brute_levels(deps)
+    assert {r["call_id"]: r["level"] for r in rows} == want
+    for conv in (1, 2):
+        order = sorted((r for r in rows if r["conv_id"] == conv), key=lambda r: (r["level"] is None, r["level"] or 0, len(r["call_id"]), r["call_id"]))
+        assert [r["position"] for r in order] == list(range(len(order)))
+    assert {r["errors"] for r in rows} == {"tool"}
+    assert sum(r["unresolved"] for r in rows) == sum(len({d for d in ds if d not in deps}) for ds in deps.values())
+
+
+def test_repeated_calls_and_null_conversations(spark):
+    calls = spark.createDataFrame([(None, "a", "t", "{}", None), (None, "b", "t", "{}", ["a"]), (1, "x", "t", '{"k": 1, "k": 2}', None), (1, "x", "t", "{}", None), (1, "y", "t", "{}", ["x"])], CALL)
+    results, schemas = spark.createDataFrame([("a", None)], "call_id string, content string"), spark.createDataFrame([("t", "k", "integer", False)], "name string, param string, kind string, required boolean")
+    rows = chat_tools.link_calls(calls.withColumn("content", F.lit("clash")), results, schemas).collect()
+    assert sorted((str(r["conv_id"]), r["call_id"], r["position"]) for r in rows) == [("1", "x", 0), ("1", "x", 0), ("1", "y", 2), ("None", "a", 0), ("None", "b", 1)]
+    assert sorted(r["errors"] for r in rows) == ["", "", "", "", "json"]
+
+
 def test_no_turn_of_user_or_assistant_is_lost(spark, tmp_path):
     turns = [(1, 0, "system", "be brief"), (1, 1, "user", None), (1, 2, "assistant", "yes"), (1, 3, "assistant", "again"), (2, 0, "assistant", "first"), (2, 1, "user", "abc")]
     spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
@@ -124,3 +184,40 @@ def test_pipeline_runs(spark):
     rows = corpus_pipeline.STAGES[-1][1](spark, step, SF).collect()
     assert len(rows) == step.count()
     assert all(len(r["ids"]) == r["n_tokens"] for r in rows)
+
+
+def test_pipeline_of_odd_rows_and_of_none(spark, edge_docs, no_docs):
+    import corpus_pipeline
+
+    for docs in (edge_docs, no_docs):
+        step = docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, step, SF)
+            assert out.columns == docs.columns
+            step = spark.createDataFrame(out.collect(), docs.schema)
+            assert step.count() <= docs.count()
+            if name == "quality_rules":
+                assert step.filter("text IS NULL OR length(text) < 10").count() == 0
+        assert corpus_pipeline.STAGES[-1][1](spark, step, SF).count() == step.count()
+
+
+def test_run_against_brute_force(spark):
+    """run() against its rules one row at a time: the classifier's and the mixing's own decisions are taken as they are."""
+    import corpus_pipeline
+    from test_dedup import brute_lines, brute_near
+    from tokenizers import Tokenizer
+
+    from parityline.llm.common import tokenizer_path
+
+    got = {r["doc_id"]: r["ids"] for r in corpus_pipeline.run(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    good = [r.asDict() for r in corpus_pipeline.quality_rules(spark, docs, SF).collect()]
+    kept = brute_lines(good)
+    for r in good:
+        r["text"] = "\n".join(x for k, x in enumerate(r["text"].split("\n")) if not x.strip(" \t\x0b\x0c\r") or k in kept.get(r["doc_id"], []))
+        r["n_chars"] = len(r["text"])
+    names = {c for _, c, _, _ in brute_near(good)}
+    left = spark.createDataFrame([tuple(r[c] for c in docs.columns) for r in good if r["doc_id"] in names], docs.schema)
+    library = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    want = {r["doc_id"]: library.encode(r["text"], add_special_tokens=False).ids for r in corpus_pipeline.mixing_to_weights(spark, left, SF).collect()}
+    assert got == want
