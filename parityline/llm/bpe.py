@@ -1,7 +1,8 @@
 """Byte-pair encoding and decoding by a pair occurrence index.
 
 A task collects the distinct pieces (words after the vocabulary's own normalising and splitting) that it has not met
-yet and lays their symbols out in one list, linked within each piece. An index maps each mergeable pair to all its
+yet: stretches of plain Latin letters and ASCII signs are lowered and cut here, all others by the library's own normaliser
+and pre-tokenizer, whose Unicode tables are what counts. It lays their symbols out in one list, linked within each piece. An index maps each mergeable pair to all its
 positions. Active ranks are taken in ascending order: every position of the rank's pair that still holds is merged
 from left to right, and the two pairs that arise beside it enter the lists of their own ranks. If such a rank is
 below the rank just taken (a vocabulary may spell one token in two ways), the pieces concerned are encoded anew one
@@ -10,8 +11,9 @@ merge at a time, so that the result is the library's in every case.
 Decoding looks each id up in the vocabulary and joins the tokens as the file's decoder says: with a space where the
 file names none.
 
-Edge cases: a null text counts as empty and gives no ids and an empty text; repeated rows give repeated rows; a text
-of one very long word takes n log n steps; an empty table gives an empty result; other columns are ignored.
+Edge cases: a null text counts as empty and gives no ids and an empty text; repeated rows give repeated rows, null ids too; a
+text of one very long word takes n log n steps; an empty table gives an empty result; other columns are ignored. A
+vocabulary that keeps white space, or whose normaliser or decoder is of another kind, is refused with an error.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import unicodedata
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -29,14 +30,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parityline.llm.common import steps, text_bytes, tokenizer_path
+from parityline.llm.common import kept, steps, text_bytes, tokenizer_path
+from parityline.llm.tokens import PLAIN, drops_blanks
 
 #: Symbols that the pair index lays out at once, pieces and stretches that a task remembers.
 BLOCK_SYMBOLS, REMEMBERED = 4_000_000, 600_000
 #: Text bytes that a task takes at once: the more pieces are merged together, the fewer steps over the ranks.
 TASK_STEP = 8 << 20
-#: White space as the Unicode standard defines it; the pattern \\s of the vocabulary files.
-SPACE = "\\p{White_Space}"
 
 
 def byte_letters() -> list[str]:
@@ -60,6 +60,8 @@ class PairIndexBpe:
         model = spec["model"]
         if model["type"] != "BPE" or model.get("continuing_subword_prefix") or model.get("dropout"):
             raise ValueError("not a plain BPE vocabulary")
+        if not drops_blanks(path):
+            raise ValueError("a vocabulary that keeps white space")
         vocab = model["vocab"]
         letters, suffix = byte_letters(), model.get("end_of_word_suffix") or ""
         self.inner = [vocab[c] for c in letters]
@@ -78,12 +80,18 @@ class PairIndexBpe:
             self.tokens[i] = t
         self.special = {t.encode(): np.asarray([i], "<u4").tobytes() for t, i in special.items()}
         self.cut_special = regex.compile(b"(" + b"|".join(regex.escape(t) for t in self.special) + b")") if special else None
-        kinds = spec["normalizer"]["normalizers"] if spec["normalizer"]["type"] == "Sequence" else [spec["normalizer"]]
-        self.steps = [x["type"] for x in kinds]
-        if not set(self.steps) <= {"NFC", "Replace", "Lowercase"} or spec["decoder"] is not None:
-            raise ValueError("a normaliser or decoder that is not handled")
-        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.cut = regex.compile(split.replace("\\s", SPACE)).findall
+        normalizer, split = spec["normalizer"] or {"type": "Sequence", "normalizers": []}, spec["pre_tokenizer"]["pretokenizers"][0]
+        kinds = normalizer["normalizers"] if normalizer["type"] == "Sequence" else [normalizer]
+        self.lowers = any(x["type"] == "Lowercase" for x in kinds)
+        if spec["decoder"] is not None:
+            raise ValueError("a decoder that is not handled")
+        self.cut = regex.compile(split["pattern"]["Regex"]).findall
+        # The library with nothing but this file's normaliser and splitter.
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_str(json.dumps(spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "pre_tokenizer": split, "added_tokens": [], "post_processor": None}))
+        normal = library.normalizer.normalize_str if spec["normalizer"] else str
+        self.library = lambda s: [p for p, _ in library.pre_tokenizer.pre_tokenize_str(normal(s))]
         self.pieces: dict[str, bytes] = {}
         self.known: dict[bytes, bytes] = {}
 
@@ -91,11 +99,10 @@ class PairIndexBpe:
 
     def _pieces(self, stretch: bytes) -> list[str]:
         s = stretch.decode("utf-8", "replace")
-        for step in self.steps:
-            if step == "NFC":
-                s = s if s.isascii() else unicodedata.normalize("NFC", s)
-            elif step == "Lowercase":
-                s = "".join(c.lower() for c in s) if "Σ" in s else s.lower()  # no final sigma
+        if PLAIN.fullmatch(s) is None:
+            return self.library(s)
+        if self.lowers:
+            s = s.lower()
         if s.isascii():
             if s.isalpha():
                 return [s]
@@ -111,14 +118,29 @@ class PairIndexBpe:
 
     def _one_by_one(self, piece: str) -> list[int]:
         """The defining order: the lowest rank first, the leftmost of it first, one merge at a time."""
-        s, ranks = self._symbols(piece), self.ranks
-        while len(s) > 1:
-            best = min(((ranks.get((s[i], s[i + 1]), (1 << 60,))[0], i) for i in range(len(s) - 1)))
-            if best[0] == 1 << 60:
-                break
-            i = best[1]
-            s[i : i + 2] = [self.by_rank[best[0]][2]]
-        return s
+        s = [*self._symbols(piece), -1]
+        end = len(s) - 1
+        following, previous = [*range(1, end + 1), end], [*range(-1, end)]
+        heap: list[tuple[int, int]] = []
+
+        def note(i: int) -> None:
+            found = self.ranks.get((s[i], s[following[i]])) if i >= 0 else None
+            if found:
+                heapq.heappush(heap, (found[0], i))
+
+        for i in range(end):
+            note(i)
+        while heap:
+            rank, i = heapq.heappop(heap)
+            left, right, new = self.by_rank[rank]
+            j = following[i]
+            if s[i] != left or s[j] != right:  # merged since
+                continue
+            s[i], s[j], following[i] = new, -1, following[j]
+            previous[following[j]] = i
+            note(previous[i])
+            note(i)
+        return [x for x in s if x >= 0]
 
     def _rank_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the symbol pairs can merge, and the ranks of those."""
@@ -243,7 +265,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, keep_ids: bool = True, id_col
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = PairIndexBpe(tokenizer)
+        bpe = kept(("bpe", tokenizer), lambda: PairIndexBpe(tokenizer))
         for batch in steps(batches, "text", TASK_STEP):
             ids = bpe.encode(batch.column("text").to_pylist())
             texts = [bpe.decode(x) for x in ids]

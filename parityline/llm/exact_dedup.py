@@ -12,7 +12,8 @@ The final state is read with Spark's state reader. Every hit is then checked in
 group are compared with those of the row that its locator names. Should two texts share a digest (a
 collision), their group is split by the bytes themselves.
 
-Edge cases: null counts as empty, so nulls, empty and blank texts form one group; rows that repeat an id too are told
+Edge cases: null counts as empty, so nulls, empty and blank texts form one group; texts of any length are compared whole;
+null ids come after all others; rows that repeat an id too are told
 apart by their locators, and one of them stays; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -26,8 +27,8 @@ from pyspark.sql.types import StructType
 
 from parityline.llm.common import scratch, staged, text_of, without_blanks
 
-#: Bytes of files that a micro-batch takes.
-BATCH_BYTES = 64 << 30
+#: Bytes of files that a micro-batch takes: some batches for 30 GB of input; more for larger inputs, as each batch saves state.
+BATCH_BYTES = 4 << 30
 #: State on disk; no space is set aside ahead of need, as every state partition has a store of its own.
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

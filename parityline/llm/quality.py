@@ -9,7 +9,8 @@ were not fitted on (Platt's logistic map), and a document is kept when its proba
 Base rules, counted exactly over whole texts: fewer than 10 words, or over 20 % of the words in five-word windows that
 occur twice or more.
 
-Edge cases: null text has no words and fails the base rule; repeated rows are scored alike; an id with several labels
+Edge cases: null text has no words and fails the base rule; texts of any length are counted and scored whole; a probability
+of exactly the threshold keeps a row; null ids are scored as others; repeated rows are scored alike; an id with several labels
 counts once with the smallest; no labelled rows, or only one label, give no model and the base rule alone decides;
 an empty table gives an empty result; other columns, whatever their names, are ignored.
 """

@@ -5,7 +5,7 @@ white space anyway; otherwise it is left as it is) and named by its SHA-256. The
 (tokenizer, digest, n_tokens), tokenizer being the digest of the vocabulary file. Documents are joined to it by both
 digests; of those without an entry one row for each digest is encoded, and the new counts are appended.
 
-Edge cases: a null text counts as empty (0 bytes, 0 tokens); repeated rows and repeated ids each give a row; an
+Edge cases: a null text counts as empty (0 bytes, 0 tokens); texts of any length are encoded whole; a null id is counted too; repeated rows and repeated ids each give a row; an
 empty table gives an empty result and appends nothing; extra columns of the input are ignored.
 """
 
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parityline.llm.common import scratch, staged, steps, text_bytes, text_of, tokenizer_path
+from parityline.llm.common import kept, scratch, staged, steps, text_bytes, text_of, tokenizer_path
 from parityline.llm.tokens import Encoder, drops_blanks, file_digest
 
 CACHE = "tokenizer string, digest binary, n_tokens long"
@@ -64,7 +64,7 @@ def count_tokens(
     misses = texts.join(chosen.hint("merge"), same).select("digest", "text")
 
     def encode(batches):
-        encoder = Encoder(tokenizer)
+        encoder = kept(("encoder", tokenizer), lambda: Encoder(tokenizer))
         for batch in steps(batches, "text"):
             counts = [len(x) // 4 for x in encoder.encode(batch.column("text").to_pylist())]
             yield pa.record_batch([batch.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
@@ -77,7 +77,8 @@ def count_tokens(
         .write.mode("append")
         .parquet(cache)
     )
-    counts = stored().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # Staged, so that the planner may split a group of copies in the join.
+    counts = staged(stored().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "token-counts")
     return named.join(counts, "digest").select(
         id_col, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
