@@ -16,8 +16,11 @@ Converter = Callable[..., Column]
 
 
 def time_to_string(x: Column) -> Column:
-    """A timestamp as 'yyyy-MM-dd HH:mm:ss.SSS', milliseconds truncated; null stays."""
-    return F.date_format(x, "yyyy-MM-dd HH:mm:ss.SSS")
+    """A timestamp as 'yyyy-MM-dd HH:mm:ss.SSS', milliseconds truncated; a date without a time; null stays.
+
+    The type is looked at when the plan is made: typeof is constant for a column, so one branch stays.
+    """
+    return F.when(F.typeof(x) == "date", F.date_format(x, "yyyy-MM-dd")).otherwise(F.date_format(x, "yyyy-MM-dd HH:mm:ss.SSS"))
 
 
 def date_to_string(x: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,9 +71,9 @@ def _slashed(path: str | Column) -> Column:
     return F.translate(as_column(path), "\\", "/")
 
 
-def source_from_path(path: str | Column) -> Column:
-    """The connector's short name from .../connect_into_<name>/...; '' where there is none."""
-    return F.regexp_extract(_slashed(path), r"connect_into_([^/]+)/", 1)
+def source_from_path(path: str | Column, prefix: str = "connector_") -> Column:
+    """The connector's short name from .../<prefix><name>/...; '' where there is none."""
+    return F.regexp_extract(_slashed(path), re.escape(prefix) + "([^/]+)/", 1)
 
 
 def event_from_path(path: str | Column) -> Column:

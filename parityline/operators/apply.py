@@ -39,8 +39,28 @@ def stamp_update(docs: DataFrame, at: datetime, field: str = "updateDate") -> Da
     return docs.withColumn("updates", F.map_concat(F.map_filter("updates", lambda k, _: k != field), F.create_map(F.lit(field), text)))
 
 
+def _cast(value: Column, kind: str) -> Column:
+    """A text as the field's type; null where it does not fit."""
+    return F.from_json(value, kind) if kind.startswith(("array", "map", "struct")) else value.try_cast(kind)
+
+
+def unfit_updates(target: DataFrame, updates: DataFrame, pk: str) -> DataFrame:
+    """id, field, value, error of the updates that cannot be written: an unknown field, or a value that does not fit its type."""
+    kinds = {f.name: f.dataType.simpleString() for f in target.schema.fields if f.name != pk}
+    flat = updates.select("id", F.explode("updates").alias("field", "value"))
+    known = F.col("field").isin(*kinds) if kinds else F.lit(False)
+    unfit = F.lit(False)
+    for name, kind in kinds.items():
+        unfit = unfit | ((F.col("field") == name) & F.col("value").isNotNull() & _cast(F.col("value"), kind).isNull())
+    error = F.when(~known, "no such field").when(unfit, "does not fit the type")
+    return flat.withColumn("error", error).filter("error IS NOT NULL")
+
+
 def apply_updates(target: DataFrame, updates: DataFrame, pk: str) -> DataFrame:
-    """The new version of the target: fields that a document's update map names take its values; other documents stay."""
+    """The new version of the target: fields that a document's update map names take its values; other documents stay.
+
+    A value that does not fit its field's type leaves the field as it is; `unfit_updates` lists these.
+    """
     names = {f.name: f.dataType for f in target.schema.fields}
     u = updates.select(F.col("id").alias("_id"), "updates")
     joined = target.join(u, F.trim(target[pk].cast("string")) == F.col("_id"), "left")
@@ -50,9 +70,8 @@ def apply_updates(target: DataFrame, updates: DataFrame, pk: str) -> DataFrame:
             return F.col(c)
         has = F.coalesce(F.map_contains_key("updates", F.lit(c)), F.lit(False))
         value = F.try_element_at("updates", F.lit(c))
-        kind = names[c].simpleString()
-        value = F.from_json(value, kind) if kind.startswith(("array", "map", "struct")) else value.try_cast(names[c])
-        return F.when(has, value).otherwise(F.col(c)).alias(c)
+        made = _cast(value, names[c].simpleString())
+        return F.when(has & (value.isNull() | made.isNotNull()), made).otherwise(F.col(c)).alias(c)
 
     return joined.select(*[new(c) for c in target.columns])
 
@@ -91,7 +110,7 @@ def audit_rows(updates: DataFrame, run_id: str, event: str, env: str, at: dateti
 
 def mark_applied(ledger: DataFrame, entries: DataFrame) -> DataFrame:
     """The ledger with new entries; the latest of each key stays, and entries with failures are not marked."""
-    fresh = entries.filter(F.coalesce("es_failures", F.lit(0)) == 0)
+    fresh = entries.filter(F.coalesce("n_failures", F.lit(0)) == 0)
     rows = ledger.unionByName(fresh, allowMissingColumns=True)
     rest = [c for c in rows.columns if c not in LEDGER_KEY and c != "applied_ts"]
     last = rows.groupBy(*LEDGER_KEY).agg(F.max(F.struct("applied_ts", *rest)).alias("x"))

@@ -7,8 +7,6 @@ aggregate on the same key, and the differing fields of a pair come out of one ar
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +28,8 @@ MODES = {
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """One row for each key: the smallest by `order`, then by the other columns. Copies fold before the shuffle."""
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if not order and not rest:
+        return df.distinct()
     first = F.min(F.struct(*order, *rest)).alias("_first")
     return df.groupBy(*keys).agg(first).select(*[c if c in keys else F.col(f"_first.`{c}`").alias(c) for c in df.columns])
 
@@ -43,37 +43,41 @@ def compare_tables(
     empty_side: str = "report",
     restrict_target_to_source: bool = False,
     unique: bool = False,
+    source_by: Sequence[str] = (),
+    keep: str = "both",
 ) -> DataFrame:
-    """Long form: *by, pk, field, source_value, target_value, status.
+    """Long form: *by, *source_by, pk, field, source_value, target_value, status.
 
     fields: defaults to the source's columns but the key's. by: further key columns, such as a window; both sides have
     them. empty_side 'skip': a window (or, without `by`, the table) with no row on one side gives nothing.
     restrict_target_to_source: target rows whose key the source lacks are left out first. unique: keys are known to be
-    unique, so duplicates are not looked for.
+    unique, so duplicates are not looked for. source_by: columns of the source alone, such as its window, that are part of its
+    keys and of the result. keep "source": rows that only the target has give nothing, by a left join.
     """
-    by = list(by)
-    names = [f for f in (fields or source.columns) if f != pk and f not in by]
+    by, own = list(by), list(source_by)
+    names = [f for f in (fields or source.columns) if f != pk and f not in by and f not in own]
     absent = F.lit(None).cast("string")
 
-    def side(df: DataFrame) -> DataFrame:
+    def side(df: DataFrame, keys: list[str]) -> DataFrame:
         have = [f for f in names if f in df.columns]
-        out = filter_bad_keys(df.select(*by, F.col(pk), *have), pk)
-        return out if unique else first_per_key(out, [*by, pk])
+        out = filter_bad_keys(df.select(*keys, F.col(pk), *have), pk)
+        return out if unique else first_per_key(out, [*keys, pk])
 
-    s, t = side(source), side(target)
-    if restrict_target_to_source:
+    s, t = side(source, [*by, *own]), side(target, by)
+    if restrict_target_to_source and empty_side == "skip":
         t = t.join(s.select(*by, pk), [*by, pk], "left_semi")
     if empty_side == "skip":
         s, t = _windows_of_both(s, t, by)
     kinds_s, kinds_t = ({f.name: f.dataType for f in x.schema.fields} for x in (s, t))
-    left = s.select(*by, pk, F.struct(F.lit(1).alias("_here"), *[f for f in names if f in s.columns]).alias("s"))
+    left = s.select(*by, *own, pk, F.struct(F.lit(1).alias("_here"), *[f for f in names if f in s.columns]).alias("s"))
     right = t.select(*by, pk, F.struct(F.lit(1).alias("_here"), *[f for f in names if f in t.columns]).alias("t"))
-    both = left.join(right, [*by, pk], "full_outer")
+    # Without the rows that only the target has, a left join does; the key is unique on both sides of it.
+    both = left.join(right, [*by, pk], "left" if restrict_target_to_source or keep == "source" else "full_outer")
 
     def row(field: str, a: Column, b: Column, status: str) -> Column:
         return F.struct(F.lit(field).alias("field"), a.alias("source_value"), b.alias("target_value"), F.lit(status).alias("status"))
 
-    found, unlike = [], []
+    found, flags = [], []
     for f in names:
         a = F.col(f"s.`{f}`") if f in kinds_s else absent
         b = F.col(f"t.`{f}`") if f in kinds_t else absent
@@ -82,17 +86,19 @@ def compare_tables(
             a = F.lit(None).cast(ta)
         if f not in kinds_t:
             b = F.lit(None).cast(tb)
-        unlike.append(~equal_values(a, b, ta, tb))
-        found.append(F.when(unlike[-1], row(f, as_text(a, ta), as_text(b, tb), DIFF)))
+        flags.append(~equal_values(a, b, ta, tb))
+        found.append(F.when(F.get("_unlike", F.lit(len(found))), row(f, as_text(a, ta), as_text(b, tb), DIFF)))
     pair = F.filter(F.array(*found), lambda x: x.isNotNull()) if found else F.array().cast("array<struct<field:string,source_value:string,target_value:string,status:string>>")
     diffs = (
         F.when(F.col("t").isNull(), F.array(row("*", F.lit(WHOLE_ROW), absent, MISSING_IN_TARGET)))
         .when(F.col("s").isNull(), F.array(row("*", absent, F.lit(WHOLE_ROW), MISSING_IN_SOURCE)))
         .otherwise(pair)
     )
-    # Pairs without a difference, normally nearly all, leave before any text is made of their values.
-    some = reduce(or_, [F.col("s").isNull(), F.col("t").isNull(), *unlike])
-    return both.filter(some).select(*by, F.col(pk).alias("pk"), F.inline(diffs))
+    # Each field is judged once. Pairs without a difference, normally nearly all, leave before any text is made of their values.
+    one_sided = F.col("s").isNull() | F.col("t").isNull()
+    judged = both.withColumn("_unlike", F.when(~one_sided, F.array(*flags) if flags else F.array().cast("array<boolean>")))
+    some = one_sided | F.array_contains("_unlike", True)
+    return judged.filter(some).select(*by, *own, F.col(pk).alias("pk"), F.inline(diffs))
 
 
 def _windows_of_both(s: DataFrame, t: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -136,6 +142,18 @@ def semi_keys(target: DataFrame, source: DataFrame, pk: str) -> DataFrame:
     return filter_bad_keys(target, pk).join(filter_bad_keys(source.select(pk), pk), pk, "left_semi")
 
 
+def matching(target: DataFrame, source: DataFrame, pk: str) -> DataFrame:
+    """Target rows with the further columns of the source rows that have their key, compared as text."""
+    return filter_bad_keys(target, pk).join(filter_bad_keys(source, pk), pk)
+
+
+def key_sets(source: DataFrame, target: DataFrame, pk: str) -> DataFrame:
+    """pk, in_source, in_target: each key of either side once, compared as text; both true is the intersection."""
+    sides = [filter_bad_keys(df.select(pk), pk).select(pk, F.lit(is_source).alias("_source")) for df, is_source in ((source, True), (target, False))]
+    rows = sides[0].unionByName(sides[1])
+    return rows.groupBy(F.col(pk).alias("pk")).agg(F.bool_or("_source").alias("in_source"), F.bool_or(~F.col("_source")).alias("in_target"))
+
+
 def rule_check(source: DataFrame, target: DataFrame, pk: str, rule: Column, field: str) -> DataFrame:
     """outcome (matched / mismatched), n: a value computed from the source against the target's stored one."""
     s = filter_bad_keys(source.select(pk, rule.alias("_rule")), pk)

@@ -27,16 +27,17 @@ def lookup_single(df: DataFrame, key: str, table: DataFrame, out: str) -> DataFr
 def lookup_csv(df: DataFrame, key: str, table: DataFrame, out: str, row_id: str) -> DataFrame:
     """df with out: the values of comma-separated ids, joined with ', ' in input order.
 
-    ',-1,' gives 'All', unknown ids are skipped, none found gives '', a blank gives null. row_id names each row.
+    The whole text ',-1,' gives 'All'; of other lists only parts of digits count, and unknown ids are skipped; none found gives
+    '', a blank gives null. row_id names each row.
     """
     if key not in df.columns:
         return df.withColumn(out, F.lit(None).cast("string"))
-    ids = df.select(F.col(row_id).alias("_row"), F.posexplode(F.split(F.col(key), ",")).alias("_pos", "_id")).filter(F.trim("_id") != "")
+    ids = df.select(F.col(row_id).alias("_row"), F.posexplode(F.split(F.col(key), ",")).alias("_pos", "_id")).filter(F.trim("_id").rlike("^[0-9]+$"))
     found = ids.join(table, F.trim("_id") == F.col("key"))
     names = found.groupBy("_row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "value"))), lambda x: x["value"]), ", ").alias("_names"))
     text = (
         F.when(F.trim(F.col(key)) == "", F.lit(None))
-        .when(F.array_contains(F.transform(F.split(F.col(key), ","), lambda x: F.trim(x)), "-1"), "All")
+        .when(F.trim(F.col(key)) == ",-1,", "All")
         .when(F.col(key).isNotNull(), F.coalesce("_names", F.lit("")))
     )
     return df.join(names, df[row_id] == F.col("_row"), "left").withColumn(out, text).drop("_row", "_names")

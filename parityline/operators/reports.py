@@ -15,6 +15,11 @@ def number(col: str) -> Column:
     return F.col(f"`{col}`").try_cast("double")
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """x rounded half up in decimals, so that the order of a sum does not decide a tie."""
+    return F.round(x.cast("decimal(28,8)"), digits).cast("double")
+
+
 def failed_connect() -> Column:
     """A failed connection in the event log; the underscore is a wildcard in the second pattern."""
     return F.col("event").like("%connect_failed%") | ((F.col("level") == "ERROR") & F.col("event").like("pg_%"))
@@ -32,7 +37,8 @@ def quality_summary(diffs: DataFrame, missing: DataFrame) -> DataFrame:
     """Per event, env and field: total_issues, diff, missing_in_target, missing_in_source, blank values among diffs."""
     cols = ["event", "env", "field", "status", "source_value", "target_value"]
     absent = missing.select("event", "env", F.lit("*").alias("field"), F.lit("missing_in_target").alias("status"), *[F.lit(None).cast("string").alias(c) for c in cols[4:]])
-    rows = diffs.select(*cols).filter(F.col("status") != "missing_in_target").unionByName(absent)
+    # Rows without a status are issues too; rows that lack the target are counted from the missing table.
+    rows = diffs.select(*cols).filter(~F.col("status").eqNullSafe(F.lit("missing_in_target"))).unionByName(absent)
     is_diff = F.col("status") == "diff"
     return rows.groupBy("event", "env", "field").agg(
         F.count("*").alias("total_issues"),
@@ -83,68 +89,88 @@ def connection_overview(connections: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def connections_recent(connections: DataFrame, events: DataFrame, source: str | None = None, status: str | None = None, n: int = 200) -> DataFrame:
-    good = connections.select(source_from_path("filename").alias("source"), F.lit("ok").alias("status"), F.col("start_ts").alias("started"), F.lit(None).cast("string").alias("error"))
-    bad = events.filter(failed_connect()).select(source_from_path("filename").alias("source"), F.lit("failed").alias("status"), F.col("ts").alias("started"), "error")
+    """source, run_id, started, hostname, country, city, status, error: made and failed connections, the latest first."""
+    none = F.lit(None).cast("string")
+    where = ["hostname", "country", "city"]
+    good = connections.select(source_from_path("filename").alias("source"), "run_id", F.col("start_ts").alias("started"), *where, F.lit("success").alias("status"), none.alias("error"))
+    bad = events.filter(failed_connect()).select(
+        source_from_path("filename").alias("source"), "run_id", F.col("ts").alias("started"), *[none.alias(c) for c in where], F.lit("failed").alias("status"), "error"
+    )
     rows = good.unionByName(bad)
     for col, value in (("source", source), ("status", status)):
         if value is not None:
             rows = rows.filter(F.col(col) == value)
-    return rows.orderBy(F.desc_nulls_last("started"), "source", "status", F.asc_nulls_last("error")).limit(n)
+    return rows.orderBy(F.desc_nulls_last("started"), *[F.asc_nulls_last(c) for c in ("source", "run_id", "status", "error", *where)]).limit(n)
+
+
+def query_rows(queries: DataFrame) -> DataFrame:
+    """The query log with source, target and its numbers as numbers; text that is no number is null."""
+    return queries.select(
+        "query_id", source_from_path("filename").alias("source"), "run_id", F.col("table").alias("target"), "owner", "batch", "start_ts", number("seconds").alias("seconds"),
+        F.col("rows").try_cast("bigint").alias("rows"), number("rows_per_sec").alias("rate"), "status", "sql_hash", "error", "sql",
+    )
 
 
 def query_slowest(queries: DataFrame, n: int = 50) -> DataFrame:
-    rows = queries.select("query_id", "run_id", "sql_hash", number("seconds").alias("seconds"), "status")
-    order = (F.desc_nulls_last("seconds"), F.asc("query_id"))
+    """id (1 for the slowest) and the row of each of the slowest queries; queries without a time do not count."""
+    rows = query_rows(queries).filter("seconds IS NOT NULL").drop("sql")
+    order = (F.desc("seconds"), F.asc("query_id"))
     return numbered(rows.orderBy(*order).limit(n), *order)
 
 
-def query_hashes(queries: DataFrame, preview: int = 120) -> DataFrame:
-    """Per fingerprint: runs, avg_seconds, max_seconds, total_rows, first_seen, last_seen, preview of a statement."""
-    return queries.groupBy("sql_hash").agg(
-        F.count("*").alias("runs"),
-        F.round(F.avg(number("seconds")), 4).alias("avg_seconds"),
-        F.max(number("seconds")).alias("max_seconds"),
-        F.sum(F.col("rows").try_cast("bigint")).alias("total_rows"),
-        F.min("start_ts").alias("first_seen"),
-        F.max("start_ts").alias("last_seen"),
+def query_hashes(queries: DataFrame, preview: int = 120, n: int = 200) -> DataFrame:
+    """Per fingerprint, the most run first; queries without a time or a fingerprint do not count."""
+    rows = query_rows(queries).filter("seconds IS NOT NULL AND sql_hash <> ''")
+    per = rows.groupBy("sql_hash").agg(
+        F.min("source").alias("source"), F.max("target").alias("target"), F.count("*").alias("runs"), rounded(F.avg("seconds"), 3).alias("avg_seconds"),
+        F.round(F.max("seconds"), 3).alias("max_seconds"), F.sum("rows").alias("total_rows"), F.min("start_ts").alias("first_seen"), F.max("start_ts").alias("last_seen"),
         F.left(F.max("sql"), F.lit(preview)).alias("preview"),
-    )
+    )
+    return per.orderBy(F.desc("runs"), F.desc("avg_seconds"), "sql_hash").limit(n)
 
 
 def query_by_hour(queries: DataFrame, sql_hash: str) -> DataFrame:
-    seconds = number("seconds")
-    rate = F.try_divide(F.col("rows").try_cast("double"), F.when(seconds != 0, seconds))
-    return queries.filter(F.col("sql_hash") == sql_hash).groupBy(F.hour("start_ts").alias("hour")).agg(
-        F.count("*").alias("runs"), F.round(F.avg(seconds), 4).alias("avg_seconds"), F.min(seconds).alias("min_seconds"), F.max(seconds).alias("max_seconds"),
-        F.sum(F.col("rows").try_cast("bigint")).alias("total_rows"), F.round(F.avg(rate), 4).alias("avg_rate"),
+    """Per hour of the day, of the runs of one fingerprint that have a time."""
+    rows = query_rows(queries).filter((F.col("sql_hash") == sql_hash) & F.col("seconds").isNotNull())
+    per = rows.groupBy(F.hour("start_ts").alias("hour")).agg(
+        F.count("*").alias("runs"), rounded(F.avg("seconds"), 3).alias("avg_seconds"), F.round(F.min("seconds"), 3).alias("min_seconds"), F.round(F.max("seconds"), 3).alias("max_seconds"),
+        F.sum("rows").alias("total_rows"), rounded(F.avg("rate"), 1).alias("avg_rate"),
     )
+    return per.orderBy("hour")
 
 
 def query_perf(queries: DataFrame, only_slow: bool = False, source: str | None = None, n: int = 500) -> DataFrame:
-    rows = queries.select(
-        "query_id", source_from_path("filename").alias("source"), "start_ts", number("seconds").alias("seconds"), F.coalesce(number("seconds") > SLOW_SECONDS, F.lit(False)).alias("slow")
-    )
+    """id (1 for the latest) and the row of each of the latest queries; slow is null where there is no time."""
+    rows = query_rows(queries).drop("sql", "owner", "error").withColumn("slow", F.col("seconds") > SLOW_SECONDS)
     if only_slow:
         rows = rows.filter("slow")
     if source is not None:
         rows = rows.filter(F.col("source") == source)
-    return rows.orderBy(F.desc_nulls_last("start_ts"), "query_id").limit(n)
+    order = (F.desc_nulls_last("start_ts"), F.asc("query_id"))
+    return numbered(rows.orderBy(*order).limit(n), *order)
 
 
 def recent_errors(events: DataFrame, n: int = 50) -> DataFrame:
-    rows = events.filter(F.col("level") == "ERROR").select("run_id", "ts", "event", "table", "error")
-    return rows.orderBy(F.desc_nulls_last("ts"), "run_id", "event").limit(n)
-
-
-def run_metrics(events: DataFrame, queries: DataFrame, n: int = 100) -> DataFrame:
-    """Per run: started, ended, queries, query_seconds, rows, errors, status; the latest starts first."""
-    start = events.filter(F.col("event") == "run_start").groupBy("run_id").agg(F.min("ts").alias("started"))
-    end = events.filter(F.col("event") == "run_end").groupBy("run_id").agg(F.max("ts").alias("ended"))
-    stats = queries.groupBy("run_id").agg(F.count("*").alias("queries"), F.round(F.sum(number("seconds")), 3).alias("query_seconds"), F.sum(F.col("rows").try_cast("bigint")).alias("rows"))
-    errors = events.filter(F.col("level") == "ERROR").groupBy("run_id").agg(F.count("*").alias("errors"))
-    out = start.join(end, "run_id", "left").join(stats, "run_id", "left").join(errors, "run_id", "left")
-    n_errors = F.coalesce("errors", F.lit(0))
-    out = out.select("run_id", "started", "ended", F.coalesce("queries", F.lit(0)).alias("queries"), "query_seconds", "rows", n_errors.alias("errors"), F.when(n_errors > 0, "failed").otherwise("ok").alias("status"))
+    rows = events.filter(F.col("level") == "ERROR").select(source_from_path("filename").alias("source"), "run_id", "ts", "event", "table", "error")
+    return rows.orderBy(F.desc_nulls_last("ts"), "source", "run_id", "event", "error").limit(n)
+
+
+def run_metrics(connections: DataFrame, events: DataFrame, queries: DataFrame, n: int = 100) -> DataFrame:
+    """Per run, the latest starts first. A run starts with its first connection and ends with its last end event.
+
+    run_id, source, started, ended, queries, query_seconds, slowest_seconds, rows (null for a run without queries), errors, status.
+    """
+    known = F.col("run_id").isNotNull()
+    start = connections.filter(known).groupBy("run_id").agg(F.min("start_ts").alias("started"))
+    logged = events.filter(known).groupBy("run_id").agg(F.max(F.when(F.col("event") == "run_end", F.col("ts"))).alias("ended"), F.count_if(F.col("level") == "ERROR").alias("errors"))
+    stats = query_rows(queries).filter(known).groupBy("run_id").agg(
+        F.min("source").alias("source"), F.count("*").alias("queries"), rounded(F.sum("seconds"), 3).alias("query_seconds"),
+        F.round(F.max("seconds"), 3).alias("slowest_seconds"), F.sum("rows").alias("rows"),
+    )
+    errors = F.coalesce("errors", F.lit(0))
+    out = start.join(logged, "run_id", "left").join(stats, "run_id", "left").select(
+        "run_id", "source", "started", "ended", "queries", "query_seconds", "slowest_seconds", "rows", errors.alias("errors"), F.when(errors > 0, "failed").otherwise("ok").alias("status")
+    )
     return out.orderBy(F.desc_nulls_last("started"), "run_id").limit(n)
 
 
@@ -161,21 +187,21 @@ def seconds_between(a: Column, b: Column) -> Column:
 
 def ledger_totals(ledger: DataFrame) -> DataFrame:
     """batches, success, failed, first_ts, last_ts, elapsed_s, mean_interval_s, rows."""
-    failed = F.coalesce("es_failures", F.lit(0)) > 0
+    failed = F.coalesce("n_failures", F.lit(0)) > 0
     a = ledger.agg(
         F.count("*").alias("batches"), F.count_if(~failed).alias("success"), F.count_if(failed).alias("failed"),
         F.min("applied_ts").alias("first_ts"), F.max("applied_ts").alias("last_ts"),
-        F.sum(F.coalesce("es_updated", F.lit(0)) + F.coalesce("es_created", F.lit(0))).alias("rows"),
+        F.sum(F.coalesce("n_updated", F.lit(0)) + F.coalesce("n_created", F.lit(0))).alias("rows"),
     )
     elapsed = seconds_between(F.col("first_ts"), F.col("last_ts"))
-    gaps = F.when(F.col("batches") > 1, F.round(elapsed.cast("double") / (F.col("batches") - 1), 2))
+    gaps = F.round(F.try_divide(elapsed.cast("double"), F.col("batches")), 2)
     return a.select("batches", "success", "failed", "first_ts", "last_ts", elapsed.alias("elapsed_s"), gaps.alias("mean_interval_s"), "rows")
 
 
 def ledger_breakdown(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("event", "env", "mode").agg(
-        F.count("*").alias("batches"), F.sum("es_updated").alias("updated"), F.sum("es_created").alias("created"), F.sum("es_conflicts").alias("conflicts"),
-        F.sum("es_failures").alias("failures"), F.min("applied_ts").alias("first_ts"), F.max("applied_ts").alias("last_ts"),
+        F.count("*").alias("batches"), F.sum("n_updated").alias("updated"), F.sum("n_created").alias("created"), F.sum("n_conflicts").alias("conflicts"),
+        F.sum("n_failures").alias("failures"), F.min("applied_ts").alias("first_ts"), F.max("applied_ts").alias("last_ts"),
     )
 
 
@@ -231,12 +257,12 @@ def run_rollup(targets: DataFrame) -> DataFrame:
 
 
 def group_listagg(df: DataFrame, key: str, date: str, a: str, b: str, sep: str = ",") -> DataFrame:
-    """Per entity: the first date and two ordered lists as text; nulls are skipped."""
-    return df.groupBy(key).agg(
-        F.min(date).alias("first_date"),
-        F.array_join(F.sort_array(F.collect_list(F.col(a).cast("string"))), sep).alias(f"{a}_list"),
-        F.array_join(F.sort_array(F.collect_list(F.col(b).cast("string"))), sep).alias(f"{b}_list"),
-    )
+    """Per entity: the first date and two lists as text, each in the order of its values; nulls are skipped."""
+
+    def listed(c: str) -> Column:
+        return F.array_join(F.transform(F.sort_array(F.collect_list(c)), lambda x: x.cast("string")), sep).alias(f"{c}_list")
+
+    return df.groupBy(key).agg(F.min(date).alias("first_date"), listed(a), listed(b))
 
 
 def top_by_duration(df: DataFrame, ts_from: str, ts_to: str, tie: str, n: int) -> DataFrame:
@@ -258,6 +284,19 @@ def source_diagnostics(changes: DataFrame, missing: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def source_samples(changes: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
+    """event, env, rows: the first n rows of each in the order of keys, as one JSON array. Partial lists are cut before the shuffle."""
+    rows = changes.select("event", "env", F.struct(*keys).alias("row"), F.spark_partition_id().alias("_part"))
+
+    def first(df: DataFrame, by: list[str]) -> DataFrame:
+        few = Window.partitionBy(*by).orderBy("row")
+        return df.withColumn("_k", F.row_number().over(few)).filter(F.col("_k") <= n).drop("_k")
+
+    # Each input partition keeps n rows of a group, and only those meet.
+    few = first(first(rows, ["event", "env", "_part"]), ["event", "env"])
+    return few.groupBy("event", "env").agg(F.to_json(F.sort_array(F.collect_list("row"))).alias("rows"))
+
+
 def count_windows_with_changes(changes: DataFrame, missing: DataFrame) -> DataFrame:
     """event, env, changes_files, missing_files: the output files that were written."""
     files = changes.select("event", "env", F.col("source_file").alias("c"), F.lit(None).cast("string").alias("m")).unionByName(

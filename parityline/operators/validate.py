@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 TEXT = {"keyword", "text", "ip", "binary"}
 INTEGER = {"byte", "short", "integer", "long"}
 DECIMAL = {"half_float", "float", "double", "scaled_float"}
-DATE, BOOLEAN, OBJECT = {"date"}, {"boolean"}, {"object", "nested"}
+DATE, BOOLEAN, NESTED = {"date"}, {"boolean"}, {"nested"}
 
 
 @dataclass(frozen=True)
@@ -70,6 +70,8 @@ def infer_target_schema(docs: DataFrame) -> DataFrame:
 
 
 def _accepts(kind: str, value: T.DataType) -> bool:
+    if kind not in TEXT | INTEGER | DECIMAL | DATE | BOOLEAN | NESTED:
+        return True  # objects and types that are not known are taken as they are
     if isinstance(value, T.BooleanType) or kind in BOOLEAN:
         return isinstance(value, T.BooleanType) and kind in BOOLEAN
     if kind in INTEGER:
@@ -79,10 +81,8 @@ def _accepts(kind: str, value: T.DataType) -> bool:
     if kind in DATE:
         return isinstance(value, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.IntegralType))
     if kind in TEXT:
-        return isinstance(value, (T.StringType, T.NumericType))
-    if kind in OBJECT:
-        return isinstance(value, (T.StructType, T.MapType))
-    return True
+        return isinstance(value, T.StringType)
+    return isinstance(value, (T.StructType, T.MapType))
 
 
 def _element_errors(positions: Column, name: str) -> Column:
@@ -96,7 +96,7 @@ def validate(rows: DataFrame, schema: Mapping[str, TargetField], id_col: str = "
     """id, field, error: a field that is unknown, a type that does not fit, a list on a scalar, bad elements by index.
 
     Spark's columns have one type, so the type rules are settled when the plan is made and rows decide only by nullness;
-    nulls are valid, unknown target types too.
+    nulls are valid, objects and unknown target types too, and any text is taken for a date.
     """
     errors = []
     for f in rows.schema.fields:
@@ -109,6 +109,8 @@ def validate(rows: DataFrame, schema: Mapping[str, TargetField], id_col: str = "
 
         if target is None:
             errors.append(error("not in schema", x.isNotNull()))
+        elif target.type in ("", "object"):
+            continue
         elif isinstance(f.dataType, T.ArrayType):
             if not target.is_array:
                 errors.append(error("list on a scalar", x.isNotNull()))
@@ -117,8 +119,6 @@ def validate(rows: DataFrame, schema: Mapping[str, TargetField], id_col: str = "
                 errors.append(_element_errors(bad, f.name))
         elif not _accepts(target.type, f.dataType):
             errors.append(error("boolean on " + target.type if isinstance(f.dataType, T.BooleanType) else "wrong type", x.isNotNull()))
-        elif target.type in DATE and isinstance(f.dataType, T.StringType):
-            errors.append(error("no date", x.isNotNull() & F.try_to_timestamp(x).isNull()))
     empty = F.array().cast("array<struct<field:string,error:string>>")
     found = F.concat(*[F.coalesce(e, empty) for e in errors]) if errors else empty
     return rows.select(F.col(id_col).cast("string").alias("id"), F.inline(found))

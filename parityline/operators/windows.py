@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNITS = {"m": 60, "min": 60, "minute": 60, "h": 3600, "hour": 3600, "d": 86400, "day": 86400, "w": 604800, "week": 604800}
@@ -60,18 +60,19 @@ def id_envelope(parts: Iterable[DataFrame], id_col: str) -> DataFrame:
 
 
 def assign_id_window(
-    df: DataFrame, id_col: str, step: int, first: int | None = None, last: int | None = None, limit: int | None = None, skip_single: bool = False
+    df: DataFrame, id_col: str, step: int, first: int | None = None, last: int | None = None, limit: int | None = None, skip_single: bool = False,
+    bounds: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """Rows in [cur, cur + step) windows from the smallest id, with id_from and id_to (not clipped).
 
     first, last: overrides that clamp the range (last inclusive). limit: that many windows at most (null: all).
-    skip_single: no window at all where the range is one id.
+    skip_single: no window at all where the range is one id. bounds: the smallest and largest id where df is one part of several.
     """
-    bounds = id_range(df, id_col).select(
-        (F.greatest("min_id", F.lit(first)) if first is not None else F.col("min_id")).alias("lo"),
-        (F.least("max_id", F.lit(last)) if last is not None else F.col("max_id")).alias("hi"),
-    )
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    if bounds is None:
+        ids = id_range(df, id_col)
+        bounds = ids.select("min_id").scalar(), ids.select("max_id").scalar()
+    lo = F.greatest(bounds[0], F.lit(first)) if first is not None else bounds[0]
+    hi = F.least(bounds[1], F.lit(last)) if last is not None else bounds[1]
     x = F.col(id_col)
     n = F.floor((x - lo) / step).cast("long")
     keep = (x >= lo) & (x <= hi)

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime, timedelta
-from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parityline.functions import converters as C
@@ -20,36 +18,11 @@ from parityline.operators import reports as R
 from parityline.operators import shape as S
 from parityline.operators import windows as W
 from parityline.plans import modes as M
-from parityline.plans.fixtures import frame, log_frame, with_tables
+from parityline.plans import stored  # noqa: F401  registers its queries
+from parityline.plans.registry import oracle_sql, queries, query  # noqa: F401
 from parityline.sources import files as FI
 from parityline.sources import scans as X
 
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None, name: str | None = None) -> Callable[[Callable], Callable]:
-    """Register a function of a table reader t(name) as a query, with equivalent SQL."""
-
-    def add(f: Callable) -> Callable:
-        key = name or f.__name__
-        _QUERIES[key] = lambda spark, sf_dir: f(partial(log_frame, spark, sf_dir))
-        if sql:
-            _SQL[key] = with_tables(sql)
-        return f
-
-    return add
-
-
-def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
-
 # -- comparison -------------------------------------------------------------------------------------------------------
 
 MAPPING = (
@@ -172,9 +145,9 @@ def missing_rows(t):
     return K.missing_rows(shaped, K.compare_tables(shaped, t("tgt_orders"), "id"), "id")
 
 
-@query("SELECT t.* FROM {tgt_orders} t WHERE id IN (SELECT CAST(o_orderkey AS VARCHAR) FROM {src_orders} WHERE o_orderkey % 2 = 0)")
+@query("SELECT t.* FROM {tgt_orders} t WHERE id IN (SELECT CAST(o_orderkey AS VARCHAR) FROM {src_orders} WHERE o_orderstatus = 'F')")
 def semi_keys(t):
-    return K.semi_keys(t("tgt_orders"), t("src_orders").filter("o_orderkey % 2 = 0").withColumnRenamed("o_orderkey", "id"), "id")
+    return K.semi_keys(t("tgt_orders"), t("src_orders").filter("o_orderstatus = 'F'").withColumnRenamed("o_orderkey", "id"), "id")
 
 
 @query("""SELECT CASE WHEN CASE WHEN o_orderkey % 53 = 0 THEN 'X' ELSE o_orderstatus END = o_orderstatus THEN 'matched' ELSE 'mismatched' END AS outcome,
@@ -242,9 +215,12 @@ def scan_time_window(t):
     return X.scan_time_window(t("orders"), "o_orderdate", START, END)
 
 
-@query("SELECT * FROM {orders} WHERE o_orderkey >= 1000 AND o_orderkey < 6000")
+@query("""SELECT * FROM {orders} WHERE o_orderkey >= (SELECT min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) // 4 FROM {orders})
+AND o_orderkey < (SELECT min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) // 4 * 3 FROM {orders})""")
 def scan_id_window(t):
-    return X.scan_id_window(t("orders"), "o_orderkey", 1000, 6000)
+    quarter = F.floor((F.col("max_id") - F.col("min_id")) / 4)
+    ids = W.id_range(t("orders"), "o_orderkey").select((F.col("min_id") + quarter).alias("lo"), (F.col("min_id") + 3 * quarter).alias("hi"))
+    return X.scan_id_window(t("orders"), "o_orderkey", ids.select("lo").scalar(), ids.select("hi").scalar())
 
 
 @query("SELECT * FROM {orders} WHERE o_orderkey >= (SELECT min(o_orderkey) FROM {orders}) AND o_orderkey < (SELECT max(o_orderkey) + 1 FROM {orders})")
@@ -253,10 +229,16 @@ def scan_id_window_all(t):
     return X.scan_id_window(t("orders"), "o_orderkey", ids.select("min_id").scalar(), ids.select(F.col("max_id") + 1).scalar())
 
 
-@query("SELECT count(*) AS n, 1 AS all_in_range FROM {orders}")
+@query("SELECT o_orderkey, 1 AS shards_of_key, true AS in_range, true AS same_again FROM {orders}")
 def scan_hash_shards(t):
-    shards = X.scan_hash_shards(t("orders"), "o_orderkey", 8)
-    return shards.agg(F.count("*").alias("n"), F.min(F.col("shard").between(0, 7).cast("int")).alias("all_in_range"))
+    """Each row in one shard of the range, and in the same one when its key comes in other rows (lineitem) and other types."""
+    shards = X.scan_hash_shards(t("orders").select("o_orderkey"), "o_orderkey", 8)
+    again = X.scan_hash_shards(t("lineitem").select(F.col("l_orderkey").cast(t("orders").schema["o_orderkey"].dataType).alias("o_orderkey")), "o_orderkey", 8).distinct().withColumnRenamed("shard", "other")
+    per = shards.join(again, "o_orderkey", "left").groupBy("o_orderkey").agg(
+        F.count_distinct("shard").cast("int").alias("shards_of_key"), F.bool_and(F.col("shard").between(0, 7)).alias("in_range"),
+        F.bool_and(F.coalesce(F.col("shard") == F.col("other"), F.lit(True))).alias("same_again"),
+    )
+    return per
 
 
 @query("SELECT * FROM {tgt_orders} WHERE CAST(replace(orderDate, 'T', ' ') AS TIMESTAMP) >= TIMESTAMP '1996-01-01' AND CAST(replace(orderDate, 'T', ' ') AS TIMESTAMP) < TIMESTAMP '1998-07-01'")
@@ -264,9 +246,9 @@ def scan_docs_range(t):
     return X.scan_docs_range(t("tgt_orders"), "orderDate", START, END)
 
 
-@query("SELECT * FROM {tgt_orders} WHERE id IN (SELECT CAST(o_orderkey AS VARCHAR) FROM {orders} WHERE o_custkey % 7 = 0)")
+@query("SELECT * FROM {tgt_orders} WHERE id IN (SELECT CAST(l_orderkey AS VARCHAR) FROM {lineitem} WHERE l_quantity > 45)")
 def scan_docs_by_keys(t):
-    return X.scan_docs_by_keys(t("tgt_orders"), "id", t("orders").filter("o_custkey % 7 = 0"), "o_orderkey")
+    return X.scan_docs_by_keys(t("tgt_orders"), "id", t("lineitem").filter("l_quantity > 45"), "l_orderkey")
 
 
 @query("SELECT * FROM {tgt_orders} WHERE status = 'F' ORDER BY id LIMIT 100")
@@ -304,26 +286,31 @@ def assign_time_window(t):
     return W.assign_time_window(t("events"), "ts", datetime(2024, 1, 3), datetime(2024, 1, 9, 12), "7h").select("event_id", "window_from", "window_to")
 
 
-@query("""SELECT g AS window_from, least(g + INTERVAL 7 HOUR, TIMESTAMP '2024-01-09 12:00:00') AS window_to
-FROM (SELECT unnest(range(TIMESTAMP '2024-01-03', TIMESTAMP '2024-01-09 12:00:00', INTERVAL 7 HOUR)) AS g)""")
+@query("""SELECT g AS window_from, least(g + INTERVAL 1 DAY, hi) AS window_to
+FROM (SELECT unnest(range(lo, hi, INTERVAL 1 DAY)) AS g, hi FROM (SELECT min(o_orderdate) AS lo, max(o_orderdate) + INTERVAL 1 SECOND AS hi FROM {orders} HAVING count(o_orderdate) > 0))""")
 def window_grid(t):
-    return W.window_grid(t("region").sparkSession, datetime(2024, 1, 3), datetime(2024, 1, 9, 12), "7h")
+    return _grid_of(t("orders"), "o_orderdate", "1 DAY")
+
+
+def _grid_of(df: DataFrame, ts: str, step: str) -> DataFrame:
+    """All windows between a table's first and last time."""
+    at = F.col(ts).cast("timestamp_ntz")
+    lo, hi = df.agg(F.min(at), F.max(at)).first()
+    if lo is None:  # no rows, no windows
+        return W.window_grid(df.sparkSession, START, START, step)
+    return W.window_grid(df.sparkSession, lo, hi + timedelta(seconds=1), step)
 
 
 @query("""SELECT g AS window_from, least(g + INTERVAL 7 HOUR, hi) AS window_to
 FROM (SELECT unnest(range(lo, hi, INTERVAL 7 HOUR)) AS g, hi FROM (SELECT min(ts) AS lo, max(ts) + INTERVAL 1 SECOND AS hi FROM {events} HAVING count(ts) > 0))""")
 def window_grid_all(t):
-    at = F.col("ts").cast("timestamp_ntz")
-    lo, hi = t("events").agg(F.min(at), F.max(at)).first()
-    if lo is None:  # no events, no windows
-        return W.window_grid(t("events").sparkSession, START, START, "7h")
-    return W.window_grid(t("events").sparkSession, lo, hi + timedelta(seconds=1), "7h")
+    return _grid_of(t("events"), "ts", "7h")
 
 
 @query("""SELECT o_orderkey, 5 + (o_orderkey - 5) // 700 * 700 AS id_from, 5 + (o_orderkey - 5) // 700 * 700 + 700 AS id_to
-FROM {orders} WHERE o_orderkey >= 5 AND o_orderkey <= 12000 AND (o_orderkey - 5) // 700 < 12""")
+FROM {orders} WHERE o_orderkey >= 5""")
 def assign_id_window(t):
-    return W.assign_id_window(t("orders"), "o_orderkey", 700, first=5, last=12000, limit=12).select("o_orderkey", "id_from", "id_to")
+    return W.assign_id_window(t("orders"), "o_orderkey", 700, first=5).select("o_orderkey", "id_from", "id_to")
 
 
 @query("""SELECT o_orderkey, lo + (o_orderkey - lo) // 700 * 700 AS id_from, lo + (o_orderkey - lo) // 700 * 700 + 700 AS id_to
@@ -339,7 +326,7 @@ SELECT window_from, least(window_from + INTERVAL 30 DAY, TIMESTAMP '1998-07-01')
        count(k) FILTER (k % 97 <> 0 AND k % 53 = 0) AS rows_changed, count(k) FILTER (k % 97 = 0) AS rows_missing
 FROM g LEFT JOIN s USING (window_from) GROUP BY 1""")
 def rows_per_window(t):
-    grid = W.window_grid(t("region").sparkSession, START, END, "30 DAYS")
+    grid = W.window_grid(t("orders").sparkSession, START, END, "30 DAYS")
     source = W.assign_time_window(t("orders"), "o_orderdate", START, END, "30 DAYS").select("window_from", F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
     target = source.filter("id % 97 <> 0").withColumn("status", F.when(F.col("id") % 53 == 0, "X").otherwise(F.col("status")))
     diffs = K.compare_tables(source, target, "id", by=["window_from"])
@@ -382,8 +369,8 @@ def lookup_single(t):
 
 
 @query("""WITH ids AS (SELECT p_partkey, unnest(string_split(tags, ',')) AS x, unnest(range(len(string_split(tags, ',')))) AS i FROM {tag_lists}),
-found AS (SELECT p_partkey, array_to_string(list(v ORDER BY i), ', ') AS names FROM ids JOIN {lookup_names} ON CAST(k AS VARCHAR) = trim(x) GROUP BY 1)
-SELECT p_partkey, CASE WHEN tags IS NULL OR trim(tags) = '' THEN NULL WHEN tags = ',-1,' THEN 'All' ELSE coalesce(names, '') END AS tag_names
+found AS (SELECT p_partkey, array_to_string(list(v ORDER BY i), ', ') AS names FROM ids JOIN {lookup_names} ON CAST(k AS VARCHAR) = trim(x) WHERE regexp_full_match(trim(x), '[0-9]+') GROUP BY 1)
+SELECT p_partkey, CASE WHEN tags IS NULL OR trim(tags) = '' THEN NULL WHEN trim(tags) = ',-1,' THEN 'All' ELSE coalesce(names, '') END AS tag_names
 FROM {tag_lists} LEFT JOIN found USING (p_partkey)""")
 def lookup_csv(t):
     table = L.load_lookup(t("lookup_names"), "k", "v")
@@ -588,11 +575,11 @@ def apply_inserts(t):
     return A.apply_inserts(t("tgt_orders"), rows, "id")[0]
 
 
-@query("""SELECT event, env, mode, source_file, applied_ts, es_updated FROM (
-    SELECT *, row_number() OVER (PARTITION BY event, env, mode, source_file ORDER BY applied_ts DESC, es_updated DESC) AS k FROM {ledger} WHERE es_failures = 0) WHERE k = 1""")
+@query("""SELECT event, env, mode, source_file, applied_ts, n_updated FROM (
+    SELECT *, row_number() OVER (PARTITION BY event, env, mode, source_file ORDER BY applied_ts DESC, n_updated DESC) AS k FROM {ledger} WHERE n_failures = 0) WHERE k = 1""")
 def mark_applied(t):
     ledger = t("ledger")
-    return A.mark_applied(ledger.limit(0), ledger).select("event", "env", "mode", "source_file", "applied_ts", "es_updated")
+    return A.mark_applied(ledger.limit(0), ledger).select("event", "env", "mode", "source_file", "applied_ts", "n_updated")
 
 
 @query("""SELECT event, pk, field, CASE WHEN f THEN 'applied' ELSE status END AS status, CASE WHEN f THEN source_value ELSE target_value END AS target_value FROM (
@@ -609,11 +596,9 @@ def record_run_summary(t):
     return A.record_run_summary(t("run_summary"), "r1", "compare")
 
 
-@query("SELECT id, count(*) FILTER (priority IS NOT NULL) AS n FROM {missing} GROUP BY 1", name="drop_empty_fields")
+@query("""SELECT id, '{' || concat_ws(',', '"orderId":"' || orderId || '"', '"status":"' || status || '"', '"priority":"' || priority || '"') || '}' AS doc FROM {missing}""", name="drop_empty_fields")
 def _drop_empty_fields(t):
-    rows = t("missing").select("id", "priority", F.lit(None).cast("string").alias("gone"))
-    docs = A.drop_empty_fields(rows)
-    return docs.groupBy("id").agg(F.count_if(F.get_json_object("doc", "$.priority").isNotNull() & ~F.contains("doc", F.lit("gone"))).alias("n"))
+    return A.drop_empty_fields(t("missing").select("id", "orderId", "status", "priority", F.lit(None).cast("string").alias("gone")))
 
 
 # -- logs and reports ---------------------------------------------------------------------------------------------------
@@ -621,56 +606,67 @@ def _drop_empty_fields(t):
 SRC = "CASE WHEN event_id % 3 = 0 THEN 'pg' ELSE 'wh' END"
 FAILED = "(event LIKE '%connect_failed%' OR (level = 'ERROR' AND event LIKE 'pg_%'))"
 CONN = f"""
-conn AS (SELECT CASE WHEN conn_id % 4 = 0 THEN 'pg' ELSE 'wh' END AS source, 'ok' AS status, start_ts AS started, CAST(NULL AS VARCHAR) AS error FROM {{log_connections}}
-    UNION ALL SELECT {SRC}, 'failed', ts, error FROM {{log_events}} WHERE {FAILED})"""
+conn AS (SELECT CASE WHEN conn_id % 4 = 0 THEN 'pg' ELSE 'wh' END AS source, 'success' AS status, start_ts AS started, CAST(NULL AS VARCHAR) AS error, run_id, hostname, country, city FROM {{log_connections}}
+    UNION ALL SELECT {SRC}, 'failed', ts, error, run_id, NULL, NULL, NULL FROM {{log_events}} WHERE {FAILED})"""
 SECONDS = "TRY_CAST(seconds AS DOUBLE)"
 
 
-@query(f"WITH {CONN} SELECT source, count(*) FILTER (status = 'ok') AS successes, count(*) FILTER (status <> 'ok') AS failures, count(*) AS total FROM conn GROUP BY 1")
+@query(f"WITH {CONN} SELECT source, count(*) FILTER (status = 'success') AS successes, count(*) FILTER (status <> 'success') AS failures, count(*) AS total FROM conn GROUP BY 1")
 def connection_overview(t):
     return R.connection_overview(t("log_connections"), t("log_events"))
 
 
-@query(f"WITH {CONN} SELECT * FROM conn WHERE source = 'pg' ORDER BY started DESC NULLS LAST, source, status, error NULLS LAST LIMIT 200")
+@query(f"WITH {CONN} SELECT * FROM conn WHERE source = 'pg' ORDER BY started DESC NULLS LAST, source, run_id NULLS LAST, status, error NULLS LAST, hostname NULLS LAST, country NULLS LAST, city NULLS LAST LIMIT 200")
 def connections_recent(t):
     return R.connections_recent(t("log_connections"), t("log_events"), source="pg")
 
 
-@query(f"SELECT query_id, run_id, sql_hash, {SECONDS} AS seconds, status, row_number() OVER (ORDER BY {SECONDS} DESC NULLS LAST, query_id) AS id FROM {{log_queries}} ORDER BY id LIMIT 50")
+QUERY_ROWS = f"""
+q AS (SELECT query_id, CASE WHEN query_id % 3 = 0 THEN 'pg' ELSE 'wh' END AS source, run_id, tbl AS target, owner, batch, start_ts, {SECONDS} AS seconds,
+    TRY_CAST(n_rows AS BIGINT) AS "rows", TRY_CAST(rows_per_sec AS DOUBLE) AS rate, status, sql_hash, error, sql_txt FROM {{log_queries}})"""
+
+
+@query(f"WITH {QUERY_ROWS} SELECT * EXCLUDE (sql_txt), row_number() OVER (ORDER BY seconds DESC, query_id) AS id FROM q WHERE seconds IS NOT NULL ORDER BY id LIMIT 50")
 def query_slowest(t):
     return R.query_slowest(t("log_queries"))
 
 
-@query(f"""SELECT sql_hash, count(*) AS runs, round(avg({SECONDS}), 4) AS avg_seconds, max({SECONDS}) AS max_seconds, CAST(sum(TRY_CAST(n_rows AS BIGINT)) AS BIGINT) AS total_rows,
-       min(start_ts) AS first_seen, max(start_ts) AS last_seen, left(max(sql_txt), 120) AS preview FROM {{log_queries}} GROUP BY 1""")
+@query(f"""WITH {QUERY_ROWS} SELECT sql_hash, min(source) AS source, max(target) AS target, count(*) AS runs, CAST(round(CAST(avg(seconds) AS DECIMAL(28,8)), 3) AS DOUBLE) AS avg_seconds, round(max(seconds), 3) AS max_seconds,
+       CAST(sum("rows") AS BIGINT) AS total_rows, min(start_ts) AS first_seen, max(start_ts) AS last_seen, left(max(sql_txt), 120) AS preview
+FROM q WHERE sql_hash <> '' AND seconds IS NOT NULL GROUP BY 1 ORDER BY runs DESC, avg_seconds DESC, sql_hash LIMIT 200""")
 def query_hashes(t):
     return R.query_hashes(t("log_queries"))
 
 
-@query(f"""SELECT hour(start_ts) AS hour, count(*) AS runs, round(avg({SECONDS}), 4) AS avg_seconds, min({SECONDS}) AS min_seconds, max({SECONDS}) AS max_seconds,
-       CAST(sum(TRY_CAST(n_rows AS BIGINT)) AS BIGINT) AS total_rows, round(avg(CAST(n_rows AS DOUBLE) / CASE WHEN {SECONDS} <> 0 THEN {SECONDS} END), 4) AS avg_rate
-FROM {{log_queries}} WHERE sql_hash = 'h3' GROUP BY 1""")
+@query(f"""WITH {QUERY_ROWS} SELECT hour(start_ts) AS hour, count(*) AS runs, CAST(round(CAST(avg(seconds) AS DECIMAL(28,8)), 3) AS DOUBLE) AS avg_seconds, round(min(seconds), 3) AS min_seconds, round(max(seconds), 3) AS max_seconds,
+       CAST(sum("rows") AS BIGINT) AS total_rows, CAST(round(CAST(avg(rate) AS DECIMAL(28,8)), 1) AS DOUBLE) AS avg_rate FROM q WHERE sql_hash = 'h3' AND seconds IS NOT NULL GROUP BY 1 ORDER BY 1""")
 def query_by_hour(t):
     return R.query_by_hour(t("log_queries"), "h3")
 
 
-@query(f"SELECT query_id, CASE WHEN query_id % 3 = 0 THEN 'pg' ELSE 'wh' END AS source, start_ts, {SECONDS} AS seconds, true AS slow FROM {{log_queries}} WHERE {SECONDS} > 5 AND query_id % 3 = 0 ORDER BY start_ts DESC, query_id LIMIT 500")
+@query(f"""WITH {QUERY_ROWS} SELECT * EXCLUDE (sql_txt, owner, error), seconds > 5 AS slow, row_number() OVER (ORDER BY start_ts DESC NULLS LAST, query_id) AS id
+FROM q WHERE seconds > 5 AND source = 'pg' ORDER BY id LIMIT 500""")
 def query_perf(t):
     return R.query_perf(t("log_queries"), only_slow=True, source="pg")
 
 
-@query('SELECT run_id, ts, event, tbl AS "table", error FROM {log_events} WHERE level = \'ERROR\' ORDER BY ts DESC, run_id, event LIMIT 50')
+@query(f"""WITH {QUERY_ROWS} SELECT * EXCLUDE (sql_txt, owner, error), seconds > 5 AS slow, row_number() OVER (ORDER BY start_ts DESC NULLS LAST, query_id) AS id FROM q ORDER BY id LIMIT 500""")
+def query_perf_all(t):
+    return R.query_perf(t("log_queries"))
+
+
+@query(f'SELECT {SRC} AS source, run_id, ts, event, tbl AS "table", error FROM {{log_events}} WHERE level = \'ERROR\' ORDER BY ts DESC, source, run_id, event, error LIMIT 50')
 def recent_errors(t):
     return R.recent_errors(t("log_events"))
 
 
-@query(f"""WITH s AS (SELECT run_id, min(ts) AS started FROM {{log_events}} WHERE event = 'run_start' GROUP BY 1), e AS (SELECT run_id, max(ts) AS ended FROM {{log_events}} WHERE event = 'run_end' GROUP BY 1),
-q AS (SELECT run_id, count(*) AS queries, round(sum({SECONDS}), 3) AS query_seconds, CAST(sum(TRY_CAST(n_rows AS BIGINT)) AS BIGINT) AS "rows" FROM {{log_queries}} GROUP BY 1),
+@query(f"""WITH {QUERY_ROWS}, s AS (SELECT run_id, min(start_ts) AS started FROM {{log_connections}} GROUP BY 1), e AS (SELECT run_id, max(ts) AS ended FROM {{log_events}} WHERE event = 'run_end' GROUP BY 1),
+p AS (SELECT run_id, min(source) AS source, count(*) AS queries, CAST(round(CAST(sum(seconds) AS DECIMAL(28,8)), 3) AS DOUBLE) AS query_seconds, round(max(seconds), 3) AS slowest_seconds, CAST(sum("rows") AS BIGINT) AS "rows" FROM q GROUP BY 1),
 r AS (SELECT run_id, count(*) AS errors FROM {{log_events}} WHERE level = 'ERROR' GROUP BY 1)
-SELECT run_id, started, ended, coalesce(queries, 0) AS queries, query_seconds, "rows", coalesce(errors, 0) AS errors, CASE WHEN errors > 0 THEN 'failed' ELSE 'ok' END AS status
-FROM s LEFT JOIN e USING (run_id) LEFT JOIN q USING (run_id) LEFT JOIN r USING (run_id) ORDER BY started DESC, run_id LIMIT 100""")
+SELECT run_id, source, started, ended, queries, query_seconds, slowest_seconds, "rows", coalesce(errors, 0) AS errors, CASE WHEN errors > 0 THEN 'failed' ELSE 'ok' END AS status
+FROM s LEFT JOIN e USING (run_id) LEFT JOIN p USING (run_id) LEFT JOIN r USING (run_id) ORDER BY started DESC, run_id LIMIT 100""")
 def run_metrics(t):
-    return R.run_metrics(t("log_events"), t("log_queries"))
+    return R.run_metrics(t("log_connections"), t("log_events"), t("log_queries"))
 
 
 @query("SELECT id, run_id, started_at FROM {run_summary} ORDER BY started_at DESC NULLS LAST, id LIMIT 100")
@@ -678,15 +674,15 @@ def recent_log(t):
     return R.recent_log(t("run_summary").select("id", "run_id", "started_at"), "started_at", "id")
 
 
-@query("""SELECT count(*) AS batches, count(*) FILTER (es_failures = 0) AS success, count(*) FILTER (es_failures > 0) AS failed, min(applied_ts) AS first_ts, max(applied_ts) AS last_ts,
-       date_sub('second', min(applied_ts), max(applied_ts)) AS elapsed_s, round(date_sub('second', min(applied_ts), max(applied_ts)) / (count(*) - 1), 2) AS mean_interval_s,
-       CAST(sum(es_updated + es_created) AS BIGINT) AS "rows" FROM {ledger}""")
+@query("""SELECT count(*) AS batches, count(*) FILTER (n_failures = 0) AS success, count(*) FILTER (n_failures > 0) AS failed, min(applied_ts) AS first_ts, max(applied_ts) AS last_ts,
+       date_sub('second', min(applied_ts), max(applied_ts)) AS elapsed_s, round(date_sub('second', min(applied_ts), max(applied_ts)) / count(*), 2) AS mean_interval_s,
+       CAST(sum(n_updated + n_created) AS BIGINT) AS "rows" FROM {ledger}""")
 def ledger_totals(t):
     return R.ledger_totals(t("ledger"))
 
 
-@query("""SELECT event, env, mode, count(*) AS batches, CAST(sum(es_updated) AS BIGINT) AS updated, CAST(sum(es_created) AS BIGINT) AS created, CAST(sum(es_conflicts) AS BIGINT) AS conflicts,
-       CAST(sum(es_failures) AS BIGINT) AS failures, min(applied_ts) AS first_ts, max(applied_ts) AS last_ts FROM {ledger} GROUP BY 1, 2, 3""")
+@query("""SELECT event, env, mode, count(*) AS batches, CAST(sum(n_updated) AS BIGINT) AS updated, CAST(sum(n_created) AS BIGINT) AS created, CAST(sum(n_conflicts) AS BIGINT) AS conflicts,
+       CAST(sum(n_failures) AS BIGINT) AS failures, min(applied_ts) AS first_ts, max(applied_ts) AS last_ts FROM {ledger} GROUP BY 1, 2, 3""")
 def ledger_breakdown(t):
     return R.ledger_breakdown(t("ledger"))
 
@@ -734,7 +730,7 @@ def run_rollup(t):
     return R.run_rollup(t("batches"))
 
 
-@query("""SELECT o_custkey, min(o_orderdate) AS first_date, array_to_string(list_sort(list(CAST(o_orderkey AS VARCHAR))), ',') AS o_orderkey_list,
+@query("""SELECT o_custkey, min(o_orderdate) AS first_date, array_to_string(list_transform(list_sort(list(o_orderkey)), lambda x: CAST(x AS VARCHAR)), ',') AS o_orderkey_list,
        array_to_string(list_sort(list(o_orderstatus)), ',') AS o_orderstatus_list FROM {orders} GROUP BY 1""")
 def group_listagg(t):
     return R.group_listagg(t("orders"), "o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus")
@@ -765,7 +761,7 @@ def normalise_event_log(t):
     return G.normalise_event_log(e).select("run_id", "level", "event", "target", "message")
 
 
-@query("""SELECT run_id, 'query.' || CASE WHEN query_id % 3 = 0 THEN 'pg' ELSE 'wh' END AS "where", tbl AS target, CAST(query_id AS VARCHAR) AS query_id, 'ValueError' AS error_type,
+@query("""SELECT run_id, 'query.' || CASE WHEN query_id % 3 = 0 THEN 'pg' ELSE 'wh' END AS "where", tbl AS target, batch AS batch_id, CAST(query_id AS VARCHAR) AS query_id, 'ValueError' AS error_type,
        'bad row ' || CAST(query_id AS VARCHAR) AS error_msg FROM {log_queries} WHERE status = 'error'""")
 def errors_from_queries(t):
     q = t("log_queries").withColumn("start_ts", F.date_format("start_ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"))

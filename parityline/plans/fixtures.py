@@ -30,10 +30,11 @@ SELECT 'T' || CAST(o_orderkey AS STRING), CAST(o_custkey AS STRING), o_orderstat
 FROM {orders} WHERE o_orderkey % 1009 = 0""",
     "log_queries": """
 SELECT event_id AS query_id, 'run_' || CAST(user_id % 20 AS STRING) AS run_id,
-       '/logs/connect_into_' || CASE WHEN event_id % 3 = 0 THEN 'pg' ELSE 'wh' END || '/logging/queries.csv' AS filename,
-       'h' || CAST(event_id % 37 AS STRING) AS sql_hash, 'tbl_' || event_type AS tbl,
+       '/logs/connector_' || CASE WHEN event_id % 3 = 0 THEN 'pg' ELSE 'wh' END || '/logging/queries.csv' AS filename,
+       CASE WHEN event_id % 43 = 0 THEN '' ELSE 'h' || CAST(event_id % 37 AS STRING) END AS sql_hash, 'tbl_' || event_type AS tbl,
        CASE WHEN event_id % 101 = 0 THEN 'n/a' ELSE CAST(value AS STRING) END AS seconds,
-       CAST(user_id * 10 AS STRING) AS n_rows,
+       CAST(user_id * 10 AS STRING) AS n_rows, CASE WHEN event_id % 7 = 0 THEN '' ELSE CAST(event_id % 500 AS STRING) END AS rows_per_sec,
+       'own_' || CAST(user_id % 3 AS STRING) AS owner, CAST(event_id % 12 AS STRING) AS batch,
        CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status, ts AS start_ts,
        CASE WHEN event_type = 'error' THEN 'ValueError: bad row ' || CAST(event_id AS STRING) END AS error,
        'SELECT * FROM tbl_' || event_type AS sql_txt
@@ -45,19 +46,21 @@ SELECT event_id, 'run_' || CAST(user_id % 20 AS STRING) AS run_id, ts,
             WHEN 3 THEN 'pg_write' ELSE 'step' END AS event,
        'tbl_' || event_type AS tbl,
        CASE WHEN event_type = 'error' THEN 'ValueError: bad row ' || CAST(event_id AS STRING) END AS error,
-       '/logs/connect_into_' || CASE WHEN event_id % 3 = 0 THEN 'pg' ELSE 'wh' END || '/logging/events.csv' AS filename
+       '/logs/connector_' || CASE WHEN event_id % 3 = 0 THEN 'pg' ELSE 'wh' END || '/logging/events.csv' AS filename,
+       CAST(event_id % 12 AS STRING) AS batch, CASE WHEN event_id % 4 = 0 THEN CAST(event_id AS STRING) END AS query_id
 FROM {events}""",
     "log_connections": """
 SELECT event_id AS conn_id, 'run_' || CAST(user_id % 20 AS STRING) AS run_id, ts AS start_ts,
-       '/logs/connect_into_' || CASE WHEN event_id % 4 = 0 THEN 'pg' ELSE 'wh' END || '/logging/connections.csv' AS filename
-FROM {events} WHERE event_type = 'view'""",
+       '/logs/connector_' || CASE WHEN event_id % 4 = 0 THEN 'pg' ELSE 'wh' END || '/logging/connections.csv' AS filename,
+       'host_' || CAST(user_id % 9 AS STRING) AS hostname, 'land_' || CAST(user_id % 4 AS STRING) AS country, event_type AS city
+FROM {events}""",
     "parts_a": """
 SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation, c_acctbal AS balance FROM {customer}""",
     "parts_b": """
 SELECT s_suppkey + 1000000 AS id, s_name AS name, s_nationkey AS nation FROM {supplier}""",
     "tag_lists": """
 SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN ',1,a,22,' WHEN 1 THEN ',-1,' WHEN 2 THEN ''
-       WHEN 3 THEN NULL WHEN 4 THEN '3,999,' || CAST(p_size % 25 AS STRING) ELSE CAST(p_size % 25 AS STRING) END AS tags
+       WHEN 3 THEN NULL WHEN 4 THEN '3,-1,999,' || CAST(p_size % 25 AS STRING) ELSE CAST(p_size % 25 AS STRING) END AS tags
 FROM {part}""",
     "lookup_names": """
 SELECT n_nationkey AS k, n_name AS v FROM {nation}""",
@@ -72,27 +75,27 @@ SELECT p_partkey,
 FROM {part}""",
     "changes": """
 SELECT 'ev_' || CAST(o_custkey % 5 AS STRING) AS event, CASE WHEN o_orderkey % 2 = 0 THEN 'prod' ELSE 'test' END AS env,
-       CAST(o_orderkey % 24 AS STRING) AS win, CASE WHEN o_orderkey % 71 = 0 THEN ' nan ' ELSE CAST(o_orderkey % 4000 AS STRING) END AS pk,
+       CAST(o_orderkey % 24 AS STRING) AS win, CASE WHEN o_orderkey % 71 = 0 THEN ' nan ' ELSE CAST(CAST((o_orderkey - o_orderkey % 8) / 8 AS BIGINT) AS STRING) END AS pk,
        CASE o_orderkey % 4 WHEN 0 THEN 'status' WHEN 1 THEN 'total' WHEN 2 THEN 'flag' ELSE '*' END AS field,
        CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderstatus END AS source_value,
        CASE WHEN o_orderkey % 10 = 0 THEN ' ' ELSE o_orderpriority END AS target_value,
-       CASE WHEN o_orderkey % 4 = 3 THEN 'missing_in_source' ELSE 'diff' END AS status,
-       'f' || CAST(o_orderkey % 50 AS STRING) || '.parquet' AS source_file,
+       CASE WHEN o_orderkey % 4 = 3 THEN 'missing_in_source' WHEN o_orderkey % 89 = 0 THEN NULL ELSE 'diff' END AS status,
+       'f' || CAST(CAST((o_orderkey - o_orderkey % 50) / 50 AS BIGINT) AS STRING) || '.parquet' AS source_file,
        CASE WHEN o_orderkey % 9 = 0 THEN o_orderdate END AS applied_ts
-FROM {orders} WHERE o_orderkey % 3 = 0""",
+FROM {orders}""",
     "missing": """
 SELECT 'ev_' || CAST(o_custkey % 5 AS STRING) AS event, CASE WHEN o_orderkey % 2 = 0 THEN 'prod' ELSE 'test' END AS env,
        CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderkey AS STRING) END AS orderId, CAST(o_orderkey AS STRING) || 'i' AS id,
        CASE WHEN o_orderkey % 4 = 0 THEN 'nan' ELSE o_orderstatus END AS status, o_orderpriority AS priority,
-       'f' || CAST(o_orderkey % 50 AS STRING) || '.parquet' AS source_file, 'missing_in_target' AS error
-FROM {orders} WHERE o_orderkey % 11 = 0""",
+       'f' || CAST(CAST((o_orderkey - o_orderkey % 50) / 50 AS BIGINT) AS STRING) || '.parquet' AS source_file, 'missing_in_target' AS error
+FROM {orders}""",
     "ledger": """
 SELECT 'ev_' || CAST(o_custkey % 5 AS STRING) AS event, CASE WHEN o_orderkey % 2 = 0 THEN 'prod' ELSE 'test' END AS env,
        CASE WHEN o_orderkey % 3 = 0 THEN 'missing' ELSE 'changes' END AS mode,
-       'f' || CAST(o_orderkey % 50 AS STRING) || '.parquet' AS source_file,
-       o_orderdate + (o_orderkey % 86400) * INTERVAL '1' SECOND AS applied_ts, o_orderkey % 100 AS es_updated, o_orderkey % 10 AS es_created,
-       o_orderkey % 4 AS es_conflicts, CASE WHEN o_orderkey % 13 = 0 THEN 2 ELSE 0 END AS es_failures
-FROM {orders} WHERE o_orderkey % 29 = 0""",
+       'f' || CAST(CAST((o_orderkey - o_orderkey % 50) / 50 AS BIGINT) AS STRING) || '.parquet' AS source_file,
+       o_orderdate + (o_orderkey % 86400) * INTERVAL '1' SECOND AS applied_ts, o_orderkey % 100 AS n_updated, o_orderkey % 10 AS n_created,
+       o_orderkey % 4 AS n_conflicts, CASE WHEN o_orderkey % 13 = 0 THEN 2 ELSE 0 END AS n_failures
+FROM {orders} WHERE o_orderpriority = '1-URGENT'""",
     "run_summary": """
 SELECT event_id AS id, 'run_' || CAST(user_id % 20 AS STRING) AS run_id, CASE WHEN event_id % 2 = 0 THEN 'prod' ELSE 'test' END AS env,
        'tbl_' || event_type AS target_name, CASE WHEN event_id % 3 = 0 THEN 'apply' ELSE 'compare' END AS operation, user_id AS rows_count,
@@ -111,7 +114,7 @@ SELECT 'ev_' || CAST(o_custkey % 5 AS STRING) AS event, CASE WHEN o_orderkey % 2
        'field_' || CAST(o_orderkey % 30 AS STRING) AS field, CAST(o_orderkey % 90 AS STRING) AS total_issues, CAST(o_orderkey % 40 AS STRING) AS diff,
        CASE WHEN o_orderkey % 77 = 0 THEN 'n/a' ELSE CAST(o_orderkey % 9 AS STRING) END AS missing_in_target, '1' AS missing_in_source,
        CAST(o_orderkey % 5 AS STRING) AS target_blank, '' AS source_blank
-FROM {orders} WHERE o_orderkey % 5 = 0""",
+FROM {orders}""",
 }
 
 

@@ -9,9 +9,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from parityline.functions.converters import COMMON, Converter
-from parityline.operators.compare import compare_tables, semi_keys
+from parityline.operators.compare import compare_tables, matching
 from parityline.operators.shape import Field, keep_columns, prune_plan, shape, union_parts
-from parityline.operators.windows import assign_id_window, assign_time_window
+from parityline.operators.windows import assign_id_window, assign_time_window, id_envelope
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -38,6 +38,7 @@ class EventSpec:
     allow: Sequence[str] | None = None
     registry: Mapping[str, Converter] = field(default_factory=lambda: dict(COMMON))
     empty_side: str = "report"
+    unique: bool = False  #: keys are known to come once on each side
 
 
 def _extract(event: EventSpec, window: Step, by: list[str]) -> DataFrame:
@@ -57,7 +58,7 @@ def _compare(event: EventSpec, source: DataFrame, target: DataFrame, by: list[st
     fields = [c for c in source.columns if c != event.pk and c not in by]
     if event.allow is not None:
         target = keep_columns(target, [*event.allow, *by], event.pk)
-    return compare_tables(source, target, event.pk, fields, by, event.empty_side, restrict)
+    return compare_tables(source, target, event.pk, fields, by, event.empty_side, restrict, event.unique)
 
 
 def compare_time(event: EventSpec, start: datetime, end: datetime, step: str) -> DataFrame:
@@ -73,12 +74,20 @@ def compare_time(event: EventSpec, start: datetime, end: datetime, step: str) ->
 
 
 def compare_id_range(event: EventSpec, step: int, first: int | None = None, last: int | None = None, limit: int | None = None) -> DataFrame:
-    """Windows by id on the source; the target is restricted to the source's keys. One part or several (union)."""
+    """Windows by id on the source; the target is restricted to the source's keys. One part or several (union).
+
+    Windows count from the smallest id of all parts. Each source row meets its target row in one left join.
+    """
+    ids = id_envelope([p.source for p in event.parts], event.id_source)
+    bounds = (ids.select("min_id").scalar(), ids.select("max_id").scalar())
 
     def source_window(df: DataFrame) -> DataFrame:
-        return assign_id_window(df, event.id_source, step, first, last, limit).drop("id_to")
+        return assign_id_window(df, event.id_source, step, first, last, limit, bounds=bounds).drop("id_to")
 
     source = _extract(event, source_window, ["id_from"])
-    target = semi_keys(event.target, source, event.pk)
-    keyed = target.join(source.select(event.pk, "id_from").distinct(), event.pk)
-    return _compare(event, source, keyed, ["id_from"], restrict=True)
+    if event.empty_side == "skip":
+        keyed = matching(event.target, source.select(event.pk, "id_from").distinct(), event.pk)
+        return _compare(event, source, keyed, ["id_from"], restrict=True)
+    target = event.target if event.allow is None else keep_columns(event.target, event.allow, event.pk)
+    fields = [c for c in source.columns if c not in (event.pk, "id_from")]
+    return compare_tables(source, target, event.pk, fields, source_by=["id_from"], keep="source", unique=event.unique)

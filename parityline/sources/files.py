@@ -37,13 +37,14 @@ def read_csv_glob(spark: SparkSession, pattern: str) -> DataFrame:
     files = _some(spark, pattern)
     if not files:
         return empty_strings(spark, "filename")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:  # one small read of each header; Spark has no schema merge for CSV
-        header = spark.read.option("header", True).csv(f).columns
-        groups.setdefault(tuple(header), []).append(f)
+    # One job reads the first line of every file; Spark has no schema merge for CSV.
+    start = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), "_metadata.file_block_start", "value", F.monotonically_increasing_id().alias("line"))
+    lines = start.filter("file_block_start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    groups = lines.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
     parts = []
-    for header, paths in groups.items():
-        schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
+    for header, paths in groups:  # one read for each kind of header
+        schema = spark.read.option("header", True).csv(paths[0]).schema
+        schema = T.StructType([T.StructField(h, T.StringType()) for h in schema.names])
         df = spark.read.options(header=True, mode="DROPMALFORMED", enforceSchema=False).schema(schema).csv(paths)
         parts.append(df.select("*", F.col("_metadata.file_path").alias("filename")))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -51,7 +52,7 @@ def read_csv_glob(spark: SparkSession, pattern: str) -> DataFrame:
 
 def read_diff_csv(spark: SparkSession, pattern: str) -> DataFrame:
     """Diff or missing CSV: text only, an empty cell is an empty text, not null; source_file is the path below /out/."""
-    df = spark.read.options(header=True, inferSchema=False, emptyValue="", nullValue="\u0000").csv(pattern)
+    df = spark.read.options(header=True, inferSchema=False).csv(pattern).na.fill("")
     return df.select("*", rel_path(F.col("_metadata.file_path")).alias("source_file"))
 
 
@@ -83,7 +84,7 @@ def expand_payload(df: DataFrame, schema: T.StructType, pk: str, payload: str =
     return parsed.select(F.coalesce(norm_key(own), F.col(doc_id).cast("string")).alias(pk), F.col(doc_id).cast("string").alias("id"), *cols)
 
 
-def read_run_logs(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
+def read_run_logs(spark: SparkSession, root: str, table: str, schema: T.StructType | str) -> DataFrame:
     """All shards of a log table of all runs as one dataset."""
     return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/*/{table}")
 

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parityline.functions.values import scrub
-from parityline.operators.compare import filter_diff_mode, missing_rows
+from parityline.operators.compare import filter_diff_mode, matching
+
+#: Columns that may hold the window of a difference, as the comparison modes name them.
+WINDOWS = ("window", "window_from", "id_from")
 
 
 def as_strings(df: DataFrame) -> DataFrame:
@@ -22,20 +25,33 @@ def write_parquet_zstd(df: DataFrame, path: str, partition_by: tuple[str, ...] =
     as_strings(df).write.mode("append").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
 
 
-def write_diffs(diffs: DataFrame, shaped: DataFrame, pk: str, root: str, event: str, env: str, window: str, mode: str = "both") -> dict[str, int]:
+def write_diffs(diffs: DataFrame, shaped: DataFrame, pk: str, root: str, event: str, env: str, window: str | None = None, mode: str = "both", window_col: str | None = None) -> dict[str, int]:
     """Changes and missing rows of one run, partitioned by event, env and window; the counts of what was written.
 
-    diffs may carry several windows in a window column; else `window` names the one. Counts come with the write itself.
+    window_col: the column of diffs that holds their window (default: the first of window, window_from and id_from that it
+    has); without one, `window` names the only one. The comparison runs once: its rows are checkpointed below the shared folder
+    and serve both writes. Counts come with the write itself.
     """
-    stamp = {"event": F.lit(event), "env": F.lit(env)}
-    kept = filter_diff_mode(diffs, mode)
+    window_col = window_col or next((c for c in WINDOWS if c in diffs.columns), None)
+    if window_col is None and window is None:
+        raise ValueError("no column holds the window and none is named")
+    own = F.lit(window) if window_col is None else F.coalesce(F.col(f"`{window_col}`").cast("string"), F.lit(window or "all"))
+    kept = filter_diff_mode(diffs, mode).withColumn("window", own)
+    kept = kept.checkpoint() if diffs.sparkSession.sparkContext.getCheckpointDir() else kept
+    if window_col and window_col != "window":
+        kept = kept.drop(window_col)
+    keys = kept.filter(F.col("status") == "missing_in_target").select(F.col("pk").alias(pk), "window")
+    shaped = shaped.drop(*[c for c in WINDOWS if c in shaped.columns])
+    parts = {
+        "changes": kept.filter(F.col("status") == "diff"),
+        "missing": matching(shaped, keys.distinct(), pk).withColumn("error", F.lit("missing_in_target")),
+    }
     out = {}
-    parts = {"changes": kept.filter(F.col("status") == "diff"), "missing": missing_rows(shaped, kept, pk)}
     for name, df in parts.items():
         if mode in ("both", "all") or mode == name:
             seen = Observation(f"{name}-{event}-{env}-{window}")
-            df = df.withColumns(stamp | ({} if "window" in df.columns else {"window": F.lit(window)}))
-            write_parquet_zstd(df.observe(seen, F.count("*").alias("n")), f"{root.rstrip('/')}/{name}", ("event", "env", "window"))
+            df = df.withColumns({"event": F.lit(event), "env": F.lit(env)}).observe(seen, F.count("*").alias("n"))
+            write_parquet_zstd(df, f"{root.rstrip('/')}/{name}", ("event", "env", "window"))
             out[name] = seen.get["n"]
     return out
 
@@ -46,7 +62,9 @@ def write_csv_scrubbed(df: DataFrame, path: str) -> None:
     as_strings(clean).write.mode("overwrite").option("header", True).csv(path)
 
 
-def export_table_csv(df: DataFrame, path: str, max_rows: int | None = None) -> None:
+def export_table_csv(df: DataFrame, path: str, max_rows: int | None = None, order: tuple[str, ...] = ()) -> None:
+    """A table as CSV, whole or its first rows; with order the files, read by name, are sorted by these columns."""
+    df = df.orderBy(*order) if order else df
     write_csv_scrubbed(df if max_rows is None else df.limit(max_rows), path)
 
 
@@ -55,7 +73,9 @@ def write_audit(ops: DataFrame, path: str) -> None:
     ops.write.mode("append").json(path)
 
 
-def write_run_log(df: DataFrame, root: str, run_id: str, table: str, schema: T.StructType) -> None:
+def write_run_log(df: DataFrame, root: str, run_id: str, table: str, schema: T.StructType | str) -> None:
+    """A shard of a run's log with exactly the columns of schema, such as one of LOG_SCHEMAS."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     typed.write.mode("append").option("compression", "zstd").parquet(f"{root.rstrip('/')}/{run_id}/{table}")
 

@@ -165,7 +165,7 @@ def test_coerce(spark, raw, kind, want):
 
 
 def test_paths_and_text(spark):
-    assert one(spark, V.source_from_path(s(r"C:\x\connect_into_pg\logging\queries.csv"))) == "pg"
+    assert one(spark, V.source_from_path(s(r"C:\x\connector_pg\logging\queries.csv"))) == "pg"
     assert one(spark, V.source_from_path(s("nothing"))) == ""
     assert one(spark, V.event_from_path(s("/a/out/EV/prod/changes/x.parquet"))) == "EV"
     assert one(spark, V.env_from_path(s("/a/out/EV/prod/changes/x.parquet"))) == "prod"
