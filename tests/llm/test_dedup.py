@@ -186,6 +186,24 @@ def test_phases_find_what_leaders_miss(spark):
         assert r["jaccard"] == pytest.approx(len(a & b) / len(a | b)) and r["jaccard"] >= 0.8
 
 
+@pytest.mark.parametrize("nodes", [3, 512])
+def test_blocks_of_one_hot_band(spark, monkeypatch, nodes):
+    """One group of near copies, some linked and some not, in small blocks and in one."""
+    monkeypatch.setattr(ngram_join, "BLOCK_NODES", nodes)
+    words = [f"w{k}" for k in range(100)]
+    texts = []
+    for k in range(40):
+        text = words[:]
+        for j in range(k % 5):
+            text[(k * 13 + j * 17) % 100] = f"x{k}_{j}"
+        texts.append(" ".join(text))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute_near(docs.collect())
+    got = ngram_join.near_duplicates(docs, count_links=True).collect()
+    assert sorted((str(r["doc_id"]), r["class_id"], r["n_links"], r["n_copies"]) for r in got) == want
+    assert sorted((str(r["doc_id"]), r["class_id"]) for r in ngram_join.near_duplicates(docs).collect()) == sorted((d, c) for d, c, _, _ in want)
+
+
 def test_recall_of_the_candidates(spark):
     """Of the pairs between ids divisible by 20 and all rows that reach the threshold, at least 0.9 are in one class."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
