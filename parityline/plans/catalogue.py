@@ -55,18 +55,31 @@ DIFF_COLS = "pk, field, source_value, target_value, status"
 
 
 def _event(t, **more) -> M.EventSpec:
-    return M.EventSpec([M.PartSpec(t("src_orders"), MAPPING)], t("tgt_orders"), "id", **more)
+    return M.EventSpec([M.PartSpec(t("src_orders"), MAPPING)], t("tgt_orders"), "id", **more, unique=True)  # a primary key
 
 
 @query(f"WITH {PAIRS} SELECT {DIFF_COLS} FROM diffs")
 def compare_orders(t):
-    return K.compare_tables(S.shape(t("src_orders"), MAPPING), t("tgt_orders"), "id")
+    return K.compare_tables(S.shape(t("src_orders"), MAPPING), t("tgt_orders"), "id", unique=True)
+
+
+@query("""WITH s AS (SELECT * FROM (SELECT l_orderkey, l_partkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_quantity) AS k FROM {lineitem}) WHERE k = 1),
+t AS (SELECT * FROM (SELECT l_orderkey, l_suppkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_suppkey) AS k FROM {lineitem}) WHERE k = 1)
+SELECT CAST(l_orderkey AS VARCHAR) AS pk, 'l_quantity' AS field, CAST(s.l_quantity AS VARCHAR) AS source_value, CAST(t.l_quantity AS VARCHAR) AS target_value, 'diff' AS status
+FROM s JOIN t USING (l_orderkey) WHERE s.l_quantity <> t.l_quantity""")
+def compare_repeated_keys(t):
+    """Keys that come several times on both sides: the smallest row of each counts, in the order of its columns."""
+    source = t("lineitem").select(F.col("l_orderkey").alias("id"), "l_partkey", "l_quantity")
+    target = t("lineitem").select(F.col("l_orderkey").alias("id"), "l_quantity", "l_suppkey")
+    left = K.first_per_key(source, ["id"], ["l_partkey", "l_quantity"]).select("id", "l_quantity")
+    right = K.first_per_key(target, ["id"], ["l_quantity", "l_suppkey"]).select("id", "l_quantity")
+    return K.compare_tables(left, right, "id", unique=True)
 
 
 @query(f"WITH {PAIRS} SELECT {DIFF_COLS} FROM diffs WHERE status IN ('diff', 'missing_in_target') AND field IN ('status', '*')")
 def compare_allowed_fields(t):
     source = S.shape(t("src_orders"), S.prune_plan(MAPPING, ["status"], "id").mapping)
-    return K.filter_diff_mode(K.compare_tables(source, S.keep_columns(t("tgt_orders"), ["status"], "id"), "id"), "both")
+    return K.filter_diff_mode(K.compare_tables(source, S.keep_columns(t("tgt_orders"), ["status"], "id"), "id", unique=True), "both")
 
 
 @query(f"WITH {PAIRS} SELECT {DIFF_COLS} FROM diffs WHERE status <> 'missing_in_source'")
@@ -79,7 +92,7 @@ FROM diffs WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTA
 def compare_time(t):
     event = _event(t, time_source="o_orderdate", time_target="at")
     target = event.target.withColumn("at", F.try_to_timestamp("orderDate"))
-    event = M.EventSpec(event.parts, target, "id", "o_orderdate", "at")
+    event = M.EventSpec(event.parts, target, "id", "o_orderdate", "at", unique=True)
     return M.compare_time(event, START, END, "30 DAYS")
 
 
@@ -117,7 +130,7 @@ def _union_event(t, **more) -> M.EventSpec:
     )
     stamp = F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.pmod(F.col("id").cast("bigint"), F.lit(28)).cast("int") + 1, F.lit(0), F.lit(0), F.lit(0))
     return M.EventSpec(
-        [M.PartSpec(a.withColumn("at", stamp), PART_A), M.PartSpec(b.withColumn("at", stamp), PART_B)], target.withColumn("at", stamp), "id", **more
+        [M.PartSpec(a.withColumn("at", stamp), PART_A), M.PartSpec(b.withColumn("at", stamp), PART_B)], target.withColumn("at", stamp), "id", **more, unique=True
     )
 
 
@@ -126,7 +139,11 @@ def compare_time_union(t):
     return M.compare_time(_union_event(t, time_source="at", time_target="at"), datetime(2024, 1, 1), datetime(2024, 1, 29), "7")
 
 
-@query(UNION_SQL.replace("EXTRA", ", CASE WHEN k < 1000000 THEN k - k % 1000 ELSE 1000000 + (k - 1000000) - (k - 1000000) % 1000 END AS id_from", 1).replace("EXTRA", ", CASE WHEN k < 1000000 THEN k - k % 1000 ELSE 1000000 + (k - 1000000) - (k - 1000000) % 1000 END"))
+#: The windows of all parts count from the smallest id of any.
+LOWEST = "least((SELECT min(id) FROM {parts_a}), (SELECT min(id) FROM {parts_b}))"
+
+
+@query(UNION_SQL.replace("EXTRA", f", k - (k - {LOWEST}) % 1000 AS id_from", 1).replace("EXTRA", f", k - (k - {LOWEST}) % 1000"))
 def compare_id_range_union(t):
     return M.compare_id_range(_union_event(t, id_source="id"), 1000)
 
@@ -142,7 +159,7 @@ def compare_field(t):
 FROM {src_orders} WHERE CAST(o_orderkey AS VARCHAR) NOT IN (SELECT id FROM {tgt_orders})""")
 def missing_rows(t):
     shaped = S.shape(t("src_orders"), MAPPING)
-    return K.missing_rows(shaped, K.compare_tables(shaped, t("tgt_orders"), "id"), "id")
+    return K.missing_rows(shaped, K.compare_tables(shaped, t("tgt_orders"), "id", unique=True), "id")
 
 
 @query("SELECT t.* FROM {tgt_orders} t WHERE id IN (SELECT CAST(o_orderkey AS VARCHAR) FROM {src_orders} WHERE o_orderstatus = 'F')")
@@ -329,7 +346,7 @@ def rows_per_window(t):
     grid = W.window_grid(t("orders").sparkSession, START, END, "30 DAYS")
     source = W.assign_time_window(t("orders"), "o_orderdate", START, END, "30 DAYS").select("window_from", F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
     target = source.filter("id % 97 <> 0").withColumn("status", F.when(F.col("id") % 53 == 0, "X").otherwise(F.col("status")))
-    diffs = K.compare_tables(source, target, "id", by=["window_from"])
+    diffs = K.compare_tables(source, target, "id", by=["window_from"], unique=True)
     return W.rows_per_window(grid, source, target, diffs, ["window_from"])
 
 

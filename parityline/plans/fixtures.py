@@ -57,7 +57,7 @@ FROM {events}""",
     "parts_a": """
 SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation, c_acctbal AS balance FROM {customer}""",
     "parts_b": """
-SELECT s_suppkey + 1000000 AS id, s_name AS name, s_nationkey AS nation FROM {supplier}""",
+SELECT s_suppkey + 1000003 AS id, s_name AS name, s_nationkey AS nation FROM {supplier}""",
     "tag_lists": """
 SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN ',1,a,22,' WHEN 1 THEN ',-1,' WHEN 2 THEN ''
        WHEN 3 THEN NULL WHEN 4 THEN '3,-1,999,' || CAST(p_size % 25 AS STRING) ELSE CAST(p_size % 25 AS STRING) END AS tags
