@@ -223,6 +223,11 @@ class PairIndexBpe:
         if block:
             self._merge_block(block)
 
+    def forget(self) -> None:
+        """Give back what was remembered; to be called at the end of a task, as the tables outlive it."""
+        self.known.clear()
+        self.pieces.clear()
+
     # -- texts ----------------------------------------------------------------------------------------------------
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -278,6 +283,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, keep_ids: bool = True, id_col
             if keep_ids:
                 columns += [pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32())), pa.array(texts, pa.string())]
             yield pa.record_batch(columns, names)
+        bpe.forget()
 
     return docs.select(F.col(id_col), text_bytes(text_col).alias("text")).mapInArrow(run, schema)
 

@@ -68,6 +68,7 @@ def count_tokens(
         for batch in steps(batches, "text"):
             counts = [len(x) // 4 for x in encoder.encode(batch.column("text").to_pylist())]
             yield pa.record_batch([batch.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
+        encoder.forget()
 
     (
         misses.mapInArrow(encode, "digest binary, n_tokens long")

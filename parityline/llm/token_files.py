@@ -154,6 +154,7 @@ def write_token_files(
                 writer = ShardWriter(out)
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
                 writer.add(doc_id, ids + end)
+        encoder.forget()
         if shard is not None:
             writer.close()
             out.close()

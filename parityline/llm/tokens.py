@@ -151,6 +151,11 @@ class Encoder:
             out.update(zip(part, self._whole(part), strict=True))
         return out
 
+    def forget(self) -> None:
+        """Give back what was remembered; to be called at the end of a task, as the encoder itself outlives it."""
+        self.known.clear()
+        self.pieces.clear()
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.split:
             return self._whole(texts)
