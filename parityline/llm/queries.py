@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from parityline.llm import chat_tools, exact_dedup, line_dedup, mixing
+from parityline.llm import chat_tools, collocations, exact_dedup, line_dedup, mixing
 from parityline.llm.bpe import op6_bpe
 from parityline.llm.ngram_join import op10_ngram_join
 from parityline.llm.quality import op5_quality_rules
@@ -28,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_tools": chat_tools.op8_chat_tools,
         "op9_line_dedup": line_dedup.op9_line_dedup,
         "op10_ngram_join": op10_ngram_join,
+        "op12_collocations": collocations.op12_collocations,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -38,4 +39,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_exact_dedup": exact_dedup.ORACLE,
         "op8_chat_tools": chat_tools.ORACLE,
         "op9_line_dedup": line_dedup.ORACLE,
+        "op12_collocations": collocations.ORACLE,
     }
