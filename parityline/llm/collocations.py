@@ -1,8 +1,8 @@
 """Phrase collocations by merge joins of count streams that are kept in prefix and in suffix order.
 
 Counting: texts are folded, cut into pieces and words, and phrases of one to three words are counted in each task with numpy.
-A first pass fills a filter of fixed size (`slots`) with words and word pairs; the second emits only phrases all of whose words and
-pairs may reach `least`, as no part of a phrase occurs less often than the phrase. Their exact counts add up in one partial aggregation.
+A first pass fills a filter of fixed size (`slots`) with all phrases; the second emits only phrases that may reach `least` together
+with all their parts, as no part of a phrase occurs less often than the phrase. Their exact counts add up in one partial aggregation.
 
 Scoring: the counts, cut at `least`, are streams of sorted rows. In prefix order (lang, first words) a phrase meets its left part
 and its longest right extension; in suffix order (lang, last words) its right part and its left extension. Every such step is a
@@ -29,12 +29,12 @@ from parityline.llm.slots import SCHEMA, frequent, is_set, slot_of, slot_rows
 
 LEAST, COVER_PERCENT, TOP = 10, 50, 2000
 #: Text bytes that are counted at once.
-STEP = 4 << 20
+STEP = 8 << 20
 UNKNOWN = "und"
 ENDS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes.maketrans(ascii_uppercase.encode() + ENDS + b"\t", ascii_lowercase.encode() + b"\n" * len(ENDS) + b" ")
-#: Odd multipliers that tell the places of a pair apart (fixed values; any odd numbers do).
-FIRST, SECOND = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
+#: Odd multipliers that tell the places of words apart (fixed values; any odd numbers do).
+PLACES = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 COUNTS = "lang string, w1 string, w2 string, w3 string, f long"
 
 
@@ -53,9 +53,9 @@ def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def _pair_slots(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _phrase_slots(hashes: np.ndarray, *words: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return slot_of(hashes[a] * FIRST + hashes[b] * SECOND)
+        return slot_of(sum((hashes[w] * place for w, place in zip(words, PLACES)), np.uint64(len(words))))
 
 
 def _by_lang(batches) -> Iterator[tuple[str, list[bytes]]]:
@@ -71,11 +71,17 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, lang_col: str = "lang", t
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), text_bytes(text_col).alias("text"))
 
     def slots(batches):
-        for lang, some in _by_lang(batches):
-            ids, words = word_numbers(some)
-            h = _hashes(lang, words)
-            pair = (ids[:-1] > 0) & (ids[1:] > 0)
-            yield slot_rows(np.concatenate((slot_of(h)[ids[ids > 0]], _pair_slots(h, ids[:-1][pair], ids[1:][pair]))))
+        def each():
+            for lang, some in _by_lang(batches):
+                ids, words = word_numbers(some)
+                h = _hashes(lang, words)
+                yield _phrase_slots(h, ids[ids > 0])
+                two = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+                yield _phrase_slots(h, ids[two], ids[two + 1])
+                three = two[:-1][two[1:] == two[:-1] + 1]
+                yield _phrase_slots(h, ids[three], ids[three + 1], ids[three + 2])
+
+        return slot_rows(each())
 
     sent = docs.sparkSession.sparkContext.broadcast(frequent(texts.mapInArrow(slots, SCHEMA), least))
 
@@ -83,17 +89,18 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, lang_col: str = "lang", t
         for lang, some in _by_lang(batches):
             ids, words = word_numbers(some)
             h, known, n = _hashes(lang, words), pa.array(words, pa.binary()).cast(pa.string()), len(words)
-            may = is_set(sent.value, slot_of(h))
+            may = is_set(sent.value, _phrase_slots(h, np.arange(n)))
             yield _rows(lang, known, [], np.array([np.count_nonzero(ids)]))
             ids = np.where(may[ids], ids, 0)
             a, b = ids[:-1], ids[1:]
             at = np.flatnonzero((a > 0) & (b > 0))
-            at = at[is_set(sent.value, _pair_slots(h, a[at], b[at]))]
+            at = at[is_set(sent.value, _phrase_slots(h, a[at], b[at]))]
             one, f = np.unique(ids[ids > 0], return_counts=True)
             yield _rows(lang, known, [one], f)
             two, rank, f = np.unique(a[at] * n + b[at], return_inverse=True, return_counts=True)
             yield _rows(lang, known, [two // n, two % n], f)
             on = np.flatnonzero(at[1:] == at[:-1] + 1)  # pairs that go on in another pair
+            on = on[is_set(sent.value, _phrase_slots(h, a[at[on]], b[at[on]], b[at[on + 1]]))]
             three, f = np.unique(rank[on] * n + b[at[on + 1]], return_counts=True)
             left = two[three // n]
             yield _rows(lang, known, [left // n, left % n, three % n], f)
@@ -150,7 +157,7 @@ def collocations(docs: DataFrame, least: int = LEAST, cover: int = COVER_PERCENT
     found = twos.unionByName(threes)
     # The first `top` of each share of a lang, then of the lang: no task gets all phrases of a lang.
     best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    shared = found.withColumn("_share", F.pmod(F.xxhash64("phrase"), F.lit(64)))
+    shared = found.withColumn("_share", F.pmod(F.xxhash64("phrase"), F.lit(16)))
     some = shared.withColumn("_k", F.row_number().over(Window.partitionBy("lang", "_share").orderBy(*best))).filter(F.col("_k") <= top)
     ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

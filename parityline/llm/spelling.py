@@ -127,8 +127,7 @@ def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
             yield pa.record_batch([batch.column("word"), batch.column("n"), pa.array(keys.view(np.int64))], ["near", "near_n", "key"])
 
     def slots(batches):
-        for batch in batches:
-            yield slot_rows(slot_of(reduced_hashes(batch.column("word").to_pylist(), symbols)))
+        return slot_rows(slot_of(reduced_hashes(batch.column("word").to_pylist(), symbols)) for batch in batches)
 
     sent = words.sparkSession.sparkContext.broadcast(frequent(words.select("word").mapInArrow(slots, SCHEMA), 1))
 

@@ -2,11 +2,11 @@
 
 Vectors become rows of integers. They are dealt by the hash of their id to blocks of about BLOCK, and each block's index is built
 by one task: for every component its postings (vectors with a value other than zero) are cut into segments of one quantised
-impact, the absolute value in steps of `width`, with its sign; segments lie in descending order of impact. Query vectors are dealt to blocks
-in the same way, and each pair of a query block and a candidate block is one group of bounded size.
+impact, the absolute value in steps of `width`, with its sign; segments lie in descending order of impact, in a few tiers. Query vectors
+are dealt to blocks in the same way, and each pair of a query block and a candidate block is one group of bounded size.
 
-In a group segments are added to the scores of all open queries in descending impact. From time to time every pair of query and candidate
-gets an upper bound: its score so far, plus the largest impact still to come times the largest query components that can meet
+In a group the segments are added to the scores of all open queries in descending impact, those of a tier by one matrix product. After each tier
+every pair of query and candidate gets an upper bound: its score so far, plus the largest impact still to come times the largest query components that can meet
 it, plus the rounding of quantised impacts. A query is closed only when few candidates can still reach its threshold, which is the
 k-th best of exact scores; these candidates are all rescored exactly, so what is left out is left out on proof. Otherwise the
 segments go on to the end, which bounds every score by its rounding alone. The k best of all blocks are ranked together.
@@ -32,8 +32,9 @@ K, SCALE, EVERY = 20, 64, 20
 #: Vectors of a candidate block and of a query block; queries that are scored together; impacts that a component is quantised to.
 BLOCK, QUERY_BLOCK, TOGETHER, LEVELS = 4096, 2048, 256, 64
 LARGEST = 1 << 27
-#: Shares of the postings after which open queries are looked at, and the share of candidates that may be rescored before the end.
-LOOKS, FEW = (0.45, 0.6, 0.75, 0.9), 0.03
+NEVER = -(1 << 62)
+#: Shares of the postings that tiers end at, and the share of candidates that may be rescored before the last tier.
+TIERS, FEW = (0.4, 0.6, 0.75, 0.9), 0.03
 
 
 def integer_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -59,30 +60,30 @@ def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Candidates of one block and their segments, by descending impact."""
+    """Candidates of one block and their postings by descending impact, cut into tiers of segments."""
 
     ids: np.ndarray
     codes: np.ndarray  #: vectors as they are, one row each
-    width: int  #: of a step of impact; at 1 a segment's impact is exact
-    postings: np.ndarray  #: rows, segment after segment
-    starts: np.ndarray  #: where each segment begins
+    width: int  #: of a step of impact; at 1 a posting's impact is exact
+    row: np.ndarray  #: of each posting
     component: np.ndarray
     impact: np.ndarray  #: signed, the middle of the step
-    level: np.ndarray  #: number of the step, descending
+    ends: np.ndarray  #: where each tier ends, always after the last posting of a step
+    to_come: np.ndarray  #: the largest impact after each tier
 
     @classmethod
     def build(cls, ids: np.ndarray, codes: np.ndarray, levels: int = LEVELS) -> Index:
         width = max(1, -(-int(np.abs(codes).max(initial=0)) // levels))
         row, component = np.nonzero(codes)
-        value = codes[row, component]
+        value = codes[row, component].astype(np.int64)
         level = (np.abs(value) - 1) // width
-        order = np.lexsort((row, value < 0, component, -level))
-        row, component, negative, level = row[order], component[order], (value < 0)[order], level[order]
-        new = np.ones(len(row), bool)
-        new[1:] = (component[1:] != component[:-1]) | (negative[1:] != negative[:-1]) | (level[1:] != level[:-1])
-        starts = np.flatnonzero(new)
-        middle = level[starts] * width + 1 + (width - 1) // 2
-        return cls(ids, codes, width, row.astype("<u2"), starts, component[starts], np.where(negative[starts], -middle, middle), level[starts])
+        order = np.lexsort((row, value < 0, component, -level))  # segment after segment
+        row, component, value, level = row[order], component[order], value[order], level[order]
+        middle = level * width + 1 + (width - 1) // 2
+        steps = np.flatnonzero(level[1:] != level[:-1]) + 1
+        ends = sorted({*(int(steps[np.searchsorted(steps, share * len(row))]) for share in TIERS if len(steps) and steps[-1] >= share * len(row)), len(row)})
+        to_come = [(int(level[end]) + 1) * width if end < len(row) else 0 for end in ends]
+        return cls(ids, codes, width, row, component, np.where(value < 0, -middle, middle), np.array(ends), np.array(to_come))
 
     def pack(self) -> dict[str, bytes | int]:
         parts = {name: np.ascontiguousarray(getattr(self, name), kind).tobytes() for name, kind in PACKED.items()}
@@ -94,71 +95,70 @@ class Index:
         parts["codes"] = parts["codes"].reshape(len(parts["ids"]), row["n_components"])
         return cls(width=row["width"], **parts)
 
+    def tiers(self, kind: type) -> list[np.ndarray]:
+        """The postings of each tier as a matrix of impacts, zero where a vector has no posting in it."""
+        out = []
+        for a, b in zip([0, *self.ends[:-1].tolist()], self.ends.tolist()):
+            out.append(np.zeros(self.codes.shape, kind))
+            out[-1][self.row[a:b], self.component[a:b]] = self.impact[a:b]
+        return out
+
 
-PACKED = {"ids": "<i8", "codes": "<i4", "postings": "<u2", "starts": "<i8", "component": "<i4", "impact": "<i8", "level": "<i4"}
+PACKED = {"ids": "<i8", "codes": "<i4", "row": "<u2", "component": "<u4", "impact": "<i4", "ends": "<i8", "to_come": "<i8"}
 INDEX = "block int, n_components int, width int, " + ", ".join(f"{name} binary" for name in PACKED)
 
 
+def _length(rows: np.ndarray) -> float:
+    """The largest length of a row, rounded up."""
+    return float(np.sqrt((rows.astype(np.float64) ** 2).sum(axis=1)).max(initial=0)) + 1
+
+
 def search(index: Index, query_ids: np.ndarray, queries: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place of the query, id, exact score) of each query's k best candidates in the block, its own id left out; ties to the smaller id."""
     d = max(index.codes.shape[1], queries.shape[1])
     codes, q = (np.pad(x, ((0, 0), (0, d - x.shape[1]))) for x in (index.codes, queries))
     n, m = len(codes), len(q)
-    largest = d * int(np.abs(codes).max(initial=0) + index.width) * int(np.abs(q).max(initial=0))
-    kind = np.int32 if largest < 1 << 28 else np.int64
-    exact = codes.astype(kind)
-    q = q.astype(kind)
-    where = np.argsort(index.ids, kind="stable")
-    own = np.searchsorted(index.ids, query_ids, sorter=where)
-    own = np.where(index.ids[where[np.minimum(own, n - 1)]] == query_ids, where[np.minimum(own, n - 1)], -1) if n else np.full(m, -1)
+    # By Cauchy and Schwarz no sum over some of the components passes the product of the lengths, so floats hold it exactly.
+    most = (_length(codes) + index.width * d) * _length(q)
+    kind = np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else np.int64
+    exact, long = codes.astype(np.int64), q.astype(np.int64)
+    order = np.argsort(index.ids, kind="stable")
+    spot = order[np.minimum(np.searchsorted(index.ids, query_ids, sorter=order), n - 1)]
+    own = np.where(index.ids[spot] == query_ids, spot, -1)
 
     def scores(candidate: np.ndarray, query: np.ndarray) -> np.ndarray:
-        """Exact scores of pairs, at most so many at once that they take a few MB."""
-        step = max(1, (1 << 20) // max(d, 1))
-        parts = [np.einsum("ij,ij->i", exact[candidate[a : a + step]], q[query[a : a + step]]) for a in range(0, len(candidate), step)]
-        return np.concatenate(parts) if parts else np.zeros(0, kind)
+        """Exact scores of pairs, so many at once that they take a few MB."""
+        step = max(1, (1 << 19) // max(d, 1))
+        parts = [np.einsum("ij,ij->i", exact[candidate[a : a + step]], long[query[a : a + step]]) for a in range(0, len(candidate), step)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
     # What is still to come for a candidate with u postings left is at most the next impact times the u largest query components.
-    size = np.sort(np.abs(q), axis=1)[:, ::-1]
-    reach = np.concatenate((np.zeros((m, 1), kind), np.cumsum(size, axis=1, dtype=kind)), axis=1).T.copy()
+    size = np.sort(np.abs(long), axis=1)[:, ::-1]
+    reach = np.concatenate((np.zeros((m, 1), np.int64), np.cumsum(size, axis=1)), axis=1).T
     rounding = (index.width // 2) * reach[-1]
-    total, left = np.zeros((n, m), kind), np.count_nonzero(index.codes, axis=1)
+    columns = np.ascontiguousarray(q[:, : index.codes.shape[1]].T.astype(kind))
+    total, left = np.zeros((n, m), kind), np.count_nonzero(codes, axis=1)
     open_queries, cutoff = np.arange(m), None
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    ends = np.append(index.starts[1:], len(index.postings))
-    # A look comes after the last segment of a level, where a share of all postings is passed; the last one at the end.
-    last = np.append(index.level[1:] != index.level[:-1], True) if len(ends) else np.zeros(0, bool)
-    looks = [int(np.argmax(last & (ends >= share * len(index.postings)))) for share in LOOKS] if len(ends) else []
-    plan = sorted({*looks, len(ends) - 1})
-    at = 0
-    for stop in plan:
-        for s in range(at, stop + 1):
-            rows = index.postings[index.starts[s] : ends[s]]
-            total[rows] += index.impact[s].astype(kind) * q[open_queries, index.component[s]]
-            left[rows] -= 1
-        at = stop + 1
-        done = at >= len(ends)
-        to_come = 0 if done else (int(index.level[at]) + 1) * index.width
+    for postings, to_come in zip(index.tiers(kind), index.to_come.tolist()):
+        total += postings @ columns[:, open_queries]  # all segments of the tier, for all open queries
+        left = left - np.count_nonzero(postings, axis=1)
         if cutoff is None:
-            # The best so far, scored exactly, hold the threshold: k candidates reach it, so a better k-th can only be higher.
-            for query in range(m):
-                if own[query] >= 0:
-                    total[own[query], query] = np.iinfo(kind).min // 2
-            few = min(n, k)
-            best = np.argpartition(total, n - few, axis=0)[n - few :] if few else np.zeros((0, m), np.int64)
+            # k candidates of the best so far, scored exactly, hold the threshold: the k-th best of all can only be higher.
+            few = min(n, k + 1)
+            best = np.argpartition(total, n - few, axis=0)[n - few :]
             pairs = best.ravel(), np.tile(np.arange(m), few)
-            exactly = scores(*pairs).astype(kind)
-            exactly[pairs[0] == own[pairs[1]]] = np.iinfo(kind).min
-            cutoff = exactly.reshape(few, m).min(axis=0) if n > k else np.full(m, np.iinfo(kind).min)
-        bound = cutoff[open_queries] - rounding[open_queries]
-        may = total >= bound - to_come * reach[left][:, open_queries] if to_come else total >= bound
-        close = np.ones(len(open_queries), bool) if done else may.sum(axis=0) <= max(k, int(FEW * n))
+            exactly = np.where(pairs[0] == own[pairs[1]], NEVER, scores(*pairs)).reshape(few, m)
+            cutoff = np.sort(exactly, axis=0)[-k] if few > k else np.full(m, NEVER)
+        least = cutoff[open_queries] - rounding[open_queries] - to_come * reach[:, open_queries]
+        may = total >= least.astype(kind)[left]
+        close = may.sum(axis=0) <= max(k, int(FEW * n)) if to_come else np.ones(len(open_queries), bool)
         candidate, place = np.nonzero(may[:, close])
         query = open_queries[close][place]
         keep = candidate != own[query]
         candidate, query = candidate[keep], query[keep]
         found.append((query, index.ids[candidate], scores(candidate, query)))
-        open_queries, total = open_queries[~close], np.ascontiguousarray(total[:, ~close])
+        open_queries, total = open_queries[~close], total[:, ~close]
         if not len(open_queries):
             break
     query, ids, score = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
