@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,14 @@ from pyspark.sql import functions as F
 NULL_LIKE = ("", "none", "nan", "<na>", "null")
 
 
+def unused(name: str, taken: Iterable[str]) -> str:
+    """name, with underscores after it where a column has that name."""
+    have = {c.lower() for c in taken}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def as_column(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from parityline.functions.keys import NULL_LIKE, as_column
 
+#: An item of a written list: a text in either quotes, a number or a constant.
+ITEM = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[+-]?[0-9][0-9.eE+-]*|True|False|None"""
 KINDS = ("int", "str_int", "int_str", "float", "bool", "list", "str")
 
 
@@ -27,14 +29,23 @@ def coerce(col: str | Column, kind: str) -> Column:
     if kind == "bool":
         return F.when(text.isNotNull(), F.lower(text).isin("1", "true", "yes", "t", "y"))
     if kind == "list":
-        inner = F.regexp_replace(text, r"^\[|\]$", "")
-        parts = F.transform(F.split(inner, ","), lambda x: F.regexp_replace(F.trim(x), "^['\"]|['\"]$", ""))
-        return F.filter(parts, lambda x: x != "")
+        inner = F.regexp_extract(text, r"(?s)^\[(.*)\]$", 1)
+        item = F.lit(ITEM)
+        literal = text.rlike(rf"(?s)^\[\s*(({ITEM})\s*(,\s*({ITEM})\s*)*,?\s*)?\]$")
+        items = F.transform(F.regexp_extract_all(inner, item, F.lit(0)), _unquoted)
+        cut = F.filter(F.transform(F.split(F.regexp_replace(text, r"^\[+|\]+$", ""), ","), lambda x: F.trim(x)), lambda x: x != "")
+        return F.when(literal, items).otherwise(cut)
     if kind == "str":
         return F.regexp_replace(text, r"^([0-9]{4}-[0-9]{2}-[0-9]{2}) ([0-9]{2}:)", "$1T$2")
     raise ValueError(f"no such kind: {kind}")
 
 
+def _unquoted(item: Column) -> Column:
+    """The value of an item of a list: the text between its quotes, null for None, else as it stands."""
+    body = F.regexp_replace(F.substring(item, F.lit(2), F.length(item) - 2), r"(?s)\\(.)", "$1")
+    return F.when(item.rlike("^['\"]"), body).when(item != "None", item)
+
+
 def scrub(col: str | Column, kind: T.DataType) -> Column:
     """Line breaks and tabs as spaces, in nested values too, so that a CSV row is one physical line."""
     x = as_column(col)

@@ -8,21 +8,28 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parityline.functions.keys import unused
 from parityline.functions.values import coerce
 from parityline.operators.diffstore import LEDGER_KEY
 
 
+def _rank(order: Column) -> Column:
+    """What windows, stored as text, are compared by: number, time, text."""
+    text = order.cast("string")
+    return F.struct(text.try_cast("decimal(38, 6)").alias("number"), F.try_to_timestamp(text).alias("time"), text.alias("text"))
+
+
 def collapse_updates(diffs: DataFrame, order: str = "window", kinds: Mapping[str, str] | None = None) -> DataFrame:
     """id, updates (field to new value), changes (field to {old, new}); of several rows for a field the last by `order` wins.
 
-    Ties go to the largest value. kinds: the coercion of each field, written back as text; null results are kept.
+    A text of the order that is a number counts as such, a time as a time; numbers come after times, times after other texts. Ties go to the largest value. kinds: the coercion of each field, written back as text; null results are kept.
     """
     value = F.col("source_value")
     for f, kind in (kinds or {}).items():
         made = coerce(F.col("source_value"), kind)
         made = F.to_json(made) if kind == "list" else made.cast("string")
         value = F.when(F.col("field") == f, made).otherwise(value)
-    rows = diffs.select(F.col("pk").alias("id"), "field", F.struct(F.col(order).alias("at"), value.alias("new"), F.col("target_value").alias("old")).alias("x"))
+    rows = diffs.select(F.col("pk").alias("id"), "field", F.struct(_rank(F.col(order)).alias("at"), value.alias("new"), F.col("target_value").alias("old")).alias("x"))
     last = rows.groupBy("id", "field").agg(F.max("x").alias("x"))
     entries = F.array_sort(F.collect_list(F.struct("field", F.col("x.new").alias("new"), F.col("x.old").alias("old"))))
     docs = last.groupBy("id").agg(entries.alias("e"))
@@ -62,14 +69,15 @@ def apply_updates(target: DataFrame, updates: DataFrame, pk: str) -> DataFrame:
     A value that does not fit its field's type leaves the field as it is; `unfit_updates` lists these.
     """
     names = {f.name: f.dataType for f in target.schema.fields}
-    u = updates.select(F.col("id").alias("_id"), "updates")
-    joined = target.join(u, F.trim(target[pk].cast("string")) == F.col("_id"), "left")
+    own, given = unused("_id", target.columns), unused("_updates", target.columns)
+    u = updates.select(F.col("id").alias(own), F.col("updates").alias(given))
+    joined = target.join(u, F.trim(target[pk].cast("string")) == F.col(own), "left")
 
     def new(c: str) -> Column:
         if c == pk:
             return F.col(c)
-        has = F.coalesce(F.map_contains_key("updates", F.lit(c)), F.lit(False))
-        value = F.try_element_at("updates", F.lit(c))
+        has = F.coalesce(F.map_contains_key(given, F.lit(c)), F.lit(False))
+        value = F.try_element_at(given, F.lit(c))
         made = _cast(value, names[c].simpleString())
         return F.when(has & (value.isNull() | made.isNotNull()), made).otherwise(F.col(c)).alias(c)
 

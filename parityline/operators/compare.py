@@ -72,7 +72,8 @@ def compare_tables(
     left = s.select(*by, *own, pk, F.struct(F.lit(1).alias("_here"), *[f for f in names if f in s.columns]).alias("s"))
     right = t.select(*by, pk, F.struct(F.lit(1).alias("_here"), *[f for f in names if f in t.columns]).alias("t"))
     # Without the rows that only the target has, a left join does; the key is unique on both sides of it.
-    both = left.join(right, [*by, pk], "left" if restrict_target_to_source or keep == "source" else "full_outer")
+    # It is merged, not broadcast: both sides lie by key already, and a small file must not pull the other side into its few tasks.
+    both = left.join(right.hint("merge"), [*by, pk], "left" if restrict_target_to_source or keep == "source" else "full_outer")
 
     def row(field: str, a: Column, b: Column, status: str) -> Column:
         return F.struct(F.lit(field).alias("field"), a.alias("source_value"), b.alias("target_value"), F.lit(status).alias("status"))

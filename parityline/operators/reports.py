@@ -182,7 +182,8 @@ def recent_log(table: DataFrame, ts: str, tie: str, n: int = 100) -> DataFrame:
 
 
 def seconds_between(a: Column, b: Column) -> Column:
-    return F.timestamp_diff("SECOND", a, b)
+    """Seconds with their fraction."""
+    return F.timestamp_diff("MICROSECOND", a, b) / 1e6
 
 
 def ledger_totals(ledger: DataFrame) -> DataFrame:
@@ -194,7 +195,7 @@ def ledger_totals(ledger: DataFrame) -> DataFrame:
         F.sum(F.coalesce("n_updated", F.lit(0)) + F.coalesce("n_created", F.lit(0))).alias("rows"),
     )
     elapsed = seconds_between(F.col("first_ts"), F.col("last_ts"))
-    gaps = F.round(F.try_divide(elapsed.cast("double"), F.col("batches")), 2)
+    gaps = F.round(F.try_divide(elapsed, F.col("batches")), 2)
     return a.select("batches", "success", "failed", "first_ts", "last_ts", elapsed.alias("elapsed_s"), gaps.alias("mean_interval_s"), "rows")
 
 
@@ -206,11 +207,11 @@ def ledger_breakdown(ledger: DataFrame) -> DataFrame:
 
 
 def _ok() -> Column:
-    return F.lower(F.coalesce("status", F.lit(""))).isin("ok", "success")
+    return F.coalesce(F.col("status") == "ok", F.lit(False))
 
 
 def _failed() -> Column:
-    return F.lower(F.coalesce("status", F.lit(""))).isin("failed", "error")
+    return F.coalesce(F.col("status") == "failed", F.lit(False))
 
 
 def run_summary_totals(summary: DataFrame) -> DataFrame:
@@ -226,7 +227,7 @@ def run_summary_breakdown(summary: DataFrame) -> DataFrame:
     took = seconds_between(F.col("started_at"), F.col("ended_at"))
     return summary.groupBy("target_name", "operation", "env").agg(
         F.count("*").alias("runs"), F.count_if(_ok()).alias("ok"), F.count_if(_failed()).alias("failed"), F.sum("rows_count").alias("rows"),
-        F.round(F.avg(took), 2).alias("avg_s"), F.max(took).alias("max_s"),
+        F.round(F.avg(took), 2).alias("avg_s"), F.round(F.max(took), 2).alias("max_s"),
     )
 
 

@@ -85,15 +85,13 @@ def _accepts(kind: str, value: T.DataType) -> bool:
     return isinstance(value, (T.StructType, T.MapType))
 
 
-def _element_errors(positions: Column, name: str) -> Column:
-    def one(i: Column) -> Column:
-        return F.struct(F.lit(name).alias("field"), F.concat(F.lit("element "), i.cast("string"), F.lit(": wrong type")).alias("error"))
-
-    return F.transform(positions, one)
+def _element_error(position: Column, name: str) -> Column:
+    text = F.concat(F.lit("element "), position.cast("string"), F.lit(": wrong type"))
+    return F.when(position.isNotNull(), F.array(F.struct(F.lit(name).alias("field"), text.alias("error"))))
 
 
 def validate(rows: DataFrame, schema: Mapping[str, TargetField], id_col: str = "id") -> DataFrame:
-    """id, field, error: a field that is unknown, a type that does not fit, a list on a scalar, bad elements by index.
+    """id, field, error: a field that is unknown, a type that does not fit, a list on a scalar, the first bad element of a list by its index.
 
     Spark's columns have one type, so the type rules are settled when the plan is made and rows decide only by nullness;
     nulls are valid, objects and unknown target types too, and any text is taken for a date.
@@ -116,7 +114,7 @@ def validate(rows: DataFrame, schema: Mapping[str, TargetField], id_col: str = "
                 errors.append(error("list on a scalar", x.isNotNull()))
             elif not _accepts(target.type, f.dataType.elementType):
                 bad = F.filter(F.transform(x, lambda v, i: F.when(v.isNotNull(), i)), lambda i: i.isNotNull())
-                errors.append(_element_errors(bad, f.name))
+                errors.append(_element_error(F.get(bad, F.lit(0)), f.name))
         elif not _accepts(target.type, f.dataType):
             errors.append(error("boolean on " + target.type if isinstance(f.dataType, T.BooleanType) else "wrong type", x.isNotNull()))
     empty = F.array().cast("array<struct<field:string,error:string>>")

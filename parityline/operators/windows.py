@@ -59,6 +59,12 @@ def id_envelope(parts: Iterable[DataFrame], id_col: str) -> DataFrame:
     return ranges.agg(F.min("min_id").alias("min_id"), F.max("max_id").alias("max_id"))
 
 
+def scalar_bounds(ids: DataFrame) -> tuple[Column, Column]:
+    """The one row of smallest and largest id as a scalar subquery."""
+    both = ids.select(F.struct("min_id", "max_id")).scalar()
+    return both["min_id"], both["max_id"]
+
+
 def assign_id_window(
     df: DataFrame, id_col: str, step: int, first: int | None = None, last: int | None = None, limit: int | None = None, skip_single: bool = False,
     bounds: tuple[Column, Column] | None = None,
@@ -69,13 +75,14 @@ def assign_id_window(
     skip_single: no window at all where the range is one id. bounds: the smallest and largest id where df is one part of several.
     """
     if bounds is None:
-        ids = id_range(df, id_col)
-        bounds = ids.select("min_id").scalar(), ids.select("max_id").scalar()
+        bounds = scalar_bounds(id_range(df, id_col))
     lo = F.greatest(bounds[0], F.lit(first)) if first is not None else bounds[0]
     hi = F.least(bounds[1], F.lit(last)) if last is not None else bounds[1]
     x = F.col(id_col)
     n = F.floor((x - lo) / step).cast("long")
-    keep = (x >= lo) & (x <= hi)
+    keep = x.isNotNull() if first is None else x >= lo
+    if last is not None:
+        keep = keep & (x <= hi)
     if limit is not None:
         keep = keep & (n < limit)
     if skip_single:

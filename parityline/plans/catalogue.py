@@ -35,56 +35,56 @@ MAPPING = (
 )
 START, END = datetime(1996, 1, 1), datetime(1998, 7, 1)
 
+#: Both sides hold some keys several times; the smallest row of each counts.
 PAIRS = """
-pairs AS (
-    SELECT s.o_orderkey AS k, s.*, t.* FROM {src_orders} s JOIN {tgt_orders} t ON CAST(s.o_orderkey AS VARCHAR) = t.id
-), diffs AS (
+s AS (SELECT *, o_orderkey AS k FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_custkey, o_orderstatus, o_totalprice) AS o FROM {src_twice}) WHERE o = 1),
+t AS (SELECT * REPLACE (trim(id) AS id) FROM (SELECT *, row_number() OVER (PARTITION BY trim(id) ORDER BY custId, status, totalPrice NULLS FIRST, orderDate) AS o FROM {tgt_twice}) WHERE o = 1),
+pairs AS (SELECT s.*, t.id, t.status, t.totalPrice FROM s JOIN t ON CAST(s.o_orderkey AS VARCHAR) = t.id), diffs AS (
     SELECT id AS pk, 'status' AS field, o_orderstatus AS source_value, status AS target_value, 'diff' AS status, o_orderdate, k
     FROM pairs WHERE o_orderstatus <> status
     UNION ALL
     SELECT id, 'totalPrice', CAST(o_totalprice AS VARCHAR), NULL, 'diff', o_orderdate, k FROM pairs
     WHERE totalPrice IS NULL AND o_totalprice <> 0
     UNION ALL
-    SELECT CAST(o_orderkey AS VARCHAR), '*', '<row>', NULL, 'missing_in_target', o_orderdate, o_orderkey FROM {src_orders}
-    WHERE CAST(o_orderkey AS VARCHAR) NOT IN (SELECT id FROM {tgt_orders})
+    SELECT CAST(o_orderkey AS VARCHAR), '*', '<row>', NULL, 'missing_in_target', o_orderdate, o_orderkey FROM s
+    WHERE CAST(o_orderkey AS VARCHAR) NOT IN (SELECT id FROM t)
     UNION ALL
-    SELECT id, '*', NULL, '<row>', 'missing_in_source', CAST(substr(orderDate, 1, 10) AS TIMESTAMP), NULL FROM {tgt_orders}
-    WHERE id NOT IN (SELECT CAST(o_orderkey AS VARCHAR) FROM {src_orders})
+    SELECT id, '*', NULL, '<row>', 'missing_in_source', CAST(substr(orderDate, 1, 10) AS TIMESTAMP), NULL FROM t
+    WHERE id NOT IN (SELECT CAST(o_orderkey AS VARCHAR) FROM s)
 )"""
 DIFF_COLS = "pk, field, source_value, target_value, status"
 
 
 def _event(t, **more) -> M.EventSpec:
-    return M.EventSpec([M.PartSpec(t("src_orders"), MAPPING)], t("tgt_orders"), "id", **more, unique=True)  # a primary key
+    return M.EventSpec([M.PartSpec(t("src_twice"), MAPPING)], t("tgt_twice"), "id", **more)
 
 
 @query(f"WITH {PAIRS} SELECT {DIFF_COLS} FROM diffs")
 def compare_orders(t):
-    return K.compare_tables(S.shape(t("src_orders"), MAPPING), t("tgt_orders"), "id", unique=True)
+    return K.compare_tables(S.shape(t("src_twice"), MAPPING), t("tgt_twice"), "id")
 
 
 @query("""WITH s AS (SELECT * FROM (SELECT l_orderkey, l_partkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_quantity) AS k FROM {lineitem}) WHERE k = 1),
-t AS (SELECT * FROM (SELECT l_orderkey, l_suppkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_suppkey) AS k FROM {lineitem}) WHERE k = 1)
+t AS (SELECT * FROM (SELECT l_orderkey, l_partkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_quantity) AS k FROM {lineitem} WHERE l_linenumber > 1) WHERE k = 1)
 SELECT CAST(l_orderkey AS VARCHAR) AS pk, 'l_quantity' AS field, CAST(s.l_quantity AS VARCHAR) AS source_value, CAST(t.l_quantity AS VARCHAR) AS target_value, 'diff' AS status
-FROM s JOIN t USING (l_orderkey) WHERE s.l_quantity <> t.l_quantity""")
+FROM s JOIN t USING (l_orderkey) WHERE s.l_quantity <> t.l_quantity
+UNION ALL SELECT CAST(l_orderkey AS VARCHAR), 'l_partkey', CAST(s.l_partkey AS VARCHAR), CAST(t.l_partkey AS VARCHAR), 'diff' FROM s JOIN t USING (l_orderkey) WHERE s.l_partkey <> t.l_partkey
+UNION ALL SELECT CAST(l_orderkey AS VARCHAR), '*', '<row>', NULL, 'missing_in_target' FROM s ANTI JOIN t USING (l_orderkey)""")
 def compare_repeated_keys(t):
     """Keys that come several times on both sides: the smallest row of each counts, in the order of its columns."""
-    source = t("lineitem").select(F.col("l_orderkey").alias("id"), "l_partkey", "l_quantity")
-    target = t("lineitem").select(F.col("l_orderkey").alias("id"), "l_quantity", "l_suppkey")
-    left = K.first_per_key(source, ["id"], ["l_partkey", "l_quantity"]).select("id", "l_quantity")
-    right = K.first_per_key(target, ["id"], ["l_quantity", "l_suppkey"]).select("id", "l_quantity")
-    return K.compare_tables(left, right, "id", unique=True)
+    lines = t("lineitem").select(F.col("l_orderkey").alias("id"), "l_partkey", "l_quantity", "l_linenumber")
+    return K.compare_tables(lines.drop("l_linenumber"), lines.filter("l_linenumber > 1").drop("l_linenumber"), "id")
 
 
 @query(f"WITH {PAIRS} SELECT {DIFF_COLS} FROM diffs WHERE status IN ('diff', 'missing_in_target') AND field IN ('status', '*')")
 def compare_allowed_fields(t):
-    source = S.shape(t("src_orders"), S.prune_plan(MAPPING, ["status"], "id").mapping)
-    return K.filter_diff_mode(K.compare_tables(source, S.keep_columns(t("tgt_orders"), ["status"], "id"), "id", unique=True), "both")
+    source = S.shape(t("src_twice"), S.prune_plan(MAPPING, ["status"], "id").mapping)
+    return K.filter_diff_mode(K.compare_tables(source, S.keep_columns(t("tgt_twice"), ["status"], "id"), "id"), "both")
 
 
 @query(f"WITH {PAIRS} SELECT {DIFF_COLS} FROM diffs WHERE status <> 'missing_in_source'")
 def compare_restricted(t):
-    return K.compare_tables(S.shape(t("src_orders"), MAPPING), t("tgt_orders"), "id", restrict_target_to_source=True)
+    return K.compare_tables(S.shape(t("src_twice"), MAPPING), t("tgt_twice"), "id", restrict_target_to_source=True)
 
 
 @query(f"""WITH {PAIRS} SELECT {DIFF_COLS}, o_orderdate - ((date_diff('day', TIMESTAMP '1996-01-01', o_orderdate) % 30) * INTERVAL 1 DAY) AS window_from
@@ -92,7 +92,7 @@ FROM diffs WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTA
 def compare_time(t):
     event = _event(t, time_source="o_orderdate", time_target="at")
     target = event.target.withColumn("at", F.try_to_timestamp("orderDate"))
-    event = M.EventSpec(event.parts, target, "id", "o_orderdate", "at", unique=True)
+    event = M.EventSpec(event.parts, target, "id", "o_orderdate", "at")
     return M.compare_time(event, START, END, "30 DAYS")
 
 
@@ -130,7 +130,7 @@ def _union_event(t, **more) -> M.EventSpec:
     )
     stamp = F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.pmod(F.col("id").cast("bigint"), F.lit(28)).cast("int") + 1, F.lit(0), F.lit(0), F.lit(0))
     return M.EventSpec(
-        [M.PartSpec(a.withColumn("at", stamp), PART_A), M.PartSpec(b.withColumn("at", stamp), PART_B)], target.withColumn("at", stamp), "id", **more, unique=True
+        [M.PartSpec(a.withColumn("at", stamp), PART_A), M.PartSpec(b.withColumn("at", stamp), PART_B)], target.withColumn("at", stamp), "id", **more
     )
 
 
@@ -156,10 +156,10 @@ def compare_field(t):
 
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS BIGINT) AS custId, o_orderstatus AS status, o_totalprice AS totalPrice,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%g') AS orderDate, o_flag AS flag, 'missing_in_target' AS error
-FROM {src_orders} WHERE CAST(o_orderkey AS VARCHAR) NOT IN (SELECT id FROM {tgt_orders})""")
+FROM {src_twice} WHERE CAST(o_orderkey AS VARCHAR) NOT IN (SELECT id FROM {tgt_twice})""")
 def missing_rows(t):
-    shaped = S.shape(t("src_orders"), MAPPING)
-    return K.missing_rows(shaped, K.compare_tables(shaped, t("tgt_orders"), "id", unique=True), "id")
+    shaped = S.shape(t("src_twice"), MAPPING)
+    return K.missing_rows(shaped, K.compare_tables(shaped, t("tgt_twice"), "id"), "id")
 
 
 @query("SELECT t.* FROM {tgt_orders} t WHERE id IN (SELECT CAST(o_orderkey AS VARCHAR) FROM {src_orders} WHERE o_orderstatus = 'F')")
@@ -346,7 +346,7 @@ def rows_per_window(t):
     grid = W.window_grid(t("orders").sparkSession, START, END, "30 DAYS")
     source = W.assign_time_window(t("orders"), "o_orderdate", START, END, "30 DAYS").select("window_from", F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
     target = source.filter("id % 97 <> 0").withColumn("status", F.when(F.col("id") % 53 == 0, "X").otherwise(F.col("status")))
-    diffs = K.compare_tables(source, target, "id", by=["window_from"], unique=True)
+    diffs = K.compare_tables(source, target, "id", by=["window_from"])
     return W.rows_per_window(grid, source, target, diffs, ["window_from"])
 
 
@@ -385,13 +385,15 @@ def lookup_single(t):
     return L.lookup_single(df, "nk", table, "nation_name").select("c_custkey", "nation_name")
 
 
-@query("""WITH ids AS (SELECT p_partkey, unnest(string_split(tags, ',')) AS x, unnest(range(len(string_split(tags, ',')))) AS i FROM {tag_lists}),
-found AS (SELECT p_partkey, array_to_string(list(v ORDER BY i), ', ') AS names FROM ids JOIN {lookup_names} ON CAST(k AS VARCHAR) = trim(x) WHERE regexp_full_match(trim(x), '[0-9]+') GROUP BY 1)
-SELECT p_partkey, CASE WHEN tags IS NULL OR trim(tags) = '' THEN NULL WHEN trim(tags) = ',-1,' THEN 'All' ELSE coalesce(names, '') END AS tag_names
-FROM {tag_lists} LEFT JOIN found USING (p_partkey)""")
+@query("""WITH rows AS (SELECT *, row_number() OVER () AS r FROM {tag_rows}),
+ids AS (SELECT r, unnest(string_split(tags, ',')) AS x, unnest(range(len(string_split(tags, ',')))) AS i FROM rows),
+found AS (SELECT r, array_to_string(list(v ORDER BY i), ', ') AS names FROM ids JOIN {lookup_names} ON CAST(k AS VARCHAR) = trim(x) WHERE regexp_full_match(trim(x), '[0-9]+') GROUP BY 1)
+SELECT p_brand, tags, CASE WHEN tags IS NULL OR trim(tags) = '' THEN NULL WHEN trim(tags) = ',-1,' THEN 'All' ELSE coalesce(names, '') END AS tag_names
+FROM rows LEFT JOIN found USING (r)""")
 def lookup_csv(t):
+    """Rows without any id of their own; lists repeat."""
     table = L.load_lookup(t("lookup_names"), "k", "v")
-    return L.lookup_csv(t("tag_lists"), "tags", table, "tag_names", "p_partkey").select("p_partkey", "tag_names")
+    return L.lookup_csv(t("tag_rows"), "tags", table, "tag_names").select("p_brand", "tags", "tag_names")
 
 
 TXT_NUM = "CASE WHEN regexp_full_match(trim(txt), '[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN CAST(trim(txt) AS DOUBLE) END"
@@ -562,7 +564,7 @@ def missing_browse(t):
 
 LAST = f"""
 usable AS (SELECT trim(pk) AS id, field, win, source_value AS new, target_value AS old FROM {{changes}} WHERE {USABLE}),
-last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, field ORDER BY win DESC NULLS LAST, new DESC NULLS LAST, old DESC NULLS LAST) AS k FROM usable) WHERE k = 1)"""
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, field ORDER BY TRY_CAST(win AS BIGINT) DESC NULLS LAST, new DESC NULLS LAST, old DESC NULLS LAST) AS k FROM usable) WHERE k = 1)"""
 
 
 @query(f"WITH {LAST} SELECT id, array_to_string(list(field || '=' || coalesce(new, '-') || '<' || coalesce(old, '-') ORDER BY field), ';') AS changed FROM last GROUP BY id")
@@ -692,7 +694,7 @@ def recent_log(t):
 
 
 @query("""SELECT count(*) AS batches, count(*) FILTER (n_failures = 0) AS success, count(*) FILTER (n_failures > 0) AS failed, min(applied_ts) AS first_ts, max(applied_ts) AS last_ts,
-       date_sub('second', min(applied_ts), max(applied_ts)) AS elapsed_s, round(date_sub('second', min(applied_ts), max(applied_ts)) / count(*), 2) AS mean_interval_s,
+       date_sub('microsecond', min(applied_ts), max(applied_ts)) / 1e6 AS elapsed_s, round(date_sub('microsecond', min(applied_ts), max(applied_ts)) / 1e6 / count(*), 2) AS mean_interval_s,
        CAST(sum(n_updated + n_created) AS BIGINT) AS "rows" FROM {ledger}""")
 def ledger_totals(t):
     return R.ledger_totals(t("ledger"))
@@ -704,18 +706,18 @@ def ledger_breakdown(t):
     return R.ledger_breakdown(t("ledger"))
 
 
-TOOK = "date_sub('second', started_at, ended_at)"
+TOOK = "date_sub('microsecond', started_at, ended_at) / 1e6"
 
 
 @query(f"""SELECT count(*) AS runs, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (coalesce(status, '') NOT IN ('ok', 'failed')) AS other,
-       min(started_at) AS first_ts, max(ended_at) AS last_ts, date_sub('second', min(started_at), max(ended_at)) AS elapsed_s, round(avg({TOOK}), 2) AS mean_duration_s,
+       min(started_at) AS first_ts, max(ended_at) AS last_ts, date_sub('microsecond', min(started_at), max(ended_at)) / 1e6 AS elapsed_s, round(avg({TOOK}), 2) AS mean_duration_s,
        CAST(sum(rows_count) AS BIGINT) AS "rows" FROM {{run_summary}}""")
 def run_summary_totals(t):
     return R.run_summary_totals(t("run_summary"))
 
 
 @query(f"""SELECT target_name, operation, env, count(*) AS runs, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'failed') AS failed, CAST(sum(rows_count) AS BIGINT) AS "rows",
-       round(avg({TOOK}), 2) AS avg_s, max({TOOK}) AS max_s FROM {{run_summary}} GROUP BY 1, 2, 3""")
+       round(avg({TOOK}), 2) AS avg_s, round(max({TOOK}), 2) AS max_s FROM {{run_summary}} GROUP BY 1, 2, 3""")
 def run_summary_breakdown(t):
     return R.run_summary_breakdown(t("run_summary"))
 

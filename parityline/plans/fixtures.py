@@ -28,6 +28,12 @@ UNION ALL
 SELECT 'T' || CAST(o_orderkey AS STRING), CAST(o_custkey AS STRING), o_orderstatus, o_totalprice,
        CAST(CAST(o_orderdate AS DATE) AS STRING) || 'T00:00:00.000', 0
 FROM {orders} WHERE o_orderkey % 1009 = 0""",
+    "src_twice": """
+SELECT * FROM {src_orders} UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1000, o_orderdate, o_orderpriority, o_flag FROM {src_orders} WHERE o_orderkey % 23 = 0""",
+    "tgt_twice": """
+SELECT * FROM {tgt_orders} UNION ALL
+SELECT ' ' || id || ' ', custId, 'ZZ', totalPrice + 5, orderDate, flag FROM {tgt_orders} WHERE custId LIKE '%7' AND id NOT LIKE 'T%'""",
     "log_queries": """
 SELECT event_id AS query_id, 'run_' || CAST(user_id % 20 AS STRING) AS run_id,
        '/logs/connector_' || CASE WHEN event_id % 3 = 0 THEN 'pg' ELSE 'wh' END || '/logging/queries.csv' AS filename,
@@ -61,6 +67,10 @@ SELECT s_suppkey + 1000003 AS id, s_name AS name, s_nationkey AS nation FROM {su
     "tag_lists": """
 SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN ',1,a,22,' WHEN 1 THEN ',-1,' WHEN 2 THEN ''
        WHEN 3 THEN NULL WHEN 4 THEN '3,-1,999,' || CAST(p_size % 25 AS STRING) ELSE CAST(p_size % 25 AS STRING) END AS tags
+FROM {part}""",
+    "tag_rows": """
+SELECT p_brand, CASE p_partkey % 6 WHEN 0 THEN ',1,a,22,' WHEN 1 THEN ',-1,' WHEN 2 THEN ' '
+       WHEN 3 THEN NULL WHEN 4 THEN '3,-1,999,' || CAST(p_size % 25 AS STRING) ELSE CAST(p_size % 25 AS STRING) || ', ' || CAST(p_size % 25 AS STRING) END AS tags
 FROM {part}""",
     "lookup_names": """
 SELECT n_nationkey AS k, n_name AS v FROM {nation}""",
@@ -99,8 +109,8 @@ FROM {orders} WHERE o_orderpriority = '1-URGENT'""",
     "run_summary": """
 SELECT event_id AS id, 'run_' || CAST(user_id % 20 AS STRING) AS run_id, CASE WHEN event_id % 2 = 0 THEN 'prod' ELSE 'test' END AS env,
        'tbl_' || event_type AS target_name, CASE WHEN event_id % 3 = 0 THEN 'apply' ELSE 'compare' END AS operation, user_id AS rows_count,
-       ts AS started_at, ts + (event_id % 900 - 3) * INTERVAL '1' SECOND AS ended_at,
-       CASE WHEN event_type = 'error' THEN 'failed' WHEN event_id % 41 = 0 THEN NULL WHEN event_id % 17 = 0 THEN 'skipped' ELSE 'ok' END AS status,
+       ts AS started_at, ts + (event_id % 900 - 3) * INTERVAL '1' SECOND + (event_id % 8) * INTERVAL '0.125' SECOND AS ended_at,
+       CASE WHEN event_type = 'error' THEN 'failed' WHEN event_id % 41 = 0 THEN NULL WHEN event_id % 17 = 0 THEN 'skipped' WHEN event_id % 19 = 0 THEN 'success' WHEN event_id % 29 = 0 THEN 'OK' ELSE 'ok' END AS status,
        CASE WHEN event_type = 'error' THEN 'ValueError: bad row ' || CAST(event_id AS STRING) END AS error
 FROM {events}""",
     "batches": """
@@ -134,7 +144,15 @@ def log_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def with_tables(sql: str) -> str:
     """SQL whose {name} fixtures are put before it as common table expressions."""
-    names = dict.fromkeys(n for n in re.findall(r"\{(\w+)\}", sql) if n in FIXTURES)
+    names: dict[str, None] = {}
+
+    def need(text: str) -> None:
+        for name in re.findall(r"\{(\w+)\}", text):
+            if name in FIXTURES and name not in names:
+                need(FIXTURES[name])
+                names[name] = None
+
+    need(sql)
     parts = [f"{n} AS ({re.sub(r'\{(\w+)\}', r'\1', FIXTURES[n])})" for n in names]
     body = re.sub(r"\{(\w+)\}", r"\1", sql).strip()
     if not parts:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from parityline.functions.converters import COMMON, Converter
 from parityline.operators.compare import compare_tables, matching
 from parityline.operators.shape import Field, keep_columns, prune_plan, shape, union_parts
-from parityline.operators.windows import assign_id_window, assign_time_window, id_envelope
+from parityline.operators.windows import assign_id_window, assign_time_window, id_envelope, scalar_bounds
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -78,8 +78,7 @@ def compare_id_range(event: EventSpec, step: int, first: int | None = None, last
 
     Windows count from the smallest id of all parts. Each source row meets its target row in one left join.
     """
-    ids = id_envelope([p.source for p in event.parts], event.id_source)
-    bounds = (ids.select("min_id").scalar(), ids.select("max_id").scalar())
+    bounds = scalar_bounds(id_envelope([p.source for p in event.parts], event.id_source))
 
     def source_window(df: DataFrame) -> DataFrame:
         return assign_id_window(df, event.id_source, step, first, last, limit, bounds=bounds).drop("id_to")

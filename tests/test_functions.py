@@ -176,3 +176,14 @@ def test_paths_and_text(spark):
     assert one(spark, V.rows_per_sec(F.lit(10), F.lit(0))) is None
     nested = T.ArrayType(T.StringType())
     assert one(spark, V.scrub(F.array(F.lit("a\nb"), F.lit("c\td")), nested)) == ["a b", "c d"]
+
+
+@pytest.mark.parametrize(
+    ("raw", "want"),
+    [
+        ("['a,b', 'c']", ["a,b", "c"]), ('["it\'s", \'say "x"\', 12, -3.5, True]', ["it's", 'say "x"', "12", "-3.5", "True"]), (r"['a\'b']", ["a'b"]), ("['a', None,]", ["a", None]), ("[]", []),
+        ("[a, b]", ["a", "b"]), ("a, b,,c", ["a", "b", "c"]), ("one", ["one"]), ("none", None), ("['a' 'b']", ["'a' 'b'"]),
+    ],
+)
+def test_coerce_list(spark, raw, want):
+    assert one(spark, V.coerce(s(raw), "list")) == want
