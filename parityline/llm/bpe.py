@@ -70,7 +70,7 @@ class PairIndexBpe:
         for rank, (a, b) in enumerate(model["merges"]):
             self.ranks.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
         self.by_rank = {r: (*pair, new) for pair, (r, new) in self.ranks.items()}
-        keys = np.asarray([a << 20 | b for a, b in self.ranks], np.int64)
+        keys = np.asarray([a << 32 | b for a, b in self.ranks], np.int64)
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], np.asarray([r for r, _ in self.ranks.values()])[order]
         self.inner_ids, self.final_ids = np.asarray(self.inner, np.int32), np.asarray(self.final, np.int32)
@@ -79,6 +79,7 @@ class PairIndexBpe:
         for t, i in [*vocab.items(), *special.items()]:
             self.tokens[i] = t
         self.special = {t.encode(): np.asarray([i], "<u4").tobytes() for t, i in special.items()}
+        self.special_starts = {t[:1] for t in self.special}
         self.cut_special = regex.compile(b"(" + b"|".join(regex.escape(t) for t in self.special) + b")") if special else None
         normalizer, split = spec["normalizer"] or {"type": "Sequence", "normalizers": []}, spec["pre_tokenizer"]["pretokenizers"][0]
         kinds = normalizer["normalizers"] if normalizer["type"] == "Sequence" else [normalizer]
@@ -144,7 +145,7 @@ class PairIndexBpe:
 
     def _rank_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the symbol pairs can merge, and the ranks of those."""
-        key = left.astype(np.int64) << 20 | right
+        key = left.astype(np.int64) << 32 | right
         at = np.searchsorted(self.pair_keys, key)
         at[at == len(self.pair_keys)] = 0
         hit = self.pair_keys[at] == key
@@ -243,7 +244,7 @@ class PairIndexBpe:
         del seen
         cut: dict[bytes, list] = {}
         for x in new:
-            if self.cut_special is not None and b"<" in x and self.cut_special.search(x):
+            if any(c in x for c in self.special_starts) and self.cut_special.search(x):
                 parts = [self.special.get(p) or self._pieces(p) for p in self.cut_special.split(x) if p]
                 cut[x] = [y for p in parts for y in ([p] if isinstance(p, bytes) else p)]
             else:

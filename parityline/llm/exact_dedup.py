@@ -13,8 +13,8 @@ group are compared with those of the row that its locator names. Should two text
 collision), their group is split by the bytes themselves.
 
 Edge cases: null counts as empty, so nulls, empty and blank texts form one group; texts of any length are compared whole;
-null ids come after all others; rows that repeat an id too are told
-apart by their locators, and one of them stays; an empty table gives an empty result; other columns are ignored.
+ids are of any type that sorts, null ids come after all others; rows that repeat an id too are told
+apart by their locators, and one of them stays; an empty table gives an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -41,15 +41,17 @@ def sha256(text: Column) -> Column:
 
 
 def rows_of(docs: DataFrame, digest: Callable[[Column], Column], id_col: str, text_col: str) -> DataFrame:
-    """digest, and the rank of the row in its group: code points, id (negated) and locator, the largest stays."""
+    """digest, and the rank of the row in its group: code points (negated), id and locator, the smallest stays."""
     norm = without_blanks(text_of(text_col))
+    file = docs.metadataColumn("_metadata")  # the hidden column, also where the table has a column of that name
     return docs.select(
         F.unhex(digest(norm)).alias("digest"),
         F.struct(
-            F.length(text_of(text_col)).alias("points"),
-            (-F.col(id_col)).alias("minus_id"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.row_index").alias("row"),
+            (-F.length(text_of(text_col))).alias("minus_points"),
+            F.col(id_col).isNull().alias("no_id"),
+            F.col(id_col).alias("id"),
+            file["file_path"].alias("file"),
+            file["row_index"].alias("row"),
         ).alias("this"),
         norm.alias("norm"),
     )
@@ -64,7 +66,7 @@ def stream_state(spark: SparkSession, path: str, schema: StructType, checkpoint:
         path = path.rstrip("/")
         either = f"{path[:-1]}[{path[-1]}]"  # a pattern may name a file as well as a folder; a plain path a folder only
         stream = spark.readStream.schema(schema).option("maxBytesPerTrigger", str(batch_bytes)).parquet(either)
-        state = rows_of(stream, digest, id_col, text_col).groupBy("digest").agg(F.count("*").alias("group_size"), F.max("this").alias("keep"))
+        state = rows_of(stream, digest, id_col, text_col).groupBy("digest").agg(F.count("*").alias("group_size"), F.min("this").alias("keep"))
         query = (
             state.writeStream.outputMode("update")
             .format("noop")
@@ -86,7 +88,8 @@ def stream_state(spark: SparkSession, path: str, schema: StructType, checkpoint:
 def dedup(spark: SparkSession, path: str, checkpoint: str, digest: Callable[[Column], Column] = sha256, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row of the Parquet files at path."""
     docs = spark.read.parquet(path)
-    empty = "doc_id long, keep_id long, group_size long, kept boolean, text_sha256 string"
+    kind = docs.schema[id_col].dataType.simpleString()
+    empty = f"doc_id {kind}, keep_id {kind}, group_size long, kept boolean, text_sha256 string"
     if docs.isEmpty():
         return spark.createDataFrame([], empty)
     state = staged(stream_state(spark, path, docs.schema, checkpoint, digest, id_col, text_col, batch_bytes), "dedup-state")
@@ -108,7 +111,7 @@ def dedup(spark: SparkSession, path: str, checkpoint: str, digest: Callable[[Col
     apart = (
         grouped.join(clash, "digest", "left_semi")
         .groupBy("digest", "norm")
-        .agg(F.count("*").alias("true_size"), F.max("this").alias("true_keep"))
+        .agg(F.count("*").alias("true_size"), F.min("this").alias("true_keep"))
     )
     if clash.isEmpty():
         out = joined.select("this", "keep", "group_size", "text_sha256")
@@ -116,8 +119,8 @@ def dedup(spark: SparkSession, path: str, checkpoint: str, digest: Callable[[Col
         found = joined.join(apart, ["digest", "norm"], "left")
         out = found.select("this", F.coalesce("true_keep", "keep").alias("keep"), F.coalesce("true_size", "group_size").alias("group_size"), "text_sha256")
     return out.select(
-        (-F.col("this.minus_id")).alias("doc_id"),
-        (-F.col("keep.minus_id")).alias("keep_id"),
+        F.col("this.id").alias("doc_id"),
+        F.col("keep.id").alias("keep_id"),
         "group_size",
         (F.col("this") == F.col("keep")).alias("kept"),
         "text_sha256",

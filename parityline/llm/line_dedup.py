@@ -82,13 +82,15 @@ def bits_apart(a: list[Column], b: list[Column]) -> Column:
 
 def numbered(docs: DataFrame, id_col: str, text_col: str, number: str) -> DataFrame:
     """docs with the number of each row's text among the texts of its id: 0 where an id has one text."""
-    repeated = staged(docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).count().filter("count > 1").select("_id"), "line-repeated")
+    own_id, own_text = free_name("_id", docs), free_name("_text", docs)
+    counts = docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias(own_id)).agg(F.count("*").alias("_rows"))
+    repeated = staged(counts.filter("_rows > 1").select(own_id), "line-repeated")
     if repeated.isEmpty():
         return docs.withColumn(number, F.lit(0).cast("long"))
     text = F.xxhash64(text_of(text_col))
-    texts = docs.select(F.col(id_col).alias("_id"), text.alias("_text")).join(repeated, "_id", "left_semi").distinct()
-    texts = staged(texts.withColumn(number, F.row_number().over(Window.partitionBy("_id").orderBy("_text")).cast("long") - 1), "line-texts")
-    joined = docs.join(texts, (F.col(id_col) == F.col("_id")) & (text == F.col("_text")), "left")
+    texts = docs.select(F.col(id_col).alias(own_id), text.alias(own_text)).join(repeated, own_id, "left_semi").distinct()
+    texts = staged(texts.withColumn(number, F.row_number().over(Window.partitionBy(own_id).orderBy(own_text)).cast("long") - 1), "line-texts")
+    joined = docs.join(texts, (F.col(id_col) == F.col(own_id)) & (text == F.col(own_text)), "left")
     return joined.select(*docs.columns, F.coalesce(number, F.lit(0)).alias(number))
 
 
@@ -153,9 +155,9 @@ def word_sets(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, num
     """line (doc_id, place), words of the lines of pairs (late, early), read from the texts."""
     ends = [pairs.select(F.col(c).alias("line")).distinct() for c in ("late", "early")]
     wanted = staged(ends[0].unionByName(ends[1]).distinct().select("line.*"), "line-wanted")
-    own = docs.withColumnRenamed(id_col, "doc_id") if id_col != "doc_id" else docs
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(number).alias("number"))
     some = only(own, wanted.select("doc_id").distinct(), NAME[:1])
-    lines = only(lines_of(some, "doc_id", text_col, number), wanted, NAME).join(wanted, list(NAME))
+    lines = only(lines_of(some, "doc_id", "text", "number"), wanted, NAME).join(wanted, list(NAME))
     # Rows that repeat an id and a text give a line several times.
     once = lines.groupBy(*NAME).agg(F.min("line").alias("line"))
     return staged(once.select(F.struct(*NAME).alias("line"), hashes(F.col("line")).alias("words")), "line-sets")

@@ -38,6 +38,25 @@ def test_exact(spark, edge_docs, tmp_path, digest):
     assert len(keys) == len({r["text_sha256"] for r in got})  # one row of each text stays, repeated rows too
 
 
+def test_exact_odd_ids_and_names(spark, tmp_path):
+    """Text ids, the smallest long, and columns named as the file source's own."""
+    rows = [("d2", "a b", 1, 2), ("d10", "ab", 3, 4), ("2", "a  b", 5, 6), (None, "ab  ", 7, 8), ("z", "other", 0, 0)]
+    path = stored(spark.createDataFrame(rows, "doc_id string, text string, _metadata int, path int"), tmp_path)
+    got = {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.dedup(spark, path, scratch(spark, "stream")).collect()}
+    assert got == {("d2", "2", 4, False), ("d10", "2", 4, False), ("2", "2", 4, True), (None, "2", 4, False), ("z", "z", 1, True)}
+    low = -(1 << 63)
+    path = stored(spark.createDataFrame([(low, "x"), (0, " x"), (5, "x ")], "doc_id long, text string"), tmp_path, "low")
+    assert {(r["doc_id"], r["keep_id"]) for r in exact_dedup.dedup(spark, path, scratch(spark, "stream")).collect()} == {(low, 0), (0, 0), (5, 0)}
+
+
+def test_lines_odd_names(spark):
+    """An id column of another name beside a column doc_id, repeated ids, and the names of this module's own columns."""
+    rows = [("a", 9, "one two three four five six\nkeep", 1, 2), ("a", 9, "another text", 1, 2), ("b", 9, "six five four three two one\nnew here", 3, 4)]
+    docs = spark.createDataFrame(rows, "key string, doc_id int, text string, _id int, _text int")
+    got = {(r["key"], r["text"], r["_id"], r["doc_id"]) for r in line_dedup.drop_repeated_lines(docs, id_col="key").collect()}
+    assert got == {("a", rows[0][2], 1, 9), ("a", "another text", 1, 9), ("b", "new here", 3, 9)}
+
+
 def test_exact_state_goes_on(spark, edge_docs, tmp_path):
     docs = edge_docs.filter("doc_id is not null")
     path, checkpoint = str(tmp_path / "docs"), scratch(spark, "stream")
