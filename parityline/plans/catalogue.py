@@ -18,7 +18,7 @@ from parityline.operators import reports as R
 from parityline.operators import shape as S
 from parityline.operators import windows as W
 from parityline.plans import modes as M
-from parityline.plans import stored  # noqa: F401  registers its queries
+from parityline.plans import applying, connectors, stored  # noqa: F401  register their queries
 from parityline.plans.registry import oracle_sql, queries, query  # noqa: F401
 from parityline.sources import files as FI
 from parityline.sources import scans as X

@@ -208,21 +208,6 @@ def stream_log_counts(t):
     return back.select(F.to_timestamp_ntz(F.date_format("window_from", "yyyy-MM-dd HH:mm:ss")).alias("window_from"), "level", "n")
 
 
-@query("SELECT pk, field, source_value, source_file FROM {changes}")
-def stream_pending(t):
-    """Diff files applied once each: a second run of the stream finds nothing new."""
-    changes = t("changes").select("pk", "field", "source_value", "source_file")
-    spark, root = _spark(changes), scratch(_spark(changes), "pending-stream")
-    changes.write.parquet(f"{root}/in")
-
-    def apply(batch: DataFrame, _: int) -> None:
-        batch.write.mode("append").parquet(f"{root}/out")
-
-    for _ in range(2):
-        ST.stream_pending(spark, f"{root}/in", changes.schema, apply, f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/out")
-
-
 # -- schemas, payloads, hooks ------------------------------------------------------------------------------------------
 
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from parityline.operators.diffstore import exclude_applied
+from parityline.sources.versioned import VersionedTable, commit_applied
+
 
 def stream_run_logs(spark: SparkSession, source: str, schema: StructType, out: str, checkpoint: str, every: str | None = "30 seconds") -> StreamingQuery:
     """JSON log lines from a folder to Parquet, partitioned by day; every=None takes what is there and ends."""
@@ -25,7 +28,45 @@ def stream_log_counts(spark: SparkSession, source: str, schema: StructType, late
     return counts.select(F.col("window.start").alias("window_from"), F.col("window.end").alias("window_to"), "level", "n")
 
 
-def stream_pending(spark: SparkSession, source: str, schema: StructType, apply: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """Each diff file once: a micro-batch is applied, and its files count as done only when apply returned."""
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", "100").parquet(source)
+def stream_pending(spark: SparkSession, source: str, schema: StructType, apply: Callable[[DataFrame, int], None], checkpoint: str, files: int = 100) -> StreamingQuery:
+    """Diff files as micro-batches of at most `files`; a batch that failed comes again with the same rows and the same id."""
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).parquet(source)
     return rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def exactly_once(ledger: VersionedTable, write: Callable[[DataFrame, int], None], at: Callable[[], Column], mode: str = "changes") -> Callable[[DataFrame, int], None]:
+    """For `stream_pending`: rows of files that the ledger lacks are written, then these files are marked in the ledger.
+
+    The mark is the commit. A batch that failed before it is written again, so `write` must put a batch's rows in the place of those
+    of the same batch id (`batch_writer`) or set values, as `update_target` does. A batch that comes again after it, also under
+    another id or checkpoint, finds its files in the ledger and writes nothing. Rows: event, env, source_file and others.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        known = ledger.read()
+        rows = batch if known is None else exclude_applied(batch, known, mode)[0]
+        rows = rows.persist()
+        try:
+            files = rows.groupBy("event", "env", "source_file").agg(F.count("*").alias("n_updated"))
+            if files.isEmpty():
+                return
+            write(rows, batch_id)
+            marks = files.select("event", "env", F.lit(mode).alias("mode"), "source_file", at().alias("applied_ts"), "n_updated", F.lit(0).cast("long").alias("n_failures"), F.lit(batch_id).cast("long").alias("batch_id"))
+            commit_applied(ledger, marks)
+        finally:
+            rows.unpersist()
+
+    return apply
+
+
+def batch_writer(out: str, stream: str) -> Callable[[DataFrame, int], None]:
+    """Rows as the Parquet partition of their batch, in the place of what an earlier attempt left there.
+
+    stream: a name for the checkpoint, as batch ids begin anew with each.
+    """
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        keyed = rows.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("long")})
+        keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stream", "batch_id").parquet(out)
+
+    return write
