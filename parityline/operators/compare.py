@@ -45,6 +45,7 @@ def compare_tables(
     unique: bool = False,
     source_by: Sequence[str] = (),
     keep: str = "both",
+    ready: bool = False,
 ) -> DataFrame:
     """Long form: *by, *source_by, pk, field, source_value, target_value, status.
 
@@ -53,6 +54,7 @@ def compare_tables(
     restrict_target_to_source: target rows whose key the source lacks are left out first. unique: keys are known to be
     unique, so duplicates are not looked for. source_by: columns of the source alone, such as its window, that are part of its
     keys and of the result. keep "source": rows that only the target has give nothing, by a left join.
+    ready: keys are trimmed, usable and unique already, as `write_keyed` leaves them; two such tables join without a shuffle.
     """
     by, own = list(by), list(source_by)
     names = [f for f in (fields or source.columns) if f != pk and f not in by and f not in own]
@@ -60,6 +62,8 @@ def compare_tables(
 
     def side(df: DataFrame, keys: list[str]) -> DataFrame:
         have = [f for f in names if f in df.columns]
+        if ready:
+            return df.select(*keys, F.col(pk), *have)
         out = filter_bad_keys(df.select(*keys, F.col(pk), *have), pk)
         return out if unique else first_per_key(out, [*keys, pk])
 

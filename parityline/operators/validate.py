@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,14 @@ class TargetField:
     format: str = ""
 
 
+#: Target types of the kinds of value in a document (fixed values); mixed lists and nulls have none of their own.
+DESCRIBED = {
+    "BIGINT": "long", "DOUBLE": "double", "FLOAT": "double", "DECIMAL": "double", "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "date",
+    "TIMESTAMP_NTZ": "date", "OBJECT": "object", "STRING": "keyword", "BINARY": "binary", "VOID": "", "VARIANT": "",
+}
+PATHS = pa.schema([("field", pa.string()), ("type", pa.string()), ("full_path", pa.string()), ("is_array", pa.bool_())])
+
+
 def type_name(kind: T.DataType) -> str:
     if isinstance(kind, T.BooleanType):
         return "boolean"
@@ -53,14 +63,72 @@ def flatten_schema(schema: T.StructType, prefix: str = "", skip: frozenset[str]
     return out
 
 
-def detect_arrays(docs: DataFrame, sample: int = 100) -> list[str]:
-    """Dotted paths that are lists in the first documents of a JSON text column named doc."""
-    first = docs.select("doc").limit(sample)
-    found = first.agg(F.schema_of_variant_agg(F.try_parse_json("doc")).alias("s")).first()["s"] or ""
-    if not found.startswith("OBJECT"):
-        return []
-    inferred = T.DataType.fromDDL(found.replace("OBJECT<", "STRUCT<"))
-    return sorted(f.full_path for f in flatten_schema(inferred) if f.is_array)
+#: The parts of a described schema: a quoted name, a bracket or mark, or a plain name or type.
+_PARTS = re.compile(r"`(?:[^`]|``)*`|[<>,:]|[^<>,:`\s(]+(?:\([^)]*\))?")
+
+
+def described_fields(text: str) -> list[TargetField]:
+    """The fields of a schema as `schema_of_variant` writes it, such as OBJECT<a: ARRAY<BIGINT>>."""
+    parts, at, out = _PARTS.findall(text), 0, []
+
+    def value(prefix: str, field: str, is_array: bool) -> None:
+        nonlocal at
+        kind = parts[at].split("(")[0]
+        at += 1
+        if kind == "ARRAY":
+            at += 1
+            value(prefix, field, True)
+            at += 1
+            return
+        if field:
+            out.append(TargetField(field, DESCRIBED.get(kind, "keyword"), prefix[:-1], is_array))
+        if kind == "OBJECT":
+            at += 1
+            while parts[at] != ">":
+                name = parts[at][1:-1].replace("``", "`") if parts[at][0] == "`" else parts[at]
+                at += 2
+                value(f"{prefix}{name}.", name, False)
+                at += parts[at] == ","
+            at += 1
+
+    value("", "", False)
+    return out
+
+
+def document_paths(docs: DataFrame, sample: int | None = None) -> DataFrame:
+    """field, type, full_path, is_array of every kind of value that any document holds; docs: a JSON text column named doc.
+
+    Each document's schema is a text made in the JVM; equal ones meet by a partial aggregate, and only distinct ones are
+    taken apart. A path that holds values of several kinds has a row for each. Texts that are no JSON object count for nothing;
+    a null value gives the type ''. sample: only that many documents.
+    """
+    some = docs.select("doc") if sample is None else docs.select("doc").limit(sample)
+    kinds = some.select(F.schema_of_variant(F.try_parse_json("doc")).alias("kind")).filter(F.col("kind").startswith("OBJECT")).distinct()
+
+    def paths(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = {f for text in batch.column("kind").to_pylist() for f in described_fields(text)}
+            yield pa.RecordBatch.from_pylist([{"field": f.field, "type": f.type, "full_path": f.full_path, "is_array": f.is_array} for f in found], PATHS)
+
+    return kinds.mapInArrow(paths, "field string, type string, full_path string, is_array boolean").distinct()
+
+
+def detect_arrays(docs: DataFrame, sample: int | None = None) -> list[str]:
+    """Dotted paths that are a list in any document of a JSON text column named doc. sample: look only at that many documents."""
+    return sorted(r[0] for r in document_paths(docs, sample).filter("is_array").select("full_path").distinct().collect())
+
+
+def infer_document_schema(docs: DataFrame, sample: int | None = None) -> DataFrame:
+    """field, type, format, full_path, is_array of the paths of JSON documents, from their values.
+
+    Whole and broken numbers are double; other values of several kinds give all of them, such as double|keyword, for a person to
+    settle; only nulls give keyword. A path is a list where it is one in any document.
+    """
+    kinds = F.array_sort(F.collect_set(F.nullif("type", F.lit(""))))
+    kinds = F.when(F.array_contains(kinds, "double"), F.array_remove(kinds, "long")).otherwise(kinds)
+    found = document_paths(docs, sample).groupBy("field", "full_path").agg(kinds.alias("kinds"), F.bool_or("is_array").cast("string").alias("is_array"))
+    kind = F.when(F.size("kinds") == 0, "keyword").otherwise(F.array_join("kinds", "|"))
+    return found.select("field", kind.alias("type"), F.lit("").alias("format"), "full_path", "is_array")
 
 
 def infer_target_schema(docs: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from parityline.functions.converters import COMMON, Converter
 from parityline.operators.compare import compare_tables, matching
 from parityline.operators.shape import Field, keep_columns, prune_plan, shape, union_parts
 from parityline.operators.windows import assign_id_window, assign_time_window, id_envelope, scalar_bounds
+from parityline.plans.adapter import Adapter
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -39,6 +40,7 @@ class EventSpec:
     registry: Mapping[str, Converter] = field(default_factory=lambda: dict(COMMON))
     empty_side: str = "report"
     unique: bool = False  #: keys are known to come once on each side
+    adapter: Adapter | None = None  #: its converters and its transform take the place of `registry`
 
 
 def _extract(event: EventSpec, window: Step, by: list[str]) -> DataFrame:
@@ -47,7 +49,8 @@ def _extract(event: EventSpec, window: Step, by: list[str]) -> DataFrame:
     for part in event.parts:
         plan = prune_plan(part.mapping, event.allow, event.pk)
         extra = [Field(c, c) for c in by]
-        out = shape(window(part.source), [*plan.mapping, *extra], event.registry)
+        mapping, rows = [*plan.mapping, *extra], window(part.source)
+        out = shape(rows, mapping, event.registry) if event.adapter is None else event.adapter.transform(rows, mapping)
         for lookup in part.lookups:
             out = lookup(out)
         shaped.append(out)

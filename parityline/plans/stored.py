@@ -221,23 +221,48 @@ def expand_payload(t):
     return FI.expand_payload(docs, T.StructType.fromDDL("key string, price double"), "key")
 
 
-@query("""SELECT * FROM (VALUES ('o_orderkey', 'long', '', 'o_orderkey', 'false'), ('o_totalprice', 'double', '', 'o_totalprice', 'false'), ('o_orderdate', 'date', '', 'o_orderdate', 'false'),
-    ('o_orderstatus', 'keyword', '', 'o_orderstatus', 'false'), ('tags', 'keyword', '', 'tags', 'true'), ('inner', 'object', '', 'inner', 'false'), ('o_custkey', 'long', '', 'inner.o_custkey', 'false'))
-AS v(field, type, format, full_path, is_array) WHERE (SELECT count(*) FROM {orders}) > 0""")
+def _documents(t) -> DataFrame:
+    """Orders as JSON texts whose shape depends on the row: a price that may be a text, a list in the last order only, a field of some."""
+    orders = t("orders")
+    last = orders.agg(F.max("o_orderkey").alias("last"))
+    price = F.when(F.col("o_orderkey") % 97 == 0, F.to_json(F.struct(F.lit("on demand").alias("price")))).otherwise(F.to_json(F.struct(F.col("o_totalprice").alias("price"))))
+    rest = F.struct(
+        F.col("o_orderkey").alias("key"),
+        F.struct(F.col("o_custkey").alias("cust"), F.when(F.col("o_orderstatus") == "P", F.array(F.struct(F.col("o_orderpriority").alias("code")))).alias("marks")).alias("inner"),
+        F.when(F.col("o_orderkey") == F.col("last"), F.array("o_orderstatus")).alias("lines"), F.when(F.col("o_orderkey") % 2 == 0, F.lit(True)).alias("even"),
+    )
+    doc = F.concat(F.substring_index(price, "}", 1), F.lit(","), F.substring(F.to_json(rest), 2, 1 << 20))
+    return orders.join(F.broadcast(last)).select(F.when(F.col("o_orderkey") % 89 == 0, "no JSON").otherwise(doc).alias("doc"))
+
+
+@query("""WITH o AS (SELECT *, (SELECT max(o_orderkey) FROM {orders}) AS last FROM {orders}), d AS (SELECT * FROM o WHERE o_orderkey % 89 <> 0)
+SELECT 'key' AS field, 'long' AS type, '' AS format, 'key' AS full_path, 'false' AS is_array FROM d HAVING count(*) > 0
+UNION ALL SELECT 'price', string_agg(DISTINCT CASE WHEN o_orderkey % 97 = 0 THEN 'keyword' ELSE 'double' END, '|' ORDER BY CASE WHEN o_orderkey % 97 = 0 THEN 'keyword' ELSE 'double' END), '', 'price', 'false' FROM d HAVING count(*) > 0
+UNION ALL SELECT 'inner', 'object', '', 'inner', 'false' FROM d HAVING count(*) > 0
+UNION ALL SELECT 'cust', 'long', '', 'inner.cust', 'false' FROM d HAVING count(*) > 0
+UNION ALL SELECT 'marks', 'object', '', 'inner.marks', 'true' FROM d WHERE o_orderstatus = 'P' HAVING count(*) > 0
+UNION ALL SELECT 'code', 'keyword', '', 'inner.marks.code', 'false' FROM d WHERE o_orderstatus = 'P' HAVING count(*) > 0
+UNION ALL SELECT 'lines', 'keyword', '', 'lines', 'true' FROM d WHERE o_orderkey = last HAVING count(*) > 0
+UNION ALL SELECT 'even', 'boolean', '', 'even', 'false' FROM d WHERE o_orderkey % 2 = 0 HAVING count(*) > 0""")
 def target_schema(t):
-    """The flattened schema of documents made of orders."""
-    docs = t("orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus", F.array("o_orderpriority").alias("tags"), F.struct("o_custkey").alias("inner"))
-    return VA.infer_target_schema(docs)
+    """The schema of JSON documents, settled by all rows."""
+    return VA.infer_document_schema(_documents(t))
 
 
-@query("SELECT 'lines' AS path, count(*) AS docs FROM {orders} UNION ALL SELECT 'inner.marks', count(*) FROM {orders}")
+@query("""WITH o AS (SELECT *, (SELECT max(o_orderkey) FROM {orders}) AS last FROM {orders})
+SELECT DISTINCT 'lines' AS path FROM o WHERE o_orderkey = last AND o_orderkey % 89 <> 0 UNION ALL SELECT DISTINCT 'inner.marks' FROM o WHERE o_orderstatus = 'P' AND o_orderkey % 89 <> 0""")
 def array_paths(t):
-    """Paths that are lists in documents of JSON text."""
-    orders = t("orders")
-    doc = F.to_json(F.struct("o_orderkey", F.array("o_orderstatus").alias("lines"), F.struct(F.array("o_custkey").alias("marks")).alias("inner")))
-    docs = orders.select(doc.alias("doc"))
-    paths = F.explode(F.array(*[F.lit(p) for p in VA.detect_arrays(docs)]))
-    return docs.select(paths.alias("path")).groupBy("path").agg(F.count("*").alias("docs"))
+    """Paths that are a list in any document; one of them only in the very last."""
+    docs = _documents(t)
+    return VA.document_paths(docs).filter("is_array").select(F.col("full_path").alias("path")).distinct()
+
+
+@query("""SELECT 'o_orderkey' AS field, 'long' AS type, 'o_orderkey' AS full_path, 'false' AS is_array, count(*) AS n FROM {orders}
+UNION ALL SELECT 'tags', 'keyword', 'tags', 'true', count(*) FROM {orders} UNION ALL SELECT 'inner', 'object', 'inner', 'false', count(*) FROM {orders} UNION ALL SELECT 'o_custkey', 'long', 'inner.o_custkey', 'false', count(*) FROM {orders}""")
+def typed_schema(t):
+    """The flattened schema of a typed table, with its number of rows."""
+    docs = t("orders").select("o_orderkey", F.array("o_orderpriority").alias("tags"), F.struct("o_custkey").alias("inner"))
+    return docs.agg(F.count("*").alias("n")).join(F.broadcast(VA.infer_target_schema(docs))).select("field", "type", "full_path", "is_array", "n")
 
 
 SCHEMA = {
@@ -277,7 +302,7 @@ def _adapter_run(t) -> tuple[DataFrame, DataFrame]:
     price = F.when(F.col("o_orderpriority") == "2-HIGH", "none at all").otherwise((F.col("o_orderkey") * 2).cast("string"))
     rows = [("totalPrice", price), ("status", F.lit("Z")), ("flag", F.when(F.col("o_orderstatus") == "F", "no number").otherwise("5"))]
     diffs = [orders.select(key, F.lit(f).alias("field"), v.alias("source_value"), F.lit(None).cast("string").alias("target_value"), F.lit("w1").alias("window")) for f, v in rows]
-    return apply_event(OrderAdapter(), MAPPING, diffs[0].unionByName(diffs[1]).unionByName(diffs[2]), t("tgt_orders"), "id")
+    return apply_event(OrderAdapter(), MAPPING, diffs[0].unionByName(diffs[1]).unionByName(diffs[2]), t("tgt_orders"), "id", strict=False)
 
 
 @query("""SELECT t.id, t.custId, CASE WHEN o_orderkey IS NULL THEN t.status ELSE 'Z' END AS status,

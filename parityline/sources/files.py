@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,10 @@ from parityline.functions.keys import norm_key
 from parityline.functions.values import rel_path
 
 
+#: Files whose headers are read at the same time.
+HEADERS_AT_ONCE = 16
+
+
 def _some(spark: SparkSession, pattern: str) -> list[str]:
     """Files that match, by Hadoop's globbing, so any file system works."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
@@ -32,17 +37,34 @@ def read_parquet_glob(spark: SparkSession, pattern: str) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("filename"))
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, compressed or not; None for an empty one. Reads one buffer, whatever the file's size."""
+    jvm, where = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsc.hadoopConfiguration()
+    stream = where.getFileSystem(conf).open(where)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+        text = jvm.java.io.InputStreamReader(stream if codec is None else codec.createInputStream(stream), "UTF-8")
+        return jvm.java.io.BufferedReader(text).readLine()
+    finally:
+        stream.close()
+
+
 def read_csv_glob(spark: SparkSession, pattern: str) -> DataFrame:
     """All columns as text, malformed lines dropped, files of different headers united by name, with filename."""
     files = _some(spark, pattern)
     if not files:
         return empty_strings(spark, "filename")
-    # One job reads the first line of every file; Spark has no schema merge for CSV.
-    start = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), "_metadata.file_block_start", "value", F.monotonically_increasing_id().alias("line"))
-    lines = start.filter("file_block_start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    groups = lines.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    # Spark has no schema merge for CSV, so the first line of each file is read, and nothing after it.
+    kinds: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        for file, header in zip(files, pool.map(lambda f: first_line(spark, f), files)):
+            if header is not None:
+                kinds.setdefault(header, []).append(file)
+    if not kinds:
+        return empty_strings(spark, "filename")
     parts = []
-    for header, paths in groups:  # one read for each kind of header
+    for _, paths in sorted(kinds.items()):  # one read for each kind of header
         schema = spark.read.option("header", True).csv(paths[0]).schema
         schema = T.StructType([T.StructField(h, T.StringType()) for h in schema.names])
         df = spark.read.options(header=True, mode="DROPMALFORMED", enforceSchema=False).schema(schema).csv(paths)
