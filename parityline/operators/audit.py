@@ -54,22 +54,21 @@ def check_plan(target: DataFrame, updates: DataFrame, pk: str) -> None:
 def insert_results(target: DataFrame, rows: DataFrame, pk: str, refused: Column | None = None) -> DataFrame:
     """id, body (JSON without null fields), result, status, error of each row: created, exists, or error where `refused` gives a text.
 
-    Of rows that share an id the smallest body is created, the others find it there.
+    Of rows that share an id the smallest is created, as `apply_inserts` does, and the others find it there.
     """
-    body = F.to_json(F.struct(*[c for c in rows.columns if c != "id"]))
     have = target.select(F.trim(F.col(pk).cast("string")).alias("id"), F.lit(True).alias("there")).distinct()
     why = (F.lit(None) if refused is None else refused).cast("string")
-    named = rows.select("id", body.alias("body"), why.alias("error"))
+    named = rows.select("id", F.struct(*[c for c in rows.columns if c != "id"]).alias("row"), why.alias("error"))
     # Rows of one id, normally one, are folded by a partial aggregate: a repeated id must not make a window of its own.
-    folded = named.groupBy("id", "body", "error").agg(F.count("*").alias("n"))
-    first = folded.filter("error IS NULL").groupBy("id").agg(F.min("body").alias("body"), F.lit(True).alias("first"))
-    known = folded.join(first, ["id", "body"], "left").join(have, "id", "left")
-    makes = F.col("error").isNull() & F.col("first") & F.col("there").isNull()
+    folded = named.groupBy("id", "row", "error").agg(F.count("*").alias("n"))
+    first = folded.filter("error IS NULL").groupBy("id").agg(F.min("row").alias("least"))
+    known = folded.join(first, "id", "left").join(have, "id", "left")
+    makes = F.col("error").isNull() & (F.col("row") == F.col("least")) & F.col("there").isNull()
     results = F.transform(
         F.sequence(F.lit(1), F.col("n").cast("int")),
         lambda i: F.when(F.col("error").isNotNull(), "error").when(F.coalesce(makes, F.lit(False)) & (i == 1), "created").otherwise("exists"),
     )
-    out = known.select("id", "body", F.explode(results).alias("result"), "error")
+    out = known.select("id", F.to_json("row").alias("body"), F.explode(results).alias("result"), "error")
     codes = F.create_map(*[F.lit(x) for pair in STATUS_OF.items() for x in pair])
     return out.withColumn("status", codes[F.col("result")])
 

@@ -181,29 +181,44 @@ def normalise_query_log_full(t):
     return G.normalise_query_log(q).withColumn("started_at", F.col("started_at").cast("timestamp_ntz")).drop("ended_at", "thread", "pid")
 
 
-@query("SELECT CAST(ts AS DATE) AS day, level, count(*) AS n FROM {log_events} GROUP BY 1, 2")
+LINE = "event_id long, run_id string, level string, ts timestamp"
+
+
+def _lines(df: DataFrame) -> DataFrame:
+    return df.select("event_id", "run_id", "level", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("ts"))
+
+
+@query("""SELECT run_id, level, count(*) AS n, true AS fits FROM (
+    SELECT run_id, level FROM {log_events} UNION ALL SELECT run_id, level FROM {log_events} WHERE event_id % 7 = 0) GROUP BY 1, 2""")
 def stream_run_logs(t):
-    """The event log as JSON files, streamed to Parquet by day."""
-    rows = t("log_events").select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("ts"), "level")
-    spark, root = _spark(rows), scratch(_spark(rows), "log-stream")
-    rows.write.json(f"{root}/in")
-    schema = T.StructType.fromDDL("ts timestamp_ntz, level string")
-    ST.stream_run_logs(spark, f"{root}/in", schema, f"{root}/out", f"{root}/checkpoint", every=None).awaitTermination()
-    return spark.read.parquet(f"{root}/out").groupBy("day", "level").agg(F.count("*").alias("n"))
+    """The event log streamed into shards over three micro-batches: all rows; new ones among rows sent again; rows too late to count."""
+    events = t("log_events")
+    spark, root = _spark(events), scratch(_spark(events), "log-stream")
+    first = events.agg(F.max("ts").alias("last")).select("last").scalar()
+    newer = events.filter("event_id % 7 = 0").withColumns({"event_id": F.col("event_id") + (1 << 40), "ts": first + F.expr("INTERVAL '1' MINUTE")})
+    late = events.filter("event_id % 3 = 0").withColumns({"event_id": F.col("event_id") + (1 << 41), "ts": first - F.expr("INTERVAL '2' DAY")})
+    for name, part in (("1", events), ("2", newer.unionByName(events.filter("event_id % 5 = 0"))), ("3", late)):
+        _lines(part).coalesce(1).write.mode("append").json(f"{root}/in/part={name}")
+    done = ST.stream_run_logs(spark, f"{root}/in/part=*", T.StructType.fromDDL(LINE), f"{root}/out", f"{root}/checkpoint", keys=("event_id",), every=None, shard_rows=100, files=1)
+    done.awaitTermination()
+    rows = spark.read.parquet(f"{root}/out").withColumn("file", F.col("_metadata.file_path"))
+    sizes = rows.groupBy("file").agg(F.count("*").alias("n")).agg((F.max("n") <= 100).alias("fits"))
+    return rows.groupBy("run_id", "level").agg(F.count("*").alias("n")).join(F.broadcast(sizes))
 
 
 @query("SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_from, level, count(*) AS n FROM {log_events} GROUP BY 1, 2")
 def stream_log_counts(t):
-    """Rows of the event log in five-minute windows, counted by a stream; one batch, so that no row is late."""
-    rows = t("log_events").select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("ts"), "level")
-    spark, root = _spark(rows), scratch(_spark(rows), "log-counts")
-    rows.write.json(f"{root}/in")
-    counts = ST.stream_log_counts(spark, f"{root}/in", T.StructType.fromDDL("ts timestamp, level string"))
-
-    def keep(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/out")
-
-    counts.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    """Rows of the event log in five-minute windows; the second micro-batch closes all of them, the third is too late to count."""
+    events = t("log_events")
+    spark, root = _spark(events), scratch(_spark(events), "log-counts")
+    last = events.agg(F.max("ts").alias("last")).select("last").scalar()
+    late = events.filter(F.col("ts") < last - F.expr("INTERVAL '1' DAY"))
+    closing = events.limit(1).withColumn("ts", last + F.expr("INTERVAL '1' DAY"))
+    for name, part in (("1", events), ("2", closing), ("3", late)):
+        _lines(part).coalesce(1).write.mode("append").json(f"{root}/in/part={name}")
+    counts = ST.stream_log_counts(spark, f"{root}/in/part=*", T.StructType.fromDDL(LINE), files=1)
+    write = ST.batch_writer(f"{root}/out", "counts")
+    counts.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     back = spark.read.parquet(f"{root}/out")
     return back.select(F.to_timestamp_ntz(F.date_format("window_from", "yyyy-MM-dd HH:mm:ss")).alias("window_from"), "level", "n")
 

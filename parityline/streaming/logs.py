@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,17 +13,33 @@ from parityline.operators.diffstore import exclude_applied
 from parityline.sources.versioned import VersionedTable, commit_applied
 
 
-def stream_run_logs(spark: SparkSession, source: str, schema: StructType, out: str, checkpoint: str, every: str | None = "30 seconds") -> StreamingQuery:
-    """JSON log lines from a folder to Parquet, partitioned by day; every=None takes what is there and ends."""
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1000").json(source)
-    writer = rows.withColumn("day", F.to_date("ts")).writeStream.format("parquet").partitionBy("day").option("checkpointLocation", checkpoint)
+#: A shard of a run's log is full at so many rows, and written after so long at the latest.
+SHARD_ROWS, SHARD_EVERY = 5000, "30 seconds"
+
+
+def stream_run_logs(
+    spark: SparkSession, source: str, schema: StructType, out: str, checkpoint: str, keys: Sequence[str] = (), ts: str = "ts", late: str = "10 minutes",
+    every: str | None = SHARD_EVERY, shard_rows: int = SHARD_ROWS, files: int = 1000, by: Sequence[str] = ("run_id",),
+) -> StreamingQuery:
+    """JSON log lines from a folder as Parquet shards of at most `shard_rows` rows, partitioned by run.
+
+    The trigger is the flush: what has arrived within `every` is written then, once, by the file sink's own log; every=None takes what
+    is there and ends. keys: columns that name a row. A row that a retry has sent again falls, and so does one that comes later than
+    the watermark; the keys of the last `late` are state, which is dropped behind the watermark. Without keys nothing is dropped.
+    """
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).json(source)
+    if keys:
+        rows = rows.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
+    # Rows of a run lie together, so that a shard holds one run; runs of any size are cut into shards by the writer.
+    writer = rows.repartition(*by).writeStream.format("parquet").partitionBy(*by).option("compression", "zstd")
+    writer = writer.option("maxRecordsPerFile", str(shard_rows)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.outputMode("append").start(out)
 
 
-def stream_log_counts(spark: SparkSession, source: str, schema: StructType, late: str = "10 minutes", width: str = "5 minutes") -> DataFrame:
-    """Windowed counts of log rows by level; rows later than the watermark are left out."""
-    rows = spark.readStream.schema(schema).json(source)
+def stream_log_counts(spark: SparkSession, source: str, schema: StructType, late: str = "10 minutes", width: str = "5 minutes", files: int = 1000) -> DataFrame:
+    """Windowed counts of log rows by level, for append mode: a window comes once, when the watermark has passed it; later rows fall."""
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).json(source)
     counts = rows.withWatermark("ts", late).groupBy(F.window("ts", width), "level").agg(F.count("*").alias("n"))
     return counts.select(F.col("window.start").alias("window_from"), F.col("window.end").alias("window_to"), "level", "n")
 
