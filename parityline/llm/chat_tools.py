@@ -15,8 +15,8 @@ call_id. It comes from running sums over ranges of the sorted rows, so one huge
 
 Edge cases: a dependency on a call that does not exist is listed as unresolved and does not hold the call back; several
 results for one call count (n_results) and the smallest text is used; a call without result has none; repeated calls give
-repeated rows with the same level and position; arguments that are null or no JSON object, or that repeat a key, are the error
-"json"; a tool without schema (or an empty table of schemas) is the error "tool"; null identifiers link to nothing and depend on
+repeated rows with the same level and position; arguments that are null or no JSON object, that repeat a key, or that hold
+a number beyond the range of doubles, are the error "json"; whole numbers are integers however they are written; a tool without schema (or an empty table of schemas) is the error "tool"; null identifiers link to nothing and depend on
 nothing; texts of any length are taken whole; empty tables give empty results; other columns are ignored.
 `link_calls` gives rows for calls only; results that name no call are the rows of `lost_results`, with the error "orphan" and
 no position.
@@ -130,6 +130,13 @@ def positions(calls: DataFrame, levels: DataFrame) -> DataFrame:
     return inside.join(starts, same).select("conv_id", "call_id", "level", (F.col("start") + F.col("here")).alias("position"))
 
 
+def out_of_range(arguments: Column) -> Column:
+    """Whether a JSON text holds a number beyond the range of doubles, which no parser would give back as it stands."""
+    bare = F.regexp_replace(arguments, r'"(?:[^"\\]++|\\.)*+"', '""')
+    numbers = F.regexp_extract_all(bare, F.lit(r"-?[0-9][0-9.]*(?:[eE][+-]?[0-9]+)?"), F.lit(0))
+    return F.when(arguments.rlike("[0-9]{300}|[eE][+-]?[0-9]{3}"), F.exists(numbers, lambda x: F.abs(x.try_cast("double")) == float("inf"))).otherwise(False)
+
+
 def schema_errors(arguments: Column, params: Column) -> Column:
     """Sorted errors of a JSON object against array<struct<param, kind, required>>; null params: an unknown tool."""
     parsed = F.from_json(arguments, "map<string,variant>")
@@ -138,16 +145,19 @@ def schema_errors(arguments: Column, params: Column) -> Column:
         return F.map_contains_key(parsed, p["param"])
 
     def fits(p: Column) -> Column:
-        found = F.schema_of_variant(F.element_at(parsed, p["param"]))
-        kind = F.regexp_extract(found, "^[A-Z]+", 0)
-        return (kind == p["kind"]) | ((p["kind"] == "DECIMAL") & kind.isin("BIGINT", "DOUBLE"))
+        value = F.element_at(parsed, p["param"])
+        kind = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+        number = F.try_variant_get(value, "$", "double")
+        # A whole number is an integer however it is written: 1.0, 1e3, and more digits than a long holds.
+        whole = ((kind == "DECIMAL") & F.try_variant_get(value, "$", "string").rlike(r"^-?[0-9]+(\.0*)?$")) | ((kind == "DOUBLE") & (number == F.rint(number)))
+        return (kind == p["kind"]) | ((p["kind"] == "DECIMAL") & kind.isin("BIGINT", "DOUBLE")) | ((p["kind"] == "BIGINT") & whole)
 
     missing = F.transform(F.filter(params, lambda p: p["required"] & ~has(p)), lambda p: F.concat(F.lit("missing:"), p["param"]))
     wrong = F.transform(F.filter(params, lambda p: has(p) & ~fits(p)), lambda p: F.concat(F.lit("type:"), p["param"]))
     known = F.transform(params, lambda p: p["param"])
     extra = F.transform(F.array_except(F.map_keys(parsed), known), lambda k: F.concat(F.lit("unknown:"), k))
     return (
-        F.when(parsed.isNull() | F.try_parse_json(arguments).isNull(), F.array(F.lit("json")))
+        F.when(parsed.isNull() | F.try_parse_json(arguments).isNull() | out_of_range(arguments), F.array(F.lit("json")))
         .when(params.isNull(), F.array(F.lit("tool")))
         .otherwise(F.array_sort(F.concat(missing, wrong, extra)))
     )
@@ -183,7 +193,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
         .withColumn("valid", F.size("errors") == 0)
     )
     message = F.concat(
-        F.lit('{"arguments":'), F.coalesce(F.to_json(F.try_parse_json("arguments")), F.lit("null")),
+        F.lit('{"arguments":'), F.coalesce(F.when(~out_of_range(F.col("arguments")), F.to_json(F.try_parse_json("arguments"))), F.lit("null")),
         F.lit(',"call_id":'), quoted(F.col("call_id")),
         F.lit(',"errors":'), F.to_json("errors"),
         F.lit(',"level":'), F.coalesce(F.col("level").cast("string"), F.lit("null")),

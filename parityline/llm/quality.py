@@ -1,6 +1,6 @@
 """Quality rules: base rules by counting, then a calibrated logistic regression over hashed word and character n-grams.
 
-Features of a text are relative frequencies: words and word pairs, and runs of one to three bytes, each hashed to one of
+Features of a text are relative frequencies: words and word pairs, and runs of one to three characters (code points), each hashed to one of
 2**WORD_BITS or 2**CHAR_BITS places. The model is fitted on labelled rows: of each label at most `sample` rows of at
 most `sample_chars` characters, chosen by the hash of their id (the documented bound). Training rows are weighted back
 to the label shares of the whole label table. Probabilities are calibrated on a part of the sample that the weights
@@ -32,6 +32,7 @@ WORD_BITS, CHAR_BITS = 12, 12
 N_WORD, N_CHAR = 1 << WORD_BITS, 1 << CHAR_BITS
 #: Odd multipliers of the rolling hashes (fixed values; any odd numbers do).
 MULTIPLIER, MIX = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+CHAR_MULTIPLIER = np.uint32(0x01000193)
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 SYMBOLS = b"#*$%&|<>"
 WINDOW, FEWEST_WORDS, MOST_REPEATED = 5, 10, 20
@@ -120,18 +121,19 @@ def repeated_words(texts: list[bytes], b: Batch, n_words: np.ndarray) -> np.ndar
 
 
 def features(b: Batch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Place and text of each n-gram, kind by kind: words, word pairs, runs of one, two and three bytes."""
+    """Place and text of each n-gram, kind by kind: words, word pairs, runs of one, two and three characters."""
     with np.errstate(over="ignore"):
         yield (b.hashes >> np.uint64(64 - WORD_BITS + 1)).astype(np.int64), b.doc
         pair = b.doc[1:] == b.doc[:-1]
         mixed = (b.hashes[:-1] * np.uint64(MULTIPLIER) + b.hashes[1:]) * np.uint64(MIX)
         yield (mixed[pair] >> np.uint64(64 - WORD_BITS + 1)).astype(np.int64) + N_WORD // 2, b.doc[1:][pair]
         owner = np.repeat(np.arange(len(b.ends)), np.diff(np.concatenate(([-1], b.ends))))
-        raw = b.raw.astype(np.uint32)
-        code = raw
+        owner = owner[(b.raw & 0xC0) != 0x80]  # of each code point
+        points = np.frombuffer(b.raw.tobytes().decode().encode("utf-32-le"), "<u4")
+        code = points
         for k in range(1, 4):
             if k > 1:
-                code = code[:-1] * np.uint32(257) + raw[k - 1 :]
+                code = code[:-1] * CHAR_MULTIPLIER + points[k - 1 :]
             place = (code * np.uint32(0x9E3779B1)) >> np.uint32(32 - CHAR_BITS)
             keep = owner[: len(code)] == owner[k - 1 :]
             yield place[keep].astype(np.int64) + N_WORD, owner[: len(code)][keep]

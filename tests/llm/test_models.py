@@ -122,3 +122,34 @@ def test_marginals_against_enumeration():
     assert np.allclose(p, want)
     assert np.allclose(pairs, want_pairs)
     assert np.isclose(log_z, total)
+
+
+def test_scores_are_those_of_the_features():
+    texts = ["größere Wörter, größere".encode(), b"", b"abc abd", "漢字 🙂 é".encode(), b"one"]
+    weights = np.random.default_rng(3).normal(size=quality.N_WORD + quality.N_CHAR)
+    got = quality.linear_scores(quality.Batch.of(texts), weights)
+    assert np.allclose(got, quality.frequencies(texts) @ weights, atol=1e-4)
+
+
+def test_character_runs_are_of_characters():
+    """Places of runs do not depend on how many bytes a letter takes: k letters have k - 1 runs of two."""
+    kinds = list(quality.features(quality.Batch.of(["éüß".encode(), b"abc"])))
+    for k, (_, doc) in enumerate(kinds[2:], 1):
+        assert np.bincount(doc).tolist()[0] == np.bincount(doc).tolist()[1], k
+
+
+def test_registered_models(spark):
+    """The registered queries: every row once, base counts by brute force, verdicts and labels that follow from the scores."""
+    sf = "/root/testdata/sf0.001"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r["doc_id"]: r for r in quality.op5_quality_rules(spark, sf).collect()}
+    assert got.keys() == docs.keys()
+    for k, r in got.items():
+        assert tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) == brute_counts(docs[k])
+        assert r["kept"] == (not r["base_failed"] and r["quality"] >= 0.5)
+    got = {r["doc_id"]: r for r in toxicity.op7_toxicity(spark, sf).collect()}
+    assert got.keys() == docs.keys()
+    for k, r in got.items():
+        assert r["held_out"] == (zlib.crc32(str(k).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1
+        assert r["predicted"] == (r["score"] >= 0.5)

@@ -221,3 +221,19 @@ def test_run_against_brute_force(spark):
     library = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
     want = {r["doc_id"]: library.encode(r["text"], add_special_tokens=False).ids for r in corpus_pipeline.mixing_to_weights(spark, left, SF).collect()}
     assert got == want
+
+
+def test_numbers_keep_their_value(spark):
+    """Whole numbers are integers however written; a number that doubles cannot hold is refused, unless it stands in a text."""
+    given = {
+        "a": ("1.0", ""), "b": ("12345678901234567890", ""), "c": ("1e3", ""), "d": ("1.5", "type:n"), "e": ("1e400", "json"), "f": ("-" + "9" * 400, "json"), "g": ('"1e400"', "type:n"),
+        "h": ("1e-400", ""), "i": ("true", "type:n"), "j": ("null", "type:n"),
+    }
+    calls = spark.createDataFrame([("v", k, "t", f'{{"n": {x}, "s": "say \\"1e999\\" or {"7" * 400}"}}', []) for k, (x, _) in given.items()], "conv_id string, call_id string, name string, arguments string, depends_on array<string>")
+    results = spark.createDataFrame([], "call_id string, content string")
+    schemas = spark.createDataFrame([("t", "n", "integer", True), ("t", "s", "string", True)], "name string, param string, kind string, required boolean")
+    got = {r["call_id"]: r for r in chat_tools.link_calls(calls, results, schemas).collect()}
+    assert {k: r["errors"] for k, r in got.items()} == {k: e for k, (_, e) in given.items()}
+    assert '"n":12345678901234567890' in got["b"]["message"]
+    assert "Infinity" not in "".join(r["message"] for r in got.values())
+    assert got["e"]["message"].startswith('{"arguments":null,')
