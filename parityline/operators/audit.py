@@ -14,20 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parityline.operators.apply import unfit_updates
+from parityline.operators.validate import REPORTED, PlanRejected
 
-BATCH_ROWS, REPORTED = 1000, 50
+BATCH_ROWS = 1000
 #: Status of an insert by its outcome (fixed values).
 STATUS_OF = {"created": 201, "exists": 409, "error": 400}
 
 
-class PlanRejected(ValueError):
-    """A plan with values that the target would not take; `errors` holds the first of them."""
-
-    def __init__(self, errors: list[str]) -> None:
-        self.errors = errors
-        super().__init__(f"{len(errors)} errors (at most {REPORTED} are listed): " + "; ".join(errors))
-
-
 @dataclass(frozen=True)
 class Run:
     run_id: str

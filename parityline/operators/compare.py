@@ -6,10 +6,11 @@ aggregate on the same key, and the differing fields of a pair come out of one ar
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from parityline.functions.equality import as_text, equal_values
 from parityline.functions.keys import filter_bad_keys
@@ -84,13 +85,7 @@ def compare_tables(
 
     found, flags = [], []
     for f in names:
-        a = F.col(f"s.`{f}`") if f in kinds_s else absent
-        b = F.col(f"t.`{f}`") if f in kinds_t else absent
-        ta, tb = kinds_s.get(f, kinds_t.get(f)), kinds_t.get(f, kinds_s.get(f))
-        if f not in kinds_s:
-            a = F.lit(None).cast(ta)
-        if f not in kinds_t:
-            b = F.lit(None).cast(tb)
+        a, b, ta, tb = _values(f, kinds_s, kinds_t)
         flags.append(~equal_values(a, b, ta, tb))
         found.append(F.when(F.get("_unlike", F.lit(len(found))), row(f, as_text(a, ta), as_text(b, tb), DIFF)))
     pair = F.filter(F.array(*found), lambda x: x.isNotNull()) if found else F.array().cast("array<struct<field:string,source_value:string,target_value:string,status:string>>")
@@ -106,6 +101,46 @@ def compare_tables(
     return judged.filter(some).select(*by, *own, F.col(pk).alias("pk"), F.inline(diffs))
 
 
+def _values(field: str, kinds_s: Mapping[str, DataType], kinds_t: Mapping[str, DataType]) -> tuple[Column, Column, DataType, DataType]:
+    """The field on both sides of a pair, null where a side lacks it, with their types."""
+    ta, tb = kinds_s.get(field, kinds_t.get(field)), kinds_t.get(field, kinds_s.get(field))
+    a = F.col(f"s.`{field}`") if field in kinds_s else F.lit(None).cast(ta)
+    b = F.col(f"t.`{field}`") if field in kinds_t else F.lit(None).cast(tb)
+    return a, b, ta, tb
+
+
+def compare_counts(source: DataFrame, target: DataFrame, pk: str, by: Sequence[str], fields: Iterable[str] | None = None) -> DataFrame:
+    """*by, rows_source, rows_target, rows_changed (differing fields), rows_missing (keys that the target lacks), from one join.
+
+    Rows with a usable key count, repeated ones each; of rows that share a key the smallest is compared, as in `compare_tables`.
+    """
+    by = list(by)
+    names = [f for f in (fields or source.columns) if f != pk and f not in by]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        have = [f for f in names if f in df.columns]
+        rows = filter_bad_keys(df.select(*by, pk, *have), pk)
+        return rows.groupBy(*by, pk).agg(F.min(F.struct(F.lit(1).alias("_here"), *have)).alias(name), F.count("*").alias(f"_n{name}"))
+
+    s, t = side(source, "s"), side(target, "t")
+    kinds_s, kinds_t = ({f.name: f.dataType for f in x.schema[name].dataType.fields} for x, name in ((s, "s"), (t, "t")))
+    both = s.join(t.hint("merge"), [*by, pk], "full_outer")
+    unlike = F.lit(0)
+    for f in names:
+        unlike = unlike + F.when(equal_values(*_values(f, kinds_s, kinds_t)), 0).otherwise(1)
+    paired = F.col("s").isNotNull() & F.col("t").isNotNull()
+    return both.groupBy(*by).agg(
+        F.coalesce(F.sum("_ns"), F.lit(0)).alias("rows_source"), F.coalesce(F.sum("_nt"), F.lit(0)).alias("rows_target"),
+        F.sum(F.when(paired, unlike).otherwise(0)).cast("long").alias("rows_changed"), F.count_if(F.col("t").isNull()).alias("rows_missing"),
+    )
+
+
+def absent_rows(shaped: DataFrame, target: DataFrame, pk: str, error: str = MISSING_IN_TARGET) -> DataFrame:
+    """The full shaped rows of keys that the target lacks, duplicates kept, with an error column: no field is compared."""
+    there = filter_bad_keys(target.select(pk), pk)
+    return filter_bad_keys(shaped, pk).join(there.hint("merge"), pk, "left_anti").withColumn("error", F.lit(error))
+
+
 def _windows_of_both(s: DataFrame, t: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
     """Both sides without the windows that are empty on the other side."""
     if by:

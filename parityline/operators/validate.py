@@ -18,6 +18,18 @@ DECIMAL = {"half_float", "float", "double", "scaled_float"}
 DATE, BOOLEAN, NESTED = {"date"}, {"boolean"}, {"nested"}
 
 
+#: Errors of a refused plan that are listed.
+REPORTED = 50
+
+
+class PlanRejected(ValueError):
+    """A plan with values that the target would not take; `errors` holds the first of them."""
+
+    def __init__(self, errors: list[str]) -> None:
+        self.errors = errors
+        super().__init__(f"{len(errors)} errors (at most {REPORTED} are listed): " + "; ".join(errors))
+
+
 @dataclass(frozen=True)
 class TargetField:
     field: str
@@ -190,8 +202,8 @@ def validate(rows: DataFrame, schema: Mapping[str, TargetField], id_col: str = "
     return rows.select(F.col(id_col).cast("string").alias("id"), F.inline(found))
 
 
-def validate_plan(rows: DataFrame, schema: Mapping[str, TargetField], id_col: str = "id", report: int = 50) -> None:
-    """Raise with the first errors when any planned value does not fit."""
-    errors = validate(rows, schema, id_col).limit(report).collect()
-    if errors:
-        raise ValueError("; ".join(f"{e['id']}.{e['field']}: {e['error']}" for e in errors))
+def validate_plan(rows: DataFrame, schema: Mapping[str, TargetField], id_col: str = "id", report: int = REPORTED) -> None:
+    """Raise PlanRejected with the first errors, by id and field, when any planned value does not fit."""
+    found = validate(rows, schema, id_col).orderBy("id", "field").limit(report).collect()
+    if found:
+        raise PlanRejected([f"{e['id']}.{e['field']}: {e['error']}" for e in found])

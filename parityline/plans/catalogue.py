@@ -159,7 +159,7 @@ def compare_field(t):
 FROM {src_twice} WHERE CAST(o_orderkey AS VARCHAR) NOT IN (SELECT id FROM {tgt_twice})""")
 def missing_rows(t):
     shaped = S.shape(t("src_twice"), MAPPING)
-    return K.missing_rows(shaped, K.compare_tables(shaped, t("tgt_twice"), "id"), "id")
+    return K.absent_rows(shaped, t("tgt_twice"), "id")
 
 
 @query("SELECT t.* FROM {tgt_orders} t WHERE id IN (SELECT CAST(o_orderkey AS VARCHAR) FROM {src_orders} WHERE o_orderstatus = 'F')")
@@ -346,8 +346,7 @@ def rows_per_window(t):
     grid = W.window_grid(t("orders").sparkSession, START, END, "30 DAYS")
     source = W.assign_time_window(t("orders"), "o_orderdate", START, END, "30 DAYS").select("window_from", F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
     target = source.filter("id % 97 <> 0").withColumn("status", F.when(F.col("id") % 53 == 0, "X").otherwise(F.col("status")))
-    diffs = K.compare_tables(source, target, "id", by=["window_from"])
-    return W.rows_per_window(grid, source, target, diffs, ["window_from"])
+    return W.rows_per_window(grid, K.compare_counts(source, target, "id", ["window_from"]), ["window_from"])
 
 
 @query("SELECT min(o_orderkey) AS min_id, max(o_orderkey) AS max_id FROM {orders}")

@@ -298,6 +298,18 @@ def validate_rows(t):
     return VA.validate(rows.withColumn("status", F.lit("ok")), SCHEMA)
 
 
+@query("""SELECT id || '.' || field || ': ' || error AS error FROM (SELECT id, 'custId' AS field, 'wrong type' AS error FROM {tgt_orders} WHERE custId IS NOT NULL
+UNION ALL SELECT id, 'flag', 'not in schema' FROM {tgt_orders} WHERE flag IS NOT NULL) ORDER BY id, field LIMIT 50""")
+def validate_plan(t):
+    """A plan that does not fit its schema is refused with its first errors."""
+    target = t("tgt_orders")
+    try:
+        VA.validate_plan(target, SCHEMA)
+    except VA.PlanRejected as e:
+        return target.limit(1).select(F.explode(F.lit(e.errors)).alias("error"))
+    raise AssertionError("a plan that does not fit was taken")
+
+
 class OrderAdapter(Adapter):
     """An event whose price is a number, and whose documents carry the time of their update."""
 
