@@ -11,6 +11,7 @@ overwrite, and reads only these.
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -32,6 +33,25 @@ def _file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def _take_name(spark: SparkSession, held, where) -> bool:
+    """Give a file its name unless another file has it, in one step of the file system; whether that worked."""
+    if where.toUri().getScheme() == "file":  # its rename would replace the other file
+        try:
+            os.link(held.toUri().getPath(), where.toUri().getPath())
+        except FileExistsError:
+            return False
+        return True
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(held, where, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Exception as e:
+        if "AlreadyExists" not in str(e):
+            raise
+        return False
+    return True
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     """A small table below `root`, every version of which is a snapshot."""
@@ -65,24 +85,16 @@ class VersionedTable:
         folder = f"data-{uuid.uuid4().hex}"
         rows.write.parquet(f"{self.root}/{folder}")
         fs, where = _file_system(self.spark, f"{self.root}/_versions/{base + 1:08d}.json")
-        # Whole before it has its name: the rename fails where another writer's pointer stands.
+        # Whole before it has its name, which only one writer can take.
         held = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_attempts/{folder}.json")
         fs.mkdirs(where.getParent())
         stream = fs.create(held, True)
         stream.write(json.dumps({"folder": folder, "schema": rows.schema.jsonValue()}).encode())
         stream.close()
-        taken = fs.exists(where)
-        if not taken:
-            try:
-                context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri(), self.spark._jsc.hadoopConfiguration())
-                context.rename(held, where, self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 0))
-            except Exception as e:
-                if "AlreadyExists" not in str(e):
-                    raise
-                taken = True
+        taken = not _take_name(self.spark, fs.makeQualified(held), fs.makeQualified(where))
+        fs.delete(held, False)
         if taken:
             fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}"), True)
-            fs.delete(held, False)
             raise Conflict(f"version {base + 1} of {self.root} is taken")
         return base + 1
 

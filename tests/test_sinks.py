@@ -109,6 +109,28 @@ def test_no_writer_loses_an_entry(spark, tmp_path):
     assert {(r["source_file"], r["applied_ts"]) for r in ledger.read().collect()} == {(f"f{k}", 9 if k == 1 else 1) for k in range(6)}
 
 
+def test_one_writer_takes_a_name(spark, tmp_path):
+    """Eight writers that reach the last step together: one gets the name, and the file is its own."""
+    jvm, wins = spark._jvm, []
+    (tmp_path / "v").mkdir()
+    for k in range(8):
+        (tmp_path / f"held-{k}").write_text(str(k))
+    ready = threading.Barrier(8)
+
+    def take(k):
+        held, where = (jvm.org.apache.hadoop.fs.Path(f"file://{tmp_path}/{x}") for x in (f"held-{k}", "v/1.json"))
+        ready.wait()
+        if VE._take_name(spark, held, where):
+            wins.append(k)
+
+    threads = [threading.Thread(target=take, args=(k,)) for k in range(8)]
+    for x in threads:
+        x.start()
+    for x in threads:
+        x.join()
+    assert [str(k) for k in wins] == [(tmp_path / "v/1.json").read_text()]
+
+
 def test_exactly_once_with_new_files(spark, tmp_path):
     """A checkpoint that is lost begins its batch ids anew; files that came in between are applied, the others not again."""
     schema = "event string, env string, source_file string, pk string"
