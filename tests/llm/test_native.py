@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_against_sql(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         c.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = queries.queries()[name](spark, SF)
     cols = sorted(df.columns)
