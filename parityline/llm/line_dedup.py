@@ -8,8 +8,9 @@ more, whether or not that earlier line stays. Words are what stands between ASCI
 2. Lines with equal word sets form one class, named by its first line; all others of it are removed. Copies meet as
    partial minima, so a line that half of all documents repeat is one row from each task.
 3. Prefix filter: sets of n words that reach the threshold share a word among the first n - ceil(t n) + 1, their prefix. Leaders
-   come first: classes that agree in the least or the largest hash of their prefix try the earliest class of their group. One
-   match is enough, so a group of k near-equal lines costs about k comparisons here, and what is matched needs no other partner.
+   come first: classes that agree in one of four words of their prefix try up to 8 early classes of their group. One match is
+   enough, so a group of k near-equal lines costs a fixed multiple of k comparisons here, and what is matched needs no other
+   partner.
 4. Every class that no leader matched meets all classes that share a word of its prefix, in a self-join with the length filter,
    the positional filter and a parity filter (the XOR of one of 128 bits for each word differs in no more bits than the sets in words).
 5. Pairs of both steps are verified on the words, which are read again for their lines only; fixed-size bit filters keep
@@ -42,6 +43,8 @@ FILTER_BITMAPS, BITMAP_BITS = 256, 32768
 FULL, LAST = (1 << 16) - 1, (1 << 14) - 1
 #: Longs of parity bits.
 PARITY = ("parity", "odd_parity")
+#: Leaders of a group that a line tries before it meets all others.
+TRIES = 8
 #: What names a line: its document, and the number of the text under that id (normally 0) with the line number.
 NAME = ("doc_id", "place")
 
@@ -183,10 +186,18 @@ def near(n_a: Column, n_b: Column, parity_a: list[Column], parity_b: list[Column
     return lengths, bits_apart(parity_a, parity_b) <= n_a + n_b - 2 * need, need
 
 
-def leaders(classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of lines (late, early): early is the first line of a group by the least or the largest hash of the prefix."""
-    rows = classes.select(F.explode(F.array(F.array_min("prefix"), F.array_max("prefix"))).alias("group"), F.struct(*NAME).alias("late"), "n", *PARITY)
-    firsts = rows.groupBy("group").agg(F.min(F.struct("late", "n", *PARITY)).alias("lead"))
+def leaders(classes: DataFrame, threshold: float, tries: int = TRIES) -> DataFrame:
+    """Pairs of lines (late, early): early leads a group of lines that share one of four words of the prefix.
+
+    These are the least and the largest hash, and the last and the fourth last word: the first words of a prefix are the rarest,
+    often ones that no other line of the group has. A group has up to `tries` leaders, the first line of each part into
+    which a hash deals its lines.
+    """
+    fourth = F.get("prefix", F.greatest(F.size("prefix") - 4, F.lit(0)))
+    chosen = F.array_distinct(F.array(F.array_min("prefix"), F.array_max("prefix"), F.element_at("prefix", -1), fourth))
+    rows = classes.select(F.explode(chosen).alias("group"), F.struct(*NAME).alias("late"), "n", *PARITY)
+    part = F.pmod(F.xxhash64("late"), F.lit(tries))
+    firsts = rows.groupBy("group", part.alias("part")).agg(F.min(F.struct("late", "n", *PARITY)).alias("lead")).select("group", "lead")
     lengths, parity, _ = near(F.col("lead.n"), F.col("n"), [F.col(f"lead.{c}") for c in PARITY], [F.col(c) for c in PARITY], threshold)
     tried = rows.join(firsts, "group").filter((F.col("lead.late") < F.col("late")) & lengths & parity)
     return staged(tried.select("late", F.col("lead.late").alias("early")).distinct(), "line-led")

@@ -42,7 +42,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_exact_dedup": exact_dedup.ORACLE,
         "op8_chat_tools": chat_tools.ORACLE,
         "op9_line_dedup": line_dedup.ORACLE,
-        "op11_topk_search": topk_search.op11_topk_search,
         "op11_topk_search": topk_search.ORACLE,
         "op12_collocations": collocations.ORACLE,
     }
