@@ -11,14 +11,18 @@ its words). Documents with equal shingle sets form one node, so copies cost noth
 4. What is left is compared exactly, on the words themselves.
 5. Connected links make near-duplicate classes by smallest labels with pointer jumping, each round staged in the shared folder.
 
-Steps 2 to 5 run in three phases, as a class needs no link inside it once it is connected. First each node of a band meets the
-band's first document only; then the nodes of bands that still hold several classes meet up to REPRESENTATIVES nodes of other classes
-of each band; then, in the bands where even now classes differ, all nodes of different classes meet: a band is cut into blocks of
-about BLOCK_NODES nodes, each pair of blocks is one group of rows, and step 3 runs over its MinHash values inside the task, so
-only pairs that survive become rows, each from the first band that it shares. No pair of the last phase is left out, so the classes
-are those of all candidate pairs. Its rows grow with a band's size over BLOCK_NODES; what stays quadratic, inside tasks, is the
-comparison of texts that share a band but no link, each pair of which has to be tested. With count_links=True all candidate
-pairs meet in such blocks at once, and the number of links of each node is exact.
+Of bands that hold the same nodes only the first is kept, as each pair counts in the first band that it shares.
+
+With count_links=True, as the query has it, all candidate pairs are tested: a band is cut into blocks of about BLOCK_NODES nodes, and
+each pair of blocks is one group of rows. Step 3 runs over the MinHash values inside the task and names the nodes that have a
+surviving pair; these get their texts, and step 4 runs over the same pairs in the same groups. A group gives one row for each node
+with a link: how many it has there, the first of them, and a node of its tree in the group, so neither pairs nor links ever become
+rows. Rows grow with a band's size over BLOCK_NODES; what stays quadratic, inside tasks, is the test of each pair itself.
+
+Without, only classes are wanted, and steps 2 to 5 run in three phases, as a class needs no link inside it once it is connected. First
+each node of a band meets the band's first document only; then the nodes of bands that still hold several classes meet up to
+REPRESENTATIVES nodes of other classes of each band; then, in the bands where even now classes differ, all nodes of different
+classes meet in such groups. The classes are those of all candidate pairs either way.
 
 Equal sets are equal digests of 64-bit shingle hashes: two different shingles of a text pair share a hash with a chance of
 about n * n / 2**65 for n shingles (5e-14 for 1,000).
@@ -49,7 +53,9 @@ HASHES, BANDS, BAND_ROWS, BLOCK = 128, 24, 4, 16
 #: Nodes of a band that the nodes of its other classes meet in the second phase.
 REPRESENTATIVES = 8
 #: Nodes of a band that are compared with as many others in one group of rows.
-BLOCK_NODES = 512
+BLOCK_NODES = 1024
+#: Nodes of a block whose pairs with the other block are held at once.
+STRIP_NODES = 128
 PUNCTUATION = string.punctuation.encode()
 
 
@@ -146,11 +152,16 @@ def fewest_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -
 
 
 def banded(nodes: DataFrame) -> DataFrame:
-    """k (number of the band), band (with its values), digest, n, name of the nodes in each band that several nodes share."""
+    """k (number of the band), band (with its values), digest, n, name of the nodes in each band that several nodes share.
+
+    Of bands with the same nodes the first is kept: a pair's first band never falls, as an earlier one with its nodes would be first.
+    """
     band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring(F.col("sig"), k * (4 * BAND_ROWS) + 1, F.lit(4 * BAND_ROWS)))))
     rows = nodes.filter("n > 0").select(band.alias("k", "band"), "digest", "n", "name")
-    several = rows.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
-    return staged(rows.join(several.select("band"), "band"), "ngram-bands")
+    held = [F.bit_xor(F.xxhash64(F.lit(k), "digest")).alias(f"held_{k}") for k in range(2)]
+    several = rows.groupBy("k", "band").agg(F.count("*").alias("size"), *held).filter("size > 1")
+    first = several.groupBy("size", "held_0", "held_1").agg(F.min(F.struct("k", "band")).alias("first"))
+    return staged(rows.join(first.select("first.band"), "band"), "ngram-bands")
 
 
 def candidates(rows: DataFrame, threshold: float, most: int) -> DataFrame:
@@ -177,80 +188,145 @@ def survivors(x: np.ndarray, y: np.ndarray, fewest: list[tuple[int, int]]) -> np
     return alive
 
 
-def block_pairs(group: pa.RecordBatch, threshold: float, fewest: list[tuple[int, int]]) -> tuple[list[bytes], list[bytes]]:
-    """Surviving pairs (a < b) between the two blocks of a group: of different classes, by the first band that they share."""
+def block_pairs(group: pa.RecordBatch, threshold: float, fewest: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Surviving pairs between the two blocks of a group, as rows x and y: of different classes, in the first band that they share."""
     own, i, j = (group.column(c).to_numpy() for c in ("own", "i", "j"))
-    digests, sizes = group.column("digest").to_pylist(), group.column("n").to_numpy()
+    sizes, k = group.column("n").to_numpy(), group.column("k")[0].as_py()
     label = np.unique(np.asarray(group.column("label").to_pylist(), object), return_inverse=True)[1]
     sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
     left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-    out: tuple[list[bytes], list[bytes]] = ([], [])
-    for start in range(0, len(left), BLOCK_NODES):  # a block may hold somewhat more nodes than meant
-        some = left[start : start + BLOCK_NODES]
-        x, y = np.repeat(some, len(right)), np.tile(right, len(some))
-        ok = (label[x] != label[y]) & (sizes[x] >= threshold * sizes[y]) & (sizes[y] >= threshold * sizes[x])
+    # Two numbers for each earlier band that hold its four values.
+    earlier = sig[:, : k * BAND_ROWS].astype(np.uint64).reshape(len(sig), k, BAND_ROWS // 2, 2)
+    earlier = (earlier[..., 0] << np.uint64(32)) | earlier[..., 1]
+    first, last = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for start in range(0, len(left), STRIP_NODES):
+        some = left[start : start + STRIP_NODES]
+        ok = (label[some][:, None] != label[right]) & (sizes[some][:, None] >= threshold * sizes[right]) & (sizes[right] >= threshold * sizes[some][:, None])
         if i[0] == j[0]:
-            ok &= x < y
-        x, y = x[ok], y[ok]
-        first, last = [], []
-        for at in range(0, len(x), 1 << 16):
-            p, q = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
+            ok &= some[:, None] < right
+        for band in range(k):
+            ok &= (earlier[some, band][:, None] != earlier[right, band]).any(2)
+        x, y = np.nonzero(ok)
+        x, y = some[x], right[y]
+        for at in range(0, len(x), 1 << 14):
+            p, q = x[at : at + (1 << 14)], y[at : at + (1 << 14)]
             alive = survivors(sig[p], sig[q], fewest)
             first.append(p[alive])
             last.append(q[alive])
-        x, y = np.concatenate([*first, np.zeros(0, np.int64)]), np.concatenate([*last, np.zeros(0, np.int64)])
-        shared = (sig[x] == sig[y])[:, : BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS).all(2)
-        mine = shared.any(1) & (shared.argmax(1) == group.column("k")[0].as_py())
-        for p, q in zip(x[mine].tolist(), y[mine].tolist(), strict=True):
-            a, b = sorted((digests[p], digests[q]))
-            out[0].append(a)
-            out[1].append(b)
-    return out
+    return np.concatenate(first), np.concatenate(last)
+
 
+def shingle_numbers(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of each text as numbers, equal where the words are, and the places where each text's begin.
 
-def all_candidates(rows: DataFrame, nodes: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """Pairs a < b of all nodes of different classes that share a band, sizes allowing, whose posterior stays above the tolerance."""
+    A text of fewer words than a shingle has none here: its one shingle is its whole text, which no other node has.
+    """
+    ids: dict[bytes, int] = {}
+    parts = [np.fromiter((ids.setdefault(w, len(ids)) for w in plain(t).split()), np.int64) for t in texts]
+    word, doc = np.concatenate(parts), np.repeat(np.arange(len(texts)), [len(p) for p in parts])
+    at = np.flatnonzero(doc[: max(len(doc) - size + 1, 0)] == doc[size - 1 :])
+    rank = word[at]
+    for k in range(1, size):  # built up from the ranks of prefixes, so equal numbers mean equal words
+        _, rank = np.unique(rank * len(ids) + word[at + k], return_inverse=True)
+    n = int(rank.max(initial=0)) + 1
+    numbers = np.unique(doc[at] * n + rank)
+    return numbers % n, np.searchsorted(numbers, np.arange(len(texts) + 1) * n)
+
+
+def block_links(group: pa.RecordBatch, threshold: float, fewest: list[tuple[int, int]]) -> tuple[list[int], list[int], list[int], list[int], list[float]]:
+    """Rows of a group that have a link in it: row, number of links, first row linked to it and the similarity, first row of its tree."""
+    x, y = block_pairs(group, threshold, fewest)
+    numbers, cuts = shingle_numbers(group.column("text").to_pylist())
+    cuts = cuts.tolist()
+    here = np.zeros(int(numbers.max(initial=0)) + 1, bool)
+    tree, count = list(range(len(group))), [0] * len(group)
+    best: dict[int, tuple[int, float]] = {}
+
+    def root(a: int) -> int:
+        while tree[a] != a:
+            tree[a] = a = tree[tree[a]]
+        return a
+
+    last = -1
+    for a, b in zip(x.tolist(), y.tolist(), strict=True):
+        if a != last:
+            if last >= 0:
+                here[numbers[cuts[last] : cuts[last + 1]]] = False
+            here[numbers[cuts[a] : cuts[a + 1]]] = True
+            last = a
+        common = int(np.count_nonzero(here[numbers[cuts[b] : cuts[b + 1]]]))
+        jaccard = common / max(cuts[a + 1] - cuts[a] + cuts[b + 1] - cuts[b] - common, 1)
+        if jaccard < threshold:
+            continue
+        for one, other in ((a, b), (b, a)):
+            count[one] += 1
+            if one not in best or other < best[one][0]:
+                best[one] = other, jaccard
+        low, high = sorted((root(a), root(b)))
+        tree[high] = low
+    found = sorted(best)
+    return found, [count[a] for a in found], [best[a][0] for a in found], [root(a) for a in found], [best[a][1] for a in found]
+
+
+#: What makes a group of rows: a band, and two blocks of its nodes.
+GROUP = ["band", "k", "i", "j"]
+
+
+def groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each group; a group that goes on in the next batch is put together."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in GROUP], 1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            if lo == hi:
+                continue
+            if held and lo == 0 and [held[0].column(c)[0].as_py() for c in GROUP] != keys[0].tolist():
+                yield pa.concat_batches(held)
+                held = []
+            if lo > 0 and held:
+                yield pa.concat_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def all_links(rows: DataFrame, nodes: DataFrame, texts: DataFrame, names: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """Links of all nodes of different classes that share a band, by node and group: digest, n_links, other, tree, jaccard.
+
+    other: of the nodes linked to it in the group the one of the smallest name. tree: a node of the group that its links lead to.
+    """
     blocks = F.ceil(F.col("size") / BLOCK_NODES).cast("int")
     sizes = rows.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1").select("band", blocks.alias("blocks"))
     dealt = rows.join(sizes, "band").withColumn("own", F.pmod(F.xxhash64("digest", "band"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = dealt.select("k", "band", "digest", "n", "label", "own", other.alias("other"))
     dealt = dealt.select("k", "band", "digest", "n", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    order = ["band", "k", "i", "j"]
-    grouped = dealt.join(nodes.select("digest", "sig"), "digest").repartition(*order).sortWithinPartitions(*order)
+    grouped = dealt.join(nodes.select("digest", "sig"), "digest").repartition(*GROUP).sortWithinPartitions(*GROUP)
     fewest = fewest_matches(threshold, tolerance)
 
-    def groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rows of each group; a group that goes on in the next batch is put together."""
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in order], 1)
-            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
-            for lo, hi in zip(cuts, cuts[1:], strict=False):
-                if lo == hi:
-                    continue
-                if held and lo == 0 and [held[0].column(c)[0].as_py() for c in order] != keys[0].tolist():
-                    yield pa.concat_batches(held)
-                    held = []
-                if lo > 0 and held:
-                    yield pa.concat_batches(held)
-                    held = []
-                held.append(batch.slice(lo, hi - lo))
-        if held:
-            yield pa.concat_batches(held)
+    def some(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of each group that have a surviving pair in it."""
+        for group in groups(batches):
+            x, y = block_pairs(group, threshold, fewest)
+            if len(x):
+                yield group.take(pa.array(np.unique(np.concatenate((x, y)))))
+
+    paired = staged(grouped.mapInArrow(some, grouped.schema), "ngram-paired")
+    ready = paired.join(texts, "digest").join(names, "digest").repartition(*GROUP).sortWithinPartitions(*GROUP, "name").drop("name")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: tuple[list[bytes], list[bytes]] = ([], [])
         for group in groups(batches):
-            a, b = block_pairs(group, threshold, fewest)
-            found[0].extend(a)
-            found[1].extend(b)
-            if len(found[0]) > 10_000:
-                yield pa.record_batch([pa.array(c, pa.binary()) for c in found], ["a", "b"])
-                found = ([], [])
-        yield pa.record_batch([pa.array(c, pa.binary()) for c in found], ["a", "b"])
+            row, n_links, other, tree, jaccard = block_links(group, threshold, fewest)
+            if row:
+                digest = group.column("digest")
+                yield pa.record_batch(
+                    [digest.take(pa.array(row)), pa.array(n_links, pa.int64()), digest.take(pa.array(other)), digest.take(pa.array(tree)), pa.array(jaccard)],
+                    ["digest", "n_links", "other", "tree", "jaccard"],
+                )
 
-    return grouped.mapInArrow(run, "a binary, b binary")
+    return ready.mapInArrow(run, "digest binary, n_links long, other binary, tree binary, jaccard double")
 
 
 def pruned(pairs: DataFrame, nodes: DataFrame, threshold: float, tolerance: float) -> DataFrame:
@@ -332,7 +408,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     # Names of nodes that differ where ids do not; nodes without id come last.
     name = F.struct(F.col("name").isNull().alias("no_id"), F.col("name").alias("doc_id"), F.col("digest").alias("node"))
     names = nodes.select("digest", name.alias("name"))
-    links = nodes.limit(0).select(F.col("digest").alias("a"), F.col("digest").alias("b"), F.lit(0.0).alias("jaccard"))
+    # Links by node, and the edges that connect them.
+    links = nodes.limit(0).select("digest", F.lit(0).cast("long").alias("n_links"), F.col("digest").alias("other"), F.lit(0.0).alias("jaccard"))
+    edges = nodes.limit(0).select(F.col("digest").alias("a"), F.col("digest").alias("b"))
     labels = nodes.limit(0).select("digest", name.alias("label"))
     for most in (None,) if count_links else (1, REPRESENTATIVES, None):
         own = bands.join(labels.select("digest", F.col("label.node").alias("label")), "digest", "left")
@@ -340,17 +418,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
         mixed = own.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
         open_ = own.join(mixed.select("band"), "band", "left_semi")
         if most is None:
-            pairs = all_candidates(open_, nodes, threshold, tolerance)
+            found = staged(all_links(open_, nodes, texts, names, threshold, tolerance), "ngram-links")
+            more = found.filter("digest <> tree").select(F.col("digest").alias("a"), F.col("tree").alias("b"))
         else:
-            pairs = pruned(candidates(open_, threshold, most), nodes, threshold, tolerance)
-        pairs = staged(pairs, "ngram-pairs")
-        if pairs.isEmpty():
+            pairs = staged(pruned(candidates(open_, threshold, most), nodes, threshold, tolerance), "ngram-pairs")
+            more = staged(verified(pairs, texts, threshold), "ngram-links")
+            both = [more.select(F.col(a).alias("digest"), F.lit(1).cast("long").alias("n_links"), F.col(b).alias("other"), "jaccard") for a, b in ("ab", "ba")]
+            found = both[0].unionByName(both[1])
+        if more.isEmpty():
             continue
-        links = links.unionByName(staged(verified(pairs, texts, threshold), "ngram-links"))
-        labels = components(links, names)
-    ends = links.select("a", "b", "jaccard").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "jaccard"))
-    ends = ends.join(names.select(F.col("digest").alias("b"), F.col("name").alias("other")), "b")
-    best = ends.groupBy(F.col("a").alias("digest")).agg(F.min(F.struct("other", "jaccard")).alias("best"), F.count("*").alias("n_links"))
+        links = links.unionByName(found.drop("tree"))
+        edges = edges.unionByName(more.select("a", "b"))
+        labels = components(edges, names)
+    ends = links.withColumnRenamed("other", "b").join(names.select(F.col("digest").alias("b"), F.col("name").alias("other")), "b")
+    best = ends.groupBy("digest").agg(F.min(F.struct("other", "jaccard")).alias("best"), F.sum("n_links").alias("n_links"))
     classes = nodes.select("digest", "name", "n_copies").join(labels, "digest", "left").join(best, "digest", "left")
     label = F.coalesce(F.col("label"), name)
     classes = classes.select(
@@ -400,4 +481,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("digest", "class_node")
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), count_links=True).drop("digest", "class_node")

@@ -233,6 +233,24 @@ def test_recall_of_the_candidates(spark):
     assert sum(got[a] == got[b] for a, b in true) >= 0.9 * len(true)
 
 
+def test_the_query_counts_every_link(spark):
+    """Each row of the query has all links of its text, also those inside a class that is connected without them."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    got = ngram_join.op10_ngram_join(spark, "/root/testdata/sf0.01").collect()
+    want = brute_near(docs)
+    assert max(n for _, _, n, _ in want) > 0
+    assert sorted((str(r["doc_id"]), r["class_id"], r["n_links"], r["n_copies"]) for r in got) == want
+
+
+def test_numbers_of_shingles():
+    texts = [b"a b c d e f", b"", b"a b c", b"x A b, c d e x", b"a b c d e a b c d e"]
+    numbers, cuts = ngram_join.shingle_numbers(texts)
+    sets = [set(numbers[a:b].tolist()) for a, b in zip(cuts, cuts[1:])]
+    assert [len(s) for s in sets] == [2, 0, 0, 3, 6 - 1]
+    words = [ngram_join.shingle_set(t) if len(t.split()) > 4 else set() for t in texts]
+    assert all(len(sets[a] & sets[b]) == len(words[a] & words[b]) for a in range(5) for b in range(5))
+
+
 def test_keep_one(spark, edge_docs, no_docs):
     out = ngram_join.keep_one(edge_docs)
     assert out.columns == edge_docs.columns
