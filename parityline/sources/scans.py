@@ -49,9 +49,12 @@ def scan_docs_range(docs: DataFrame, time_field: str, start: datetime, end: date
 
 
 def scan_docs_by_keys(docs: DataFrame, field: str, keys: DataFrame, key: str) -> DataFrame:
-    """Documents whose field is among the keys, compared as text, so '7' and 7 agree."""
+    """Documents whose field is among the keys, compared as text, so '7' and 7 agree.
+
+    A task holds its share of the distinct keys as a hash table and passes the documents by it; these are not sorted.
+    """
     wanted = keys.select(F.trim(F.col(key).cast("string")).alias("_key")).filter(F.col("_key").isNotNull()).distinct()
-    return docs.join(wanted, F.trim(docs[field].cast("string")) == wanted["_key"], "left_semi")
+    return docs.join(wanted.hint("shuffle_hash"), F.trim(docs[field].cast("string")) == wanted["_key"], "left_semi")
 
 
 def scan_docs_all(docs: DataFrame, query: Column | None = None, max_docs: int | None = None, order: str | None = None) -> DataFrame:

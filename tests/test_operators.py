@@ -97,6 +97,19 @@ def test_shards(spark):
     assert X.scan_hash_shards(df, "id", 4, max_per_shard=3).count() == 12
 
 
+def test_documents_of_a_key_scan_are_not_sorted(spark):
+    docs = spark.range(1000).select(F.concat(F.lit(" "), F.col("id").cast("string")).alias("id"), F.lit("x").alias("s"))
+    keys = spark.createDataFrame([(7,), (7,), (None,), (5000,), (12,)], "k long")
+    with_sort = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = X.scan_docs_by_keys(docs, "id", keys, "k")
+        assert rows(found) == [(" 12", "x"), (" 7", "x")]
+        assert "Sort" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_sort)
+
+
 def test_diff_store_round_trip(spark, pair, tmp_path):
     source, target = pair
     diffs = K.compare_tables(source, target, "id")
