@@ -246,25 +246,28 @@ def score(docs: DataFrame, model: Model | None, threshold: float = 0.5, id_col:
 
     carry: return the input columns too, named in_<name>, for a filter over whole rows.
     """
-    sent = [F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text")]
-    source = docs.select(*sent)
-    schema = f"doc_id {source.schema['doc_id'].dataType.simpleString()}, {RESULT}"
-    if carry:
-        source = docs.select(*sent, *[F.col(c).alias(f"in_{c}") for c in docs.columns])
-        schema += "".join(f", `in_{c}` {t}" for c, t in docs.dtypes)
-    names = ["doc_id", *[x.split()[0] for x in RESULT.split(", ")], *[f"in_{c}" for c in docs.columns if carry]]
+    if carry:  # the text travels once, among the columns
+        source = docs.select(*[F.col(c).alias(f"in_{c}") for c in docs.columns])
+        sent_id, sent_text = f"in_{id_col}", f"in_{text_col}"
+    else:
+        source = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text"))
+        sent_id, sent_text = "doc_id", "text"
+    schema = f"doc_id {source.schema[sent_id].dataType.simpleString()}, {RESULT}"
+    carried = [f"in_{c}" for c in docs.columns if carry]
+    schema += "".join(f", `in_{c}` {t}" for c, t in docs.dtypes if carry)
+    names = ["doc_id", *[x.split()[0] for x in RESULT.split(", ")], *carried]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
-            texts = batch.column("text").to_pylist()
+        for batch in steps(batches, sent_text):
+            texts = [t or b"" for t in batch.column(sent_text).cast(pa.binary()).to_pylist()]
             b = Batch.of(texts)
             c = base_counts(texts, b)
             failed = (c["n_words"] < FEWEST_WORDS) | (100 * c["n_repeat_words"] > MOST_REPEATED * c["n_words"])
             quality = None if model is None else model.probability(linear_scores(b, model.weights))
             kept = ~failed if quality is None else ~failed & (quality >= threshold)
-            columns = [batch.column("doc_id"), *[pa.array(v, pa.int64()) for v in c.values()], pa.array(failed), pa.array(kept)]
+            columns = [batch.column(sent_id), *[pa.array(v, pa.int64()) for v in c.values()], pa.array(failed), pa.array(kept)]
             columns.append(pa.nulls(len(texts), pa.float64()) if quality is None else pa.array(quality))
-            yield pa.record_batch([*columns, *[batch.column(k) for k in range(2, batch.num_columns)]], names)
+            yield pa.record_batch([*columns, *[batch.column(k) for k in carried]], names)
 
     return source.mapInArrow(run, schema)
 

@@ -43,6 +43,13 @@ def test_filter_keeps_columns(spark, edge_docs):
     assert {r["doc_id"] for r in out.collect()} == {k for k, t in ((r["doc_id"], r["text"]) for r in edge_docs.collect()) if not brute_counts(t)[5]}
 
 
+def test_a_carried_text_travels_once(spark, edge_docs, monkeypatch):
+    sent, send = [], type(edge_docs).mapInArrow
+    monkeypatch.setattr(type(edge_docs), "mapInArrow", lambda df, *args: sent.append(df) or send(df, *args))
+    quality.score(edge_docs, None, carry=True)
+    assert sent[0].columns == [f"in_{c}" for c in edge_docs.columns]
+
+
 def test_word_hash_does_not_depend_on_position():
     b = quality.Batch.of([b"abc de abc", b"", "é abc".encode()])
     assert b.hashes[0] == b.hashes[2] == b.hashes[4]

@@ -1,9 +1,11 @@
 """Counts, files and byte-pair encoding against the tokenizers library."""
 
 import struct
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -215,3 +217,19 @@ def test_a_rank_that_arises_late():
         words = ["abcd", "abcdd", "abc", "aabcd", "abcabcd", "ddddd", "bcd"]
         want = [x.ids for x in Tokenizer.from_file(f.name).encode_batch(words, add_special_tokens=False)]
         assert [ids(x) for x in bpe.PairIndexBpe(f.name).encode([w.encode() for w in words])] == want
+
+
+def test_memory_of_a_task(spark, monkeypatch):
+    taken, docs = [], spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, run, schema: taken.append(run))
+    bpe.encode_decode(docs, PATH)
+    text = " ".join(f"word{k % 997}" for k in range(125)).encode()
+    batch = pa.record_batch([pa.array(range(8000), pa.int64()), pa.array([text] * 8000, pa.binary())], ["doc_id", "text"])
+    for _ in taken[0](iter([batch.slice(0, 1)])):  # the vocabulary is loaded
+        pass
+    tracemalloc.start()
+    try:
+        assert sum(out.num_rows for out in taken[0](iter([batch]))) == 8000
+        assert tracemalloc.get_traced_memory()[1] < 50e6  # for 8 MB of text
+    finally:
+        tracemalloc.stop()
