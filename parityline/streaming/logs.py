@@ -20,19 +20,23 @@ SHARD_ROWS, SHARD_EVERY = 5000, "30 seconds"
 def stream_run_logs(
     spark: SparkSession, source: str, schema: StructType, out: str, checkpoint: str, keys: Sequence[str] = (), ts: str = "ts", late: str = "10 minutes",
     every: str | None = SHARD_EVERY, shard_rows: int = SHARD_ROWS, files: int = 1000, by: Sequence[str] = ("day",),
+    spread: int = 1,
 ) -> StreamingQuery:
     """JSON log lines from a folder as Parquet shards of at most `shard_rows` rows, partitioned by day or by the columns `by`.
 
     The trigger is the flush: what has arrived within `every` is written then, once, by the file sink's own log; every=None takes what
     is there and ends. keys: columns that name a row. A row that a retry has sent again falls, and so does one that comes later than
     the watermark; the keys of the last `late` are state, which is dropped behind the watermark. Without keys nothing is dropped.
+    spread: how many tasks write a partition in a micro-batch, each its own shards; with few partitions and small shards the files
+    of a batch are made by so many times more tasks.
     """
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).json(source)
     if keys:
         rows = rows.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
     rows = rows if "day" in rows.columns else rows.withColumn("day", F.to_date(ts))
     # Rows of a partition lie together, so that it has few shards; the writer cuts it into shards whatever its size.
-    writer = rows.repartition(*by).writeStream.format("parquet").partitionBy(*by).option("compression", "zstd")
+    part = F.pmod(F.xxhash64(*(keys or [ts])), F.lit(spread))
+    writer = rows.repartition(*by, *[part] * (spread > 1)).writeStream.format("parquet").partitionBy(*by).option("compression", "zstd")
     writer = writer.option("maxRecordsPerFile", str(shard_rows)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.outputMode("append").start(out)

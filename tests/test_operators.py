@@ -229,6 +229,16 @@ def test_streams(spark, tmp_path):
     assert spark.table("counts").count() == 2
 
 
+def test_shards_of_a_partition_are_written_by_several_tasks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.json").write_text("".join(f'{{"k": {k % 500}, "ts": "2024-01-01T00:00:00Z", "run_id": "r"}}\n' for k in range(600)))
+    schema, out = T.StructType.fromDDL("k long, ts timestamp, run_id string"), str(tmp_path / "out")
+    ST.stream_run_logs(spark, str(tmp_path / "in"), schema, out, str(tmp_path / "cp"), keys=("k",), every=None, shard_rows=50, by=("run_id",), spread=8).awaitTermination()
+    shards = spark.read.parquet(out).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n")).collect()
+    assert sum(r["n"] for r in shards) == 500 and max(r["n"] for r in shards) <= 50
+    assert len({r["file"].split("-")[1] for r in shards}) > 1  # the number of the task
+
+
 def test_stream_pending_applies_each_file_once(spark, tmp_path):
     spark.createDataFrame([("1", "a")], "pk string, field string").write.parquet(str(tmp_path / "in"))
     seen = []
