@@ -37,7 +37,7 @@ from parityline.llm.tokens import PLAIN, drops_blanks
 BLOCK_SYMBOLS, REMEMBERED = 4_000_000, 600_000
 #: Text bytes that a task takes at once: the more pieces are merged together, the fewer steps over the ranks, but the words
 #: of a step are objects of the worker, many times its size, and much of their memory stays with the worker after the task.
-TASK_STEP = 2 << 20
+TASK_STEP = 1 << 19
 
 
 def byte_letters() -> list[str]:

@@ -36,6 +36,8 @@ CHAR_MULTIPLIER = np.uint32(0x01000193)
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 SYMBOLS = b"#*$%&|<>"
 WINDOW, FEWEST_WORDS, MOST_REPEATED = 5, 10, 20
+#: Text bytes that a task takes at once; its arrays hold up to eight bytes for each, several times over.
+TASK_STEP = 1 << 19
 
 _BLANK = np.zeros(256, bool)
 _BLANK[list(b" \t\n\x0b\x0c\r")] = True
@@ -258,7 +260,7 @@ def score(docs: DataFrame, model: Model | None, threshold: float = 0.5, id_col:
     names = ["doc_id", *[x.split()[0] for x in RESULT.split(", ")], *carried]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, sent_text):
+        for batch in steps(batches, sent_text, TASK_STEP):
             texts = [t or b"" for t in batch.column(sent_text).cast(pa.binary()).to_pylist()]
             b = Batch.of(texts)
             c = base_counts(texts, b)

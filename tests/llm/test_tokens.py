@@ -233,3 +233,20 @@ def test_memory_of_a_task(spark, monkeypatch):
         assert tracemalloc.get_traced_memory()[1] < 50e6  # for 8 MB of text
     finally:
         tracemalloc.stop()
+
+
+def test_steps_of_a_task_are_small(spark, monkeypatch):
+    taken, docs = [], spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, run, schema: taken.append(run))
+    bpe.encode_decode(docs, PATH)
+    text = " ".join(f"word{k % 997}" for k in range(125)).encode()
+    batch = pa.record_batch([pa.array(range(4000), pa.int64()), pa.array([text] * 4000, pa.binary())], ["doc_id", "text"])
+    for _ in taken[0](iter([batch.slice(0, 1)])):  # the vocabulary is loaded
+        pass
+    tracemalloc.start()
+    try:
+        assert sum(out.num_rows for out in taken[0](iter([batch]))) == 4000
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 20e6, peak  # for 4 MB of text
