@@ -38,6 +38,8 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW, FEWEST_WORDS, MOST_REPEATED = 5, 10, 20
 #: Text bytes that a task takes at once; its arrays hold up to eight bytes for each, several times over.
 TASK_STEP = 1 << 19
+#: Columns of the training rows whose spread is taken at once.
+COLUMNS = 512
 
 _BLANK = np.zeros(256, bool)
 _BLANK[list(b" \t\n\x0b\x0c\r")] = True
@@ -151,6 +153,14 @@ def frequencies(texts: list[bytes]) -> np.ndarray:
     return out
 
 
+def dense(texts: list[bytes], step: int = 100) -> np.ndarray:
+    """frequencies() of many texts, filled in step by step."""
+    out = np.empty((len(texts), N_WORD + N_CHAR), np.float32)
+    for i in range(0, len(texts), step):
+        out[i : i + step] = frequencies(texts[i : i + step])
+    return out
+
+
 def linear_scores(b: Batch, weights: np.ndarray) -> np.ndarray:
     """frequencies() @ weights without the dense rows."""
     n = len(b.ends)
@@ -171,10 +181,11 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * (margin + self.intercept) + self.shift, -40, 40)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Weighted logistic regression by accelerated gradient descent on scaled columns."""
-    scale = 1 / (np.sqrt(((x - x.mean(0)) ** 2).mean(0)) + 1e-3)
-    z = np.ascontiguousarray(x * scale, np.float32)
+def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float, rounds: int = 300, spend: bool = False) -> tuple[np.ndarray, float]:
+    """Weighted logistic regression by accelerated gradient descent on scaled columns. spend: float32 x is overwritten, not copied."""
+    variance = [((b - b.mean(0)) ** 2).mean(0) for b in (x[:, i : i + COLUMNS] for i in range(0, x.shape[1], COLUMNS))]
+    scale = 1 / (np.sqrt(np.concatenate(variance)) + 1e-3)
+    z = np.multiply(x, scale, out=x) if spend else np.ascontiguousarray(x * scale, np.float32)
     mean = z.mean(0)
     z -= mean
     w = w / w.sum()
@@ -195,18 +206,21 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float, rounds:
     return weights, float(b0 - mean @ beta)
 
 
-def fit(x: np.ndarray, y: np.ndarray, shares: tuple[float, float], ridge: float = 1e-3) -> Model | None:
-    """Fit on three quarters of the rows, calibrate on the rest; rows stand in hash order, so the cut is arbitrary."""
+def fit(texts: list[bytes], y: np.ndarray, shares: tuple[float, float], ridge: float = 1e-3) -> Model | None:
+    """Fit on three quarters of the texts, calibrate on the rest; they stand in hash order, so the cut is arbitrary.
+
+    The driver holds the dense rows of one of the two parts at a time, and no copy of them.
+    """
     if len(np.unique(y)) < 2:
         return None
     w = np.where(y == 1, shares[1] / (y == 1).sum(), shares[0] / (y == 0).sum())
     aside = np.arange(len(y)) % 4 == 3
     if min((y[aside] == 1).sum(), (y[aside] == 0).sum(), (y[~aside] == 1).sum(), (y[~aside] == 0).sum()) < 3:
         aside[:] = False
-    weights, intercept = logistic(x[~aside], y[~aside], w[~aside], ridge)
+    weights, intercept = logistic(dense([t for t, a in zip(texts, aside) if not a]), y[~aside], w[~aside], ridge, spend=True)
     model = Model(weights, intercept, 1.0, 0.0)
     if aside.any():
-        margin = x[aside] @ weights + intercept
+        margin = dense([t for t, a in zip(texts, aside) if a]) @ weights + intercept
         # Platt's targets keep the map finite where the two labels are separable.
         n1, n0 = (y[aside] == 1).sum(), (y[aside] == 0).sum()
         target = np.where(y[aside] == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
@@ -235,9 +249,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     if not rows or len(counts) < 2:
         return None
     rows.sort(key=lambda r: zlib.crc32(f"{r['doc_id']}".encode()))
-    x = np.concatenate([frequencies([bytes(r["text"]) for r in rows[i : i + 100]]) for i in range(0, len(rows), 100)])
     total = sum(counts.values())
-    return fit(x, np.asarray([r["label"] for r in rows], np.float64), (counts[0] / total, counts[1] / total))
+    return fit([bytes(r["text"]) for r in rows], np.asarray([r["label"] for r in rows], np.float64), (counts[0] / total, counts[1] / total))
 
 
 RESULT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, quality double"

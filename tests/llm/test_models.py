@@ -1,6 +1,7 @@
 """Quality rules and toxicity: exact counts against brute force, verdicts against held-out labels."""
 
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -75,6 +76,24 @@ def test_quality_held_out(spark, labelled):
     assert np.mean([(r["p"] - r["quality"]) ** 2 for r in rows]) < 0.02
 
 
+def test_fit_holds_its_rows_once(spark, labelled):
+    docs, labels = labelled
+    tracemalloc.start()
+    assert quality.train(docs, labels) is not None
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = 2000 * (quality.N_WORD + quality.N_CHAR) * 4  # the dense rows of all training texts
+    assert peak < 1.5 * whole
+
+
+def test_spent_rows_give_the_same_fit():
+    x = np.random.default_rng(5).random((60, 700), np.float32)
+    y, w = np.arange(60) % 2.0, np.ones(60)
+    kept = quality.logistic(x, y, w, 1e-3, rounds=20)
+    spent = quality.logistic(x.copy(), y, w, 1e-3, rounds=20, spend=True)
+    assert np.array_equal(kept[0], spent[0]) and kept[1] == spent[1]
+
+
 def test_toxicity_held_out(spark, labelled):
     docs, labels = labelled
     model = toxicity.train(docs, labels)
