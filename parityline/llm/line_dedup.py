@@ -116,19 +116,25 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, number: str) -> DataFr
     return rows.select("doc_id", F.shiftleft("_number", 32).bitwiseOR(F.col("line_no").cast("long")).alias("place"), "line")
 
 
-def classes_of(lines: DataFrame, levels: bytes, threshold: float) -> DataFrame:
-    """One row for each word set: doc_id and place of its first line, n (its size), two parities, prefix."""
+def coded_words(line: Column, levels: bytes) -> Column:
+    """The distinct words of a line as level, then hash, in that order."""
     table = F.from_json(F.lit(str(list(levels))), "array<tinyint>")  # folded to one constant
 
     def code(h: Column) -> Column:
-        level = F.get(table, h.bitwiseAND((1 << SKETCH_BITS) - 1).cast("int"))
+        # Never null, as Spark sorts an array of longs that may hold nulls as boxed objects.
+        level = F.coalesce(F.get(table, h.bitwiseAND((1 << SKETCH_BITS) - 1).cast("int")), F.lit(0).cast("tinyint"))
         return F.shiftleft(level.cast("long"), 58).bitwiseOR(F.shiftrightunsigned(h, 6))
 
+    return F.sort_array(F.transform(hashes(line), code))
+
+
+def classes_of(lines: DataFrame, levels: bytes, threshold: float) -> DataFrame:
+    """One row for each word set: doc_id and place of its first line, n (its size), two parities, prefix."""
     n = F.size("words")
     parity = [c.alias(name) for c, name in zip(parities(F.col("words")), PARITY, strict=True)]
     # 31 bits of each prefix word are enough to find candidates.
     prefix = F.transform(F.slice("words", F.lit(1), (n - ceil_share(n, threshold) + 1).cast("int")), lambda w: F.shiftrightunsigned(w, 20).bitwiseAND(0x7FFFFFFF).cast("int"))
-    coded = lines.filter(F.trim("line") != "").select(*NAME, F.sort_array(F.transform(hashes(F.col("line")), code)).alias("words"))
+    coded = lines.filter(F.trim("line") != "").select(*NAME, coded_words(F.col("line"), levels).alias("words"))
     # Two hashes of 64 bits name a set.
     named = coded.select(
         F.xxhash64("words").alias("key"),

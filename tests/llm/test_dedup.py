@@ -151,6 +151,14 @@ def test_prefix_filter_needs_no_short_sets():
     assert line_dedup.least_size(0.8) == 4
 
 
+def test_coded_words_are_sorted_as_longs(spark):
+    levels = bytes(k % 32 for k in range(1 << line_dedup.SKETCH_BITS))
+    rows = spark.createDataFrame([("b a  a c",), ("",)], "line string").select(line_dedup.coded_words(F.col("line"), levels).alias("words"))
+    assert not rows.schema["words"].dataType.containsNull  # else Spark sorts boxed objects
+    got = [r["words"] for r in rows.collect()]
+    assert [len(w) for w in got] == [3, 0] and got[0] == sorted(got[0])
+
+
 def brute_near(rows, t=0.8):
     sets = [(r["doc_id"], frozenset(ngram_join.shingle_set((r["text"] or "").encode()))) for r in rows]
     nodes = list({s for _, s in sets})
