@@ -8,11 +8,12 @@ more, whether or not that earlier line stays. Words are what stands between ASCI
 2. Lines with equal word sets form one class, named by its first line; all others of it are removed. Copies meet as
    partial minima, so a line that half of all documents repeat is one row from each task.
 3. Prefix filter: sets of n words that reach the threshold share a word among the first n - ceil(t n) + 1, their prefix. Leaders
-   come first: classes that agree in one of four words of their prefix try up to 8 early classes of their group. One match is
-   enough, so a group of k near-equal lines costs a fixed multiple of k comparisons here, and what is matched needs no other
-   partner.
-4. Every class that no leader matched meets all classes that share a word of its prefix, in a self-join with the length filter,
-   the positional filter and a parity filter (the XOR of one of 128 bits for each word differs in no more bits than the sets in words).
+   come first: classes whose least or largest hash is the same try up to 8 early classes of their group. One match is enough, so
+   a group of k near-equal lines costs a fixed multiple of k comparisons here, and what is matched needs no other partner.
+4. Every class that no leader matched meets all classes that share a word of its prefix, in a self-join by that word and a
+   class of sizes. Of a pair the smaller set brings only its first n - ceil(2 t n / (1 + t)) + 1 words, which is enough as the two
+   share more of these. Filters: length, position, and parity (the XOR of one of 128 bits for each word differs in no more bits
+   than the sets in words).
 5. Pairs of both steps are verified on the words, which are read again for their lines only; fixed-size bit filters keep
    most other lines out of that shuffle, and what they let through falls to the join.
 
@@ -28,6 +29,7 @@ the positional and parity filters); an empty table gives an empty result; other
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,8 +45,12 @@ FILTER_BITMAPS, BITMAP_BITS = 256, 32768
 FULL, LAST = (1 << 16) - 1, (1 << 14) - 1
 #: Longs of parity bits.
 PARITY = ("parity", "odd_parity")
+#: The least and the largest hash of a line's words, 32 bits of each.
+ENDS = ("least", "largest")
 #: Leaders of a group that a line tries before it meets all others.
 TRIES = 8
+#: Steps of the threshold in a class of sizes: more give fewer rows to the self-join, and more pairs.
+SIZE_STEPS = 6
 #: What names a line: its document, and the number of the text under that id (normally 0) with the line number.
 NAME = ("doc_id", "place")
 
@@ -118,6 +124,11 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, number: str) -> DataFr
 
 def coded_words(line: Column, levels: bytes) -> Column:
     """The distinct words of a line as level, then hash, in that order."""
+    return coded(hashes(line), levels)
+
+
+def coded(words: Column, levels: bytes) -> Column:
+    """Hashes of words as level, then hash, in that order."""
     table = F.from_json(F.lit(str(list(levels))), "array<tinyint>")  # folded to one constant
 
     def code(h: Column) -> Column:
@@ -125,21 +136,22 @@ def coded_words(line: Column, levels: bytes) -> Column:
         level = F.coalesce(F.get(table, h.bitwiseAND((1 << SKETCH_BITS) - 1).cast("int")), F.lit(0).cast("tinyint"))
         return F.shiftleft(level.cast("long"), 58).bitwiseOR(F.shiftrightunsigned(h, 6))
 
-    return F.sort_array(F.transform(hashes(line), code))
+    return F.sort_array(F.transform(words, code))
 
 
 def classes_of(lines: DataFrame, levels: bytes, threshold: float) -> DataFrame:
-    """One row for each word set: doc_id and place of its first line, n (its size), two parities, prefix."""
+    """One row for each word set: doc_id and place of its first line, n (its size), two parities, prefix, least and largest hash."""
     n = F.size("words")
     parity = [c.alias(name) for c, name in zip(parities(F.col("words")), PARITY, strict=True)]
     # 31 bits of each prefix word are enough to find candidates.
     prefix = F.transform(F.slice("words", F.lit(1), (n - ceil_share(n, threshold) + 1).cast("int")), lambda w: F.shiftrightunsigned(w, 20).bitwiseAND(0x7FFFFFFF).cast("int"))
-    coded = lines.filter(F.trim("line") != "").select(*NAME, coded_words(F.col("line"), levels).alias("words"))
+    hashed = lines.filter(F.trim("line") != "").select(*NAME, hashes(F.col("line")).alias("hashes"))
+    ends = [F.shiftright(f("hashes"), 32).cast("int").alias(name) for f, name in zip((F.array_min, F.array_max), ENDS, strict=True)]
     # Two hashes of 64 bits name a set.
-    named = coded.select(
+    named = hashed.select(*NAME, *ends, coded(F.col("hashes"), levels).alias("words")).select(
         F.xxhash64("words").alias("key"),
         F.xxhash64(F.lit("line set"), "words").alias("set"),
-        F.struct(*NAME, n.alias("n"), *parity, prefix.alias("prefix")).alias("first"),
+        F.struct(*NAME, n.alias("n"), *parity, *ENDS, prefix.alias("prefix")).alias("first"),
     )
     return staged(named.groupBy("key", "set").agg(F.min("first").alias("first")).select("first.*"), "line-classes")
 
@@ -193,20 +205,20 @@ def near(n_a: Column, n_b: Column, parity_a: list[Column], parity_b: list[Column
 
 
 def leaders(classes: DataFrame, threshold: float, tries: int = TRIES) -> DataFrame:
-    """Pairs of lines (late, early): early leads a group of lines that share one of four words of the prefix.
+    """Pairs of lines (late, early): early leads a group of lines whose least or largest hash is the same.
 
-    These are the least and the largest hash, and the last and the fourth last word: the first words of a prefix are the rarest,
-    often ones that no other line of the group has. A group has up to `tries` leaders, the first line of each part into
-    which a hash deals its lines.
+    Two sets share either hash with a chance of their similarity, whatever words set them apart. A group has up to `tries`
+    leaders, a line of the first document of each part into which a hash deals its lines.
     """
-    fourth = F.get("prefix", F.greatest(F.size("prefix") - 4, F.lit(0)))
-    chosen = F.array_distinct(F.array(F.array_min("prefix"), F.array_max("prefix"), F.element_at("prefix", -1), fourth))
-    rows = classes.select(F.explode(chosen).alias("group"), F.struct(*NAME).alias("late"), "n", *PARITY)
-    part = F.pmod(F.xxhash64("late"), F.lit(tries))
-    firsts = rows.groupBy("group", part.alias("part")).agg(F.min(F.struct("late", "n", *PARITY)).alias("lead")).select("group", "lead")
-    lengths, parity, _ = near(F.col("lead.n"), F.col("n"), [F.col(f"lead.{c}") for c in PARITY], [F.col(c) for c in PARITY], threshold)
-    tried = rows.join(firsts, "group").filter((F.col("lead.late") < F.col("late")) & lengths & parity)
-    return staged(tried.select("late", F.col("lead.late").alias("early")).distinct(), "line-led")
+    rows = classes.select(F.explode(F.array(*[F.col(c).cast("long") for c in ENDS])).alias("group"), *NAME, "n", *PARITY)
+    part = F.pmod(F.xxhash64(*NAME), F.lit(tries))
+    # Of single values, not of a struct, so that the groups are hashed and not sorted.
+    rest = [F.min_by(c, "doc_id").alias(f"lead_{c}") for c in (NAME[1], "n", *PARITY)]
+    firsts = rows.groupBy("group", part.alias("part")).agg(F.min("doc_id").alias("lead_doc_id"), *rest).drop("part")
+    late, early = F.struct(*NAME).alias("late"), F.struct(*[F.col(f"lead_{c}").alias(c) for c in NAME]).alias("early")
+    lengths, parity, _ = near(F.col("lead_n"), F.col("n"), [F.col(f"lead_{c}") for c in PARITY], [F.col(c) for c in PARITY], threshold)
+    tried = rows.join(firsts.hint("shuffle_hash"), "group").filter(lengths & parity).select(late, early).filter("early < late")
+    return staged(tried.distinct(), "line-led")
 
 
 def least_size(threshold: float) -> int:
@@ -214,20 +226,27 @@ def least_size(threshold: float) -> int:
     return next(n for n in range(1, 1000) if n / (n + 1) >= threshold) if threshold < 1 else 1 << 30
 
 
+def size_class(n: Column, threshold: float) -> Column:
+    """A number that does not fall as n grows: sets that reach the threshold are of one such class or of two that are neighbours."""
+    return F.floor(F.log(n.cast("double")) / max(-SIZE_STEPS * math.log(threshold), 0.01) + 1e-9)
+
+
 def candidates(classes: DataFrame, gone: DataFrame, threshold: float) -> DataFrame:
     """Pairs of lines (late, early) that pass the filters; late lines that are gone need none."""
     done = gone.select("late.*", F.lit(1).alias("done"))
-    open_ = classes.join(done, list(NAME), "left")
-    rows = open_.select(*NAME, *PARITY, "n", F.coalesce("done", F.lit(0)).alias("done"), F.posexplode("prefix").alias("pos", "word"))
-    # One long carries the word, the mark, the size and the position: fewer bytes in the only large shuffle.
-    fields = (("word", 31), ("done", 30), ("n", 14), ("pos", 0))
+    open_ = classes.join(done, list(NAME), "left").withColumn("done", F.coalesce("done", F.lit(0)))
+    # One long carries the word with the class of sizes, the mark, the size and the position: fewer bytes in the only large shuffle.
+    fields = (("done", 30), ("n", 14), ("pos", 0))
     limits = {"n": FULL, "pos": LAST}
-    packed = F.lit(0).cast("long")
-    for name, shift in fields:
-        value = F.least(name, F.lit(limits[name])) if name in limits else F.col(name)
-        packed = packed.bitwiseOR(F.shiftleft(value.cast("long"), shift))
-    rows = rows.select(*NAME, *PARITY, packed.alias("packed"))
-    a, b = (rows.select(*[F.col(c).alias(f"{c}_{x}") for c in rows.columns]) for x in "ab")
+
+    def rows(x: str, prefix: Column, low: Column, high: Column) -> DataFrame:
+        some = open_.select(*NAME, *PARITY, "n", "done", F.posexplode(prefix).alias("pos", "word"))
+        some = some.withColumn("sizes", F.explode(F.sequence(low, high)))
+        packed = F.shiftleft(F.hash("word", "sizes").bitwiseAND(0x7FFFFFFF).cast("long"), 31)
+        for name, shift in fields:
+            value = F.least(name, F.lit(limits[name])) if name in limits else F.col(name)
+            packed = packed.bitwiseOR(F.shiftleft(value.cast("long"), shift))
+        return some.select(*[F.col(c).alias(f"{c}_{x}") for c in (*NAME, *PARITY)], packed.alias(f"packed_{x}"))
 
     def n(x: str) -> Column:
         return F.shiftright(f"packed_{x}", 14).bitwiseAND(FULL)
@@ -235,16 +254,25 @@ def candidates(classes: DataFrame, gone: DataFrame, threshold: float) -> DataFra
     def pos(x: str) -> Column:
         return F.col(f"packed_{x}").bitwiseAND(LAST)
 
+    def mark(x: str) -> Column:
+        return F.shiftright(f"packed_{x}", 30).bitwiseAND(1) == 1
+
+    # Of a pair, a is the smaller set: a shorter prefix serves it, under the classes of all sizes that it can match.
+    size, most = F.col("n"), F.floor(F.col("n") / threshold + 1e-9)
+    own = size_class(size, threshold)
+    shorter = F.slice("prefix", F.lit(1), (size - ceil_share(size, 2 * threshold / (1 + threshold)) + 1).cast("int"))
+    a, b = rows("a", shorter, own, size_class(most, threshold)), rows("b", F.col("prefix"), own, own)
     n_a, n_b = n("a"), n("b")
     lengths, parity, need = near(n_a, n_b, *[[F.col(f"{c}_{x}") for c in PARITY] for x in "ab"], threshold)
     positions = F.least(n_a - pos("a"), n_b - pos("b")) >= need
+    fits = lengths & ((n_a == FULL) | (n_b == FULL) | (positions & parity))
     earlier = (F.col("doc_id_a") < F.col("doc_id_b")) | ((F.col("doc_id_a") == F.col("doc_id_b")) & (F.col("place_a") < F.col("place_b")))
-    fits = earlier & lengths & ((n_a == FULL) | (n_b == FULL) | (positions & parity))
-    # In one expression with both sides, so that the mark is not filtered below the exchange, which both sides share.
-    wanted = F.when(F.shiftright("packed_b", 30).bitwiseAND(1) == 1, False).otherwise(fits)
-    found = a.join(b, (F.shiftright("packed_a", 31) == F.shiftright("packed_b", 31)) & wanted)
-    late, early = (F.struct(*[F.col(f"{c}_{x}").alias(c) for c in NAME]).alias(name) for x, name in (("b", "late"), ("a", "early")))
-    return staged(found.select(late, early).distinct(), "line-candidates")
+    later = (F.col("doc_id_a") > F.col("doc_id_b")) | ((F.col("doc_id_a") == F.col("doc_id_b")) & (F.col("place_a") > F.col("place_b")))
+    ordered = (n_a < n_b) | (n_a == FULL) | ((n_a == n_b) & earlier)
+    wanted = (earlier & ~mark("b")) | (later & ~mark("a"))
+    found = a.join(b, (F.shiftright("packed_a", 31) == F.shiftright("packed_b", 31)) & ordered & fits & wanted)
+    x, y = (F.struct(*[F.col(f"{c}_{x}").alias(c) for c in NAME]) for x in "ab")
+    return staged(found.select(F.greatest(x, y).alias("late"), F.least(x, y).alias("early")).distinct(), "line-candidates")
 
 
 def kept_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", number: str | None = None) -> DataFrame:
@@ -287,7 +315,7 @@ def drop_repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: s
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines (with words), n_kept, kept_lines (positions, comma-separated) of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    n_lines = F.regexp_count(text_of("text"), F.lit(r"[^\x20\x09-\x0D][^\n]*"))
+    n_lines = F.size(F.filter(F.split(text_of("text"), "\n"), lambda line: F.rlike(line, F.lit(r"[^\x20\x09-\x0D]"))))
     joined, own = _with_kept(docs.withColumn("n_lines", n_lines), THRESHOLD, "doc_id", "text")
     return joined.select("doc_id", "n_lines", F.coalesce(F.size(own), F.lit(0)).alias("n_kept"), F.coalesce(F.array_join(own, ","), F.lit("")).alias("kept_lines"))
 

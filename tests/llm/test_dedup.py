@@ -151,6 +151,33 @@ def test_prefix_filter_needs_no_short_sets():
     assert line_dedup.least_size(0.8) == 4
 
 
+def test_lines_of_all_sizes(spark):
+    """Pairs at and beside the threshold whose sizes lie on both sides of every class of sizes."""
+    for t in (0.5, 0.8):
+        sizes = spark.range(1, 500).select(F.col("id").alias("n"), line_dedup.size_class(F.col("id"), t).alias("size"))
+        sizes = {r["n"]: r["size"] for r in sizes.collect()}
+        assert len(set(sizes.values())) > 1
+        assert all(0 <= sizes[int(n / t + 1e-9)] - sizes[n] <= 1 for n in range(1, 250) if int(n / t + 1e-9) in sizes)
+    texts = []
+    for n in range(1, 70):
+        words = [f"w{n}_{k}" for k in range(n)]
+        longest = n * 5 // 4
+        for size in (longest, longest + 1, n):
+            texts.append(" ".join(words[:n] + [f"x{n}_{size}_{k}" for k in range(size - n)]))
+    for order in (texts, texts[::-1]):
+        docs = spark.createDataFrame(list(enumerate(order)), "doc_id long, text string")
+        got = {r["doc_id"]: r["kept"] for r in line_dedup.kept_lines(docs).collect()}
+        assert got == brute_lines(docs.collect())
+
+
+def test_leaders_are_hashed_and_not_sorted(spark):
+    """Lines meet by their least or largest hash, though no word of their prefixes is the same."""
+    rows = [(k, 0, 50, 1, 1, 7, 100 + k, [10 * k + j for j in range(11)]) for k in range(4)]
+    classes = spark.createDataFrame(rows, "doc_id long, place long, n int, parity long, odd_parity long, least int, largest int, prefix array<int>")
+    pairs = line_dedup.leaders(classes, 0.8).collect()
+    assert {r["late"]["doc_id"] for r in pairs} == {1, 2, 3} and all(r["early"] < r["late"] for r in pairs)
+
+
 def test_coded_words_are_sorted_as_longs(spark):
     levels = bytes(k % 32 for k in range(1 << line_dedup.SKETCH_BITS))
     rows = spark.createDataFrame([("b a  a c",), ("",)], "line string").select(line_dedup.coded_words(F.col("line"), levels).alias("words"))
